@@ -15,19 +15,21 @@ from weirgate.operators.records import ERROR, SOURCE, column
 IN_PROGRESS, COMPLETED, FAILED = "In-Progress", "COMPLETED", "FAILED"
 
 
-def _schema(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+_TEXT, _COUNT, _TIME = T.StringType(), T.LongType(), T.TimestampType()
+
 # Columns of the two audit tables.
-JOB_AUDIT = _schema(
-    "job_id string, job_name string, task_name string, source string, source_name string, target string, "
-    "target_name string, delta_start_val string, delta_end_val string, start_ts timestamp, end_ts timestamp, "
-    "src_rec_count bigint, tgt_rec_count bigint, err_rec_count bigint, status string"
+JOB_AUDIT = _table(
+    job_id=_TEXT, job_name=_TEXT, task_name=_TEXT, source=_TEXT, source_name=_TEXT, target=_TEXT, target_name=_TEXT,
+    delta_start_val=_TEXT, delta_end_val=_TEXT, start_ts=_TIME, end_ts=_TIME,
+    src_rec_count=_COUNT, tgt_rec_count=_COUNT, err_rec_count=_COUNT, status=_TEXT,
 )
-FILE_AUDIT = _schema(
-    "job_id string, job_name string, task_name string, source_name string, target string, target_name string, "
-    "src_rec_count bigint, tgt_rec_count bigint, err_rec_count bigint, load_ts timestamp"
+FILE_AUDIT = _table(
+    job_id=_TEXT, job_name=_TEXT, task_name=_TEXT, source_name=_TEXT, target=_TEXT, target_name=_TEXT,
+    src_rec_count=_COUNT, tgt_rec_count=_COUNT, err_rec_count=_COUNT, load_ts=_TIME,
 )
 
 # Per kind of target, the name audits show for it and the property they show.

@@ -189,6 +189,20 @@ def _kafka_flatten(spark: SparkSession, task: dict) -> DataFrame:
     return messages.flatten_messages(found, task["topic_name"], column_map(spark, task), task.get("layout"))
 
 
+@source("pubsub", "PubsubProcessor")
+def _pubsub(spark: SparkSession, task: dict) -> DataFrame:
+    """Messages of any connector that gives a ``value`` column, as JSON or Avro."""
+    props = task["messages"]
+    reader = spark.readStream if flag(task.get("streaming", True)) else spark.read
+    if props.get("schema"):
+        reader = reader.schema(props["schema"])
+    found = reader.format(props["format"]).options(**props.get("options", {})).load()
+    name = task["input_subscription"]
+    if str(task["source_data"]["format"]).lower() == "json":
+        return messages.json_messages(found, name, task.get("layout"))
+    return messages.avro_messages(found, name, task["avro"]["schema"])
+
+
 @sink("bigquery", "bigquery_stream", "table")
 def _table(df: DataFrame, target: Mapping[str, Any], task: Mapping[str, Any]) -> None:
     write_table(df, target, task.get("is_filename_req_in_target", False))
