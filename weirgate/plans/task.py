@@ -51,7 +51,7 @@ class TaskResult:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 def check_task(task: Mapping[str, Any]) -> None:
