@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weirgate.session import configure, scratch_path
 
@@ -39,15 +40,22 @@ def scratch(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, label)
 
 
-def _preceded(first: Sequence[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def millis(name: str) -> Column:
+    """Epoch milliseconds of a table's time, which has no zone and is taken as UTC."""
+    return F.unix_millis(F.col(name).cast("timestamp"))
+
+
+def _framed(first: Sequence[str], last: Sequence[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.string())], names=["value"])
-    yield from batches
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(last), pa.string())], names=["value"])
 
 
-def write_lines(lines: DataFrame, path: str, first: Sequence[str] = (), mode: str = "append") -> str:
-    """Write a single text column; every file starts with the lines ``first``."""
+def write_lines(lines: DataFrame, path: str, first: Sequence[str] = (), last: Sequence[str] = ()) -> str:
+    """Write a single text column; every file starts and ends with the given lines."""
     lines = lines.toDF("value")
-    if first:
-        lines = lines.mapInArrow(partial(_preceded, first), "value string")
-    lines.write.mode(mode).text(path)
+    if first or last:
+        lines = lines.mapInArrow(partial(_framed, first, last), "value string")
+    lines.write.mode("append").text(path)
     return path

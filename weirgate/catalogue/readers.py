@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.catalogue.base import query, scratch, table, write_lines
+from weirgate.catalogue.base import millis, query, scratch, table, write_lines
 from weirgate.operators.audit import count_per_source
 from weirgate.operators.records import ERROR, SOURCE, split
 from weirgate.schema import conform, declared_schema
@@ -67,7 +67,7 @@ def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'open "' || o_orderkey || ',x' AS error_record, 'Invalid Record' AS error_type, 'orders' AS job_name
+    SELECT '"open ' || o_orderkey || ',x' AS error_record, 'Invalid Record' AS error_type, 'orders' AS job_name
     FROM orders WHERE o_orderkey % 50 = 0
     UNION ALL
     SELECT o_orderkey || ',b,c,d', 'Invalid Record', 'orders' FROM orders WHERE o_orderkey % 50 = 1
@@ -75,15 +75,14 @@ def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey").cast("string")
     line = (
-        F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit('open "'), key, F.lit(",x")))
+        F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit('"open '), key, F.lit(",x")))
         .when(F.col("o_orderkey") % 50 == 1, F.concat(key, F.lit(",b,c,d")))
         .otherwise(F.concat_ws(",", key, "o_orderstatus"))
     )
-    line = F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit('"'), line)).otherwise(line)
     path = write_lines(table(spark, sf_dir, "orders").select(line), scratch(spark, "csv-bad"), ["key,status"])
     rows = delimited.delimited_scan(spark, path, extra_columns=0)
     errors = split(rows, "orders").invalid
-    return errors.select(F.regexp_replace("error_record", '^"', "").alias("error_record"), "error_type", "job_name")
+    return errors.select("error_record", "error_type", "job_name")
 
 
 @query("""
@@ -231,7 +230,7 @@ def xml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS part_key, p_name AS name, p_brand AS tag_1, p_type AS tag_2 FROM part")
 def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_lines(table(spark, sf_dir, "part").select(_part_xml()), scratch(spark, "xml"))
+    path = write_lines(table(spark, sf_dir, "part").select(_part_xml()), scratch(spark, "xml"), ["<parts>"], ["</parts>"])
     rows = split(files.xml_scan(spark, path, "part", PART_XML)).valid
     return rows.select(F.col("`@key`").alias("part_key"), "name", F.col("tag")[0].alias("tag_1"), F.col("tag")[1].alias("tag_2"))
 
@@ -263,7 +262,7 @@ def _nested_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("id"),
         F.struct(F.col("o_custkey").alias("key"), F.struct(F.col("o_orderpriority").alias("priority")).alias("info")).alias("buyer"),
         items.alias("items"), F.array("o_orderstatus").alias("marks"),
-        F.unix_millis("o_orderdate").alias("placed"),
+        millis("o_orderdate").alias("placed"),
     )
     return table(spark, sf_dir, "orders").select(F.to_json(record).alias("value"))
 

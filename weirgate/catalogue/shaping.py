@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.catalogue.base import query, table
+from weirgate.catalogue.base import millis, query, table
 from weirgate.catalogue.readers import ORDER_MAP, ORDER_ROWS, _nested_order_lines
 from weirgate.functions.procedures import register
 from weirgate.operators import documents as D
@@ -141,7 +141,7 @@ EVENT_MAP = {
 """)
 def column_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = table(spark, sf_dir, "events").select(
-        "event_id", F.unix_millis("ts").alias("millis"), F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("user_id")
+        "event_id", millis("ts").alias("millis"), F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("user_id")
     )
     rows = map_columns(flat, parse_column_map(EVENT_MAP), keep=["event_id"])
     return rows.select("event_id", "event_time", "person", "person_again", "nothing", F.col(f"{ERROR}.desc").alias("problem"))

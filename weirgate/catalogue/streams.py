@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.catalogue.base import query, scratch, table, write_lines
+from weirgate.catalogue.base import millis, query, scratch, table, write_lines
 from weirgate.operators.records import message_ids, split
 from weirgate.operators.windows import fixed_windows
 from weirgate.plans import run_stream_task
@@ -24,7 +24,7 @@ EVENT_MAP = {
 
 def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(
-        "event_id", "event_type", F.struct(F.unix_millis("ts").alias("millis")).alias("detail"),
+        "event_id", "event_type", F.struct(millis("ts").alias("millis")).alias("detail"),
         F.lit("KAFKA_TOPIC_NAME").alias("topic"),
     )
     text = F.to_json(record)
@@ -112,7 +112,7 @@ def stream_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT strftime(time_bucket(INTERVAL 300 MINUTE, ts), '%Y_%m_%d_%H_%M') AS window_start, count(*) AS lines,
+    SELECT strftime(make_timestamp(CAST(epoch_us(ts) // 18000000000 * 18000000000 AS BIGINT)), '%Y_%m_%d_%H_%M') AS window_start, count(*) AS lines,
            count(*) AS well_formed, true AS small_files
     FROM events GROUP BY ALL
 """)
@@ -164,7 +164,7 @@ def _middle(events: DataFrame):
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second lot repeats old events, whose windows are closed: they are dropped."""
     path = scratch(spark, "late")
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     middle = F.lit(_middle(events))
     first, second = events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)
     repeated = first.where((F.col("event_id") % 3 == 0) & (F.col("ts") < middle - F.expr("INTERVAL 1 DAY")))

@@ -120,9 +120,10 @@ def xml_rows(texts: DataFrame, schema: T.StructType, text: str = "value") -> Dat
 
 
 def xml_scan(spark: SparkSession, path: str | Sequence[str], row_tag: str, schema: T.StructType | None = None) -> DataFrame:
-    """Elements ``row_tag`` of XML files; large files are split at the elements.
+    """Elements ``row_tag`` of XML files; elements that do not parse are tagged.
 
-    Elements that do not parse are tagged.
+    A file has one root element and is read by one task. Files with one element
+    per line are better read with ``line_scan`` and ``xml_rows``, which splits them.
     """
     reader = spark.read.format("xml").options(rowTag=row_tag, **xml_options(), inferSchema="false")
     if schema is None:
