@@ -136,17 +136,17 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y_%m_%d_%H_%M') AS window_start,
-           strftime(time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE, '%Y_%m_%d_%H_%M') AS window_end,
+    SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y_%m_%d_%H_%M') AS window_start,
+           strftime(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY, '%Y_%m_%d_%H_%M') AS window_end,
            count(*) AS lines, true AS small_files
     FROM events GROUP BY ALL
 """)
 def windowed_text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "windowed-text")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    write_windowed_text(events, "ts", path, records=20)
+    write_windowed_text(events, "ts", path, minutes=1440)
     files = spark.read.text(path).groupBy("window_start", "window_end", F.input_file_name()).agg(F.count("*").alias("lines"))
-    return files.groupBy("window_start", "window_end").agg(F.sum("lines").alias("lines"), (F.max("lines") <= 20).alias("small_files"))
+    return files.groupBy("window_start", "window_end").agg(F.sum("lines").alias("lines"), (F.max("lines") <= 1000).alias("small_files"))
 
 
 

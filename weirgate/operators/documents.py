@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.operators.layout import Layout
+from weirgate.operators.layout import BOOLEAN, STRING, Layout
 from weirgate.operators.records import ERROR, INVALID_RECORD, column, error_when, quoted, single_pass
 
 
@@ -34,12 +34,27 @@ def parse_strict(df: DataFrame, text: Column, document: str) -> DataFrame:
     return single_pass(df, pair, "_pair").withColumn(document, F.when(closed & alone, value)).drop("_pair")
 
 
+def at(value: Column, keys: tuple[str, ...], kind: str) -> Column:
+    """The value under nested keys as a Spark type; NULL where there is none that fits.
+
+    A path is followed inside the document and only what it leads to is copied.
+    Keys that cannot be written in a path are opened one by one.
+    """
+    path = "$"
+    for i, key in enumerate(keys):
+        if not key or ('"' in key and ("." in key or "[" in key)) or "?" in key:
+            inner = f"struct<{quoted(key)}: variant>"
+            return at(at(value, keys[:i], inner).getField(key), keys[i + 1:], kind)
+        path += f'["{key}"]' if "." in key or "[" in key else f".{key}"
+    return F.try_variant_get(value, path, kind)
+
+
 def as_list(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
+    return at(value, (), "array<variant>")
 
 
 def is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "struct<_: variant>").isNotNull()
+    return at(value, (), "struct<_: variant>").isNotNull()
 
 
 def is_json_null(value: Column) -> Column:
@@ -48,15 +63,32 @@ def is_json_null(value: Column) -> Column:
 
 def child(value: Column, key: str) -> Column:
     """The value under a key, whatever characters the key holds."""
-    return F.try_variant_get(value, "$", f"struct<{quoted(key)}: variant>").getField(key)
+    return at(value, (key,), "variant")
 
 
 # JSON texts that do not count as a list element: null, false, zero and the empty ones.
 _EMPTY = r'^(null|false|""|\[\]|\{\}|-?0(\.0*)?([eE].*)?)$'
 
 
-def _truthy(value: Column) -> Column:
-    return F.coalesce(~F.to_json(value).rlike(_EMPTY), F.lit(False))
+def _truthy(layout: Layout, value: Column) -> Column:
+    """Whether a list element counts as present: not null, false, zero or empty.
+
+    ``layout`` is that of the elements; where it leaves no doubt about their kind
+    a look at the value is enough, otherwise its JSON text decides.
+    """
+    kinds = sorted(layout.scalars)
+    if not layout.complete:
+        present = ~F.to_json(value).rlike(_EMPTY)
+    elif layout.items is None and layout.fields is None and len(kinds) == 1:
+        plain = at(value, (), kinds[0])
+        present = F.length(plain) > 0 if kinds[0] == STRING else plain if kinds[0] == BOOLEAN else plain != 0
+    elif not kinds and layout.items is None and layout.fields and len(layout.fields) <= 16:
+        present = F.coalesce(*[child(value, key) for key in layout.fields]).isNotNull()
+    elif not kinds and layout.fields is None and layout.items is not None:
+        present = F.try_variant_get(value, "$[0]", "variant").isNotNull()
+    else:
+        present = ~F.to_json(value).rlike(_EMPTY)
+    return F.coalesce(present, F.lit(False))
 
 
 def list_values(value: Column, items: Column, layout: Layout) -> Column:
@@ -66,7 +98,7 @@ def list_values(value: Column, items: Column, layout: Layout) -> Column:
     one NULL.
     """
     nothing = F.array(F.lit(None).cast("variant"))
-    elements = F.when(F.exists(items, _truthy), items).otherwise(nothing)
+    elements = F.when(F.exists(items, partial(_truthy, layout.items)), items).otherwise(nothing)
     if layout.scalars or layout.fields is not None:
         return F.when(items.isNull(), F.array(value)).otherwise(elements)
     return elements
@@ -125,12 +157,16 @@ def _type_text(kind: T.DataType) -> str:
     return kind.simpleString()
 
 
+# The way from a document to a value: keys, and None for "the elements of the list".
+Steps = tuple[str | None, ...]
+
+
 @dataclass(frozen=True)
 class FlatColumn:
     """A column of the flattened documents and how to find its values."""
 
     name: str
-    steps: tuple[str | None, ...]  # keys; None stands for "the elements of the list"
+    steps: Steps
     layout: Layout
 
     @property
@@ -142,7 +178,7 @@ def flat_columns(layout: Layout, join: str = "_") -> dict[str, FlatColumn]:
     """Flat name -> column. Of two leaves with one name the upper one counts."""
     found: dict[str, FlatColumn] = {}
 
-    def walk(node: Layout, name: str, steps: tuple[str | None, ...]) -> None:
+    def walk(node: Layout, name: str, steps: Steps) -> None:
         if node.items is not None:
             walk(node.element(), name, (*steps, None))
             return
@@ -157,88 +193,108 @@ def flat_columns(layout: Layout, join: str = "_") -> dict[str, FlatColumn]:
     return found
 
 
+def _runs(steps: Steps) -> list[tuple[str, ...]]:
+    """The keys between the lists on the way to a leaf: one run more than there are lists."""
+    runs: list[list[str]] = [[]]
+    for step in steps:
+        if step is None:
+            runs.append([])
+        else:
+            runs[-1].append(step)
+    return [tuple(run) for run in runs]
+
+
+def _node_at(layout: Layout, keys: tuple[str, ...]) -> Layout:
+    for key in keys:
+        layout = layout.fields[key]
+    return layout
+
+
 def leaf_values(document: Column, leaf: FlatColumn, layout: Layout) -> Column:
     """All values a flat column takes within one document, as an array of VARIANT.
 
     Its size follows the document, not the cross product of its lists.
     """
+    *lists, last = _runs(leaf.steps)
     values = F.array(document)
-    node = layout
-    for step in leaf.steps:
-        if step is None:
-            values = F.flatten(F.transform(values, partial(_elements, node)))
-            node = node.element()
-        else:
-            values = F.transform(values, partial(_under, step))
-            node = node.fields[step]
-    return values
+    for keys in lists:
+        node = _node_at(layout, keys)
+        values = F.flatten(F.transform(values, partial(_elements, keys, node)))
+        layout = node.element()
+    return F.transform(values, partial(_value, last))
 
 
-def _elements(node: Layout, v: Column) -> Column:
-    return list_values(v, as_list(v), node)
+def _elements(keys: tuple[str, ...], node: Layout, v: Column) -> Column:
+    return list_values(at(v, keys, "variant"), at(v, keys, "array<variant>"), node)
 
 
-def _under(key: str, v: Column) -> Column:
-    return child(v, key)
+def _value(keys: tuple[str, ...], v: Column) -> Column:
+    return at(v, keys, "variant")
+
+
+def scalar(value: Column, keys: tuple[str, ...], layout: Layout, kind: str) -> Column:
+    """A leaf as a plain column; an object in the place of a scalar gives NULL."""
+    plain = at(value, keys, kind)
+    return plain if layout.fields is None else F.when(~is_object(at(value, keys, "variant")), plain)
 
 
 def flatsplode_documents(
-    tagged: DataFrame, document: str, layout: Layout, join: str = "_"
-) -> tuple[DataFrame, dict[str, str]]:
+    tagged: DataFrame, document: str, layout: Layout, wanted: dict[str, tuple[str, str]], join: str = "_"
+) -> DataFrame:
     """Explode and flatten documents of a VARIANT column.
 
-    Returns the exploded frame and, for each flat column name, the VARIANT column
-    that holds it. One ``explode`` per list in the layout; no shuffle.
+    ``wanted`` names the columns to add: name -> (flat name, type). One
+    ``explode`` per list in the layout, wanted or not, as each multiplies the
+    rows; no shuffle. Scalars are taken out before the next list is exploded, so
+    that rows do not drag whole documents along.
     """
     leaves = flat_columns(layout, join)
-    others = [c for c in tagged.columns if c != document]
-    holders: dict[tuple[str | None, ...], str] = {}
-    count = 0
-
-    def expand(df: DataFrame, pending: list[tuple[tuple, str, Layout]]) -> DataFrame:
-        nonlocal count
-        while pending:
-            split, kept = [], []  # objects to open; columns for the next round
-            for steps, name, node in pending:
-                if node.items is not None:
-                    here = [column(c) for c in df.columns if c != name]
-                    listed = df.withColumn("_items", as_list(column(name)))
-                    values = list_values(column(name), column("_items"), node)
-                    df = listed.select(*here, F.explode(values).alias(name))
-                    kept.append(((*steps, None), name, node.element()))
-                elif node.fields:
-                    split.append((steps, name, node))
-                else:
-                    holders[steps] = name
-            if split:
-                opened, gone, columns = [], set(), []
-                for steps, name, node in split:
-                    if node.scalars:
-                        holders[steps] = name
-                    else:
-                        gone.add(name)
-                    record = f"_o{count}"
-                    keys = [T.StructField(key, T.VariantType()) for key in node.fields]
-                    opened.append(F.try_variant_get(column(name), "$", _ddl(keys)).alias(record))
-                    for key, inner in node.fields.items():
-                        inner_name = f"_v{count}"
-                        count += 1
-                        columns.append(column(record).getField(key).alias(inner_name))
-                        kept.append(((*steps, key), inner_name, inner))
-                stay = [column(c) for c in df.columns if c not in gone]
-                df = df.select(*[column(c) for c in df.columns], *opened).select(*stay, *columns)
-            pending = kept
-        return df
-
-    df = expand(tagged, [((), document, Layout(fields=layout.fields or {}))])
-    names = {leaf.name: holders[leaf.steps] for leaf in leaves.values()}
-    return df.select(*[column(c) for c in others], *[column(c) for c in dict.fromkeys(names.values())]), names
-
-
-def scalar(value: Column, layout: Layout, kind: str | None = None) -> Column:
-    """A leaf as a plain column; an object in the place of a scalar gives NULL."""
-    plain = F.try_variant_get(value, "$", kind or layout.scalar_type())
-    return plain if layout.fields is None else F.when(~is_object(value), plain)
+    places: dict[Steps, list[tuple[str, str]]] = {}
+    for name, (flat, kind) in wanted.items():
+        places.setdefault(leaves[flat].steps, []).append((name, kind))
+    tagged, lists = _opened(tagged, document, (), Layout(fields=layout.fields or {}), places)
+    while lists:
+        found = lists.pop()
+        value = F.lit(None).cast("variant") if found.other is None else column(found.other)
+        others = [column(c) for c in tagged.columns if c not in (found.items, found.other)]
+        elements = list_values(value, column(found.items), found.layout)
+        tagged = tagged.select(*others, F.explode(elements).alias(found.items))
+        tagged, inner = _opened(tagged, found.items, (*found.steps, None), found.layout.element(), places)
+        lists += inner
+    return tagged
+
+
+@dataclass(frozen=True)
+class _ListColumn:
+    items: str
+    other: str | None  # the value where it is no list, if documents disagree
+    steps: Steps
+    layout: Layout
+
+
+def _opened(
+    df: DataFrame, base: str, steps: Steps, layout: Layout, places: dict[Steps, list[tuple[str, str]]]
+) -> tuple[DataFrame, list[_ListColumn]]:
+    """Put the wanted scalars and the lists of a VARIANT column in its place."""
+    columns: list[Column] = []
+    lists: list[_ListColumn] = []
+
+    def visit(node: Layout, keys: tuple[str, ...]) -> None:
+        if node.items is not None:
+            items = f"{base}_{len(lists)}"
+            mixed = bool(node.scalars) or node.fields is not None
+            columns.append(at(column(base), keys, "array<variant>").alias(items))
+            if mixed:
+                columns.append(at(column(base), keys, "variant").alias(f"{items}_other"))
+            lists.append(_ListColumn(items, f"{items}_other" if mixed else None, (*steps, *keys), node))
+            return
+        for name, kind in places.get((*steps, *keys), ()):
+            columns.append(scalar(column(base), keys, node, kind).alias(name))
+        for key, inner in (node.fields or {}).items():
+            visit(inner, (*keys, key))
+
+    visit(layout, ())
+    return df.select(*[column(c) for c in df.columns if c != base], *columns), lists
 
 
 def number_kind(value: Column) -> Column:
@@ -249,11 +305,7 @@ def number_kind(value: Column) -> Column:
 def flat_rows(tagged: DataFrame, document: str, layout: Layout, join: str = "_") -> DataFrame:
     """Exploded and flattened documents as typed columns, next to the other columns."""
     others = [c for c in tagged.columns if c != document]
-    rows, names = flatsplode_documents(tagged, document, layout, join)
     leaves = flat_columns(layout, join)
-    values = [
-        scalar(column(holder), leaves[name].layout).alias(name)
-        for name, holder in names.items()
-        if name not in others
-    ]
-    return rows.select(*values, *[column(c) for c in others])
+    wanted = {n: (n, leaf.layout.scalar_type()) for n, leaf in leaves.items() if n not in others}
+    rows = flatsplode_documents(tagged, document, layout, wanted, join)
+    return rows.select(*[column(n) for n in wanted], *[column(c) for c in others])

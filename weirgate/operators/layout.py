@@ -26,6 +26,12 @@ class Layout:
     scalars: set[str] = field(default_factory=set)
     fields: dict[str, Layout] | None = None
     items: Layout | None = None
+    complete: bool = False  # nothing but what is noted here occurs in the documents
+
+    def completed(self) -> Layout:
+        """The same layout, vouched for by a pass over all documents."""
+        fields = None if self.fields is None else {k: v.completed() for k, v in self.fields.items()}
+        return Layout(self.scalars, fields, None if self.items is None else self.items.completed(), True)
 
     @staticmethod
     def of(kind: T.DataType) -> Layout:
@@ -48,7 +54,8 @@ class Layout:
 
     def element(self) -> Layout:
         """What is left after the lists at this place are exploded once."""
-        return Layout().merge(Layout(self.scalars, self.fields)).merge(self.items)
+        left = Layout().merge(Layout(self.scalars, self.fields)).merge(self.items)
+        return left.completed() if self.complete else left
 
     def scalar_type(self) -> str:
         """One column type for all scalars seen here."""
@@ -160,14 +167,14 @@ def infer(df: DataFrame, document: str) -> Layout:
     """
     row = df.agg(F.schema_of_variant_agg(F.col(document)).alias("shape")).first()
     if row.shape is None or row.shape == "VOID":
-        return Layout(fields={})
+        return Layout(fields={}, complete=True)
     kind = _type_of_shape(row.shape)
     if not _has_conflict(kind):
-        return Layout.of(kind)
+        return Layout.of(kind).completed()
     texts = df.select(F.to_json(F.col(document)).alias("document"))
     folded = texts.mapInArrow(_observe_partition, "layout string")
     merged = folded.repartition(32).mapInArrow(_merge_partition, "layout string")
     layout = Layout()
     for part in merged.collect():
         layout.merge(Layout.load(json.loads(part.layout)))
-    return layout
+    return layout.completed()

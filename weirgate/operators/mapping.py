@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from weirgate.functions.procedures import Procedure, lookup
 from weirgate.operators.documents import (
+    at,
     flat_columns,
     flatsplode_documents,
     is_json_null,
@@ -166,19 +167,22 @@ def _line_problem(document: Column, targets: list[Target], layout: Layout) -> Co
             problem = t.problem(F.lit(None).cast("double" if t.wants_number else "string"))
             if problem is not None:
                 messages.append(problem)
-            continue
-        kind = _leaf_type(t, leaf.layout)
-        found = F.transform(leaf_values(document, leaf, layout), partial(_value_problem, t, leaf.layout, kind))
-        messages.append(F.get(F.filter(found, lambda m: m.isNotNull()), F.lit(0)))
+        elif None not in leaf.steps:
+            messages.append(_value_problem(t, leaf.layout, leaf.steps, document))
+        else:
+            values = leaf_values(document, leaf, layout)
+            found = F.transform(values, partial(_value_problem, t, leaf.layout, ()))
+            messages.append(F.get(F.filter(found, lambda m: m.isNotNull()), F.lit(0)))
     return F.coalesce(*messages) if messages else None
 
 
-def _value_problem(target: Target, layout: Layout, kind: str, value: Column) -> Column:
+def _value_problem(target: Target, layout: Layout, keys: tuple[str, ...], value: Column) -> Column:
     problems = []
-    if target.wants_number:
-        empty = is_json_null(value) | is_object(value)
-        problems.append(F.when(~empty & ~number_kind(value), F.lit(f"{target.name} is not a number")))
-    found = target.problem(scalar(value, layout, kind))
+    if target.wants_number and not layout.scalars <= set(NUMERIC):
+        plain = at(value, keys, "variant")
+        empty = is_json_null(plain) | is_object(plain)
+        problems.append(F.when(~empty & ~number_kind(plain), F.lit(f"{target.name} is not a number")))
+    found = target.problem(scalar(value, keys, layout, _leaf_type(target, layout)))
     return F.coalesce(*problems, *([] if found is None else [found]))
 
 
@@ -218,15 +222,15 @@ def map_documents(
         F.when(column(ERROR).isNull() & column("_problem").isNull(), value).alias(document),
         error.alias(ERROR),
     )
-    rows, holders = flatsplode_documents(good, document, layout)
     leaves = flat_columns(layout)
+    wanted = {
+        f"_t{i}": (t.source, _leaf_type(t, leaves[t.source].layout)) for i, t in enumerate(targets) if t.source in leaves
+    }
+    rows = flatsplode_documents(good, document, layout, wanted)
     values = []
-    for t in targets:
-        if t.source in holders:
-            found = leaves[t.source].layout
-            flat = scalar(column(holders[t.source]), found, _leaf_type(t, found))
-        else:
-            flat = F.lit(None).cast("double" if t.wants_number else "string")
+    for i, t in enumerate(targets):
+        missing = F.lit(None).cast("double" if t.wants_number else "string")
+        flat = column(f"_t{i}") if t.source in leaves else missing
         values.append(F.when(column(ERROR).isNull(), t.value(flat)).alias(t.name))
     names = {t.name for t in targets}
     extra = [column(c) for c in kept if c not in names]

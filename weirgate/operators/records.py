@@ -91,6 +91,16 @@ def single_pass(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def read_together(df: DataFrame) -> DataFrame:
+    """Keep the columns of a scan together, whatever is used of them later.
+
+    A CSV or XML scan refuses to read its column of raw bad records alone, which
+    is what a count of the bad records would otherwise come down to.
+    """
+    rows = df.select(F.explode(F.array(F.struct(*[column(c) for c in df.columns]))).alias("_scan"))
+    return rows.select([column("_scan").getField(c).alias(c) for c in df.columns])
+
+
 def error_records(
     tagged: DataFrame, job_name: str, job_id: str | None, target: str, insert_ts: datetime | None = None
 ) -> DataFrame:

@@ -96,5 +96,5 @@ def write_stream_batch(df: DataFrame, target: Mapping[str, Any], batch_id: int,
     elif not exists(spark, name):
         rows.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.partitionBy(BATCH_COLUMN).format(data_format).saveAsTable(name)
     else:
-        rows = fitted(rows, spark.table(name).schema).withColumn(BATCH_COLUMN, F.lit(batch_id))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        rows = fitted(rows, spark.table(name).schema)
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH_COLUMN} = {int(batch_id)}) SELECT * FROM {{rows}}", rows=rows)

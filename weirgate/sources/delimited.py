@@ -23,6 +23,7 @@ from weirgate.operators.records import (
     column,
     error_when,
     null_markers,
+    read_together,
     single_pass,
     typed_nulls,
 )
@@ -67,15 +68,19 @@ def file_heads(spark: SparkSession, path: str | Sequence[str], count: int) -> Da
     return lines.mapInArrow(partial(_first_lines, count), "path string, lines array<string>")
 
 
-def _check_leading(spark: SparkSession, heads: DataFrame) -> None:
-    """The leading lines of a file must lie in its first split, which is where they are left out."""
-    sizes = ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")
-    smallest = min(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes(),
-                   spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    total = F.aggregate("lines", F.lit(0), lambda n, line: n + F.octet_length(line) + 2)
-    longest = heads.agg(F.max(total)).first()[0] or 0
-    if longest >= smallest:
-        raise ValueError(f"leading lines of {longest} bytes need larger {' and '.join(sizes)}")
+def _headers(spark: SparkSession, path: str | Sequence[str], skip_rows: int) -> list[tuple[str, str | None]]:
+    """(path, line after the skipped ones) of each file.
+
+    Leading lines are left out in the first split of a file, so they must lie in it.
+    """
+    size = F.aggregate("lines", F.lit(0), lambda n, line: n + F.octet_length(line) + 2)
+    heads = file_heads(spark, path, skip_rows + 1)
+    rows = heads.select("path", F.get("lines", F.lit(skip_rows)).alias("header"), size.alias("size")).collect()
+    conf = spark._jsparkSession.sessionState().conf()
+    smallest = min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes())
+    if any(r.size >= smallest for r in rows):
+        raise ValueError("leading lines do not fit the smallest split; raise spark.sql.files.openCostInBytes")
+    return [(r.path, r.header) for r in rows]
 
 
 def _drop_leading(count: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,13 +131,14 @@ def _plain_line(line: Column, delimiter: str, escape: str | None) -> Column:
     return F.when(F.contains(line, F.lit(escape)), found).otherwise(line)
 
 
-def split_fields(lines: DataFrame, value: str, width: int, delimiter: str = ",", escape: str | None = "\\",
-                 name: str = "_fields") -> DataFrame:
-    """Add the fields of each line as an array; NULL where quotes do not close
-    or there are more than ``width`` fields.
+def split_fields(
+    lines: DataFrame, value: str, width: int, delimiter: str = ",", escape: str | None = "\\"
+) -> tuple[DataFrame, list[Column]]:
+    """Add ``_count``, the number of fields of each line, and give the fields as columns.
 
-    A mark after the last field shows how many there are, which tells an empty
-    field from one that is missing.
+    The count is NULL where quotes do not close or there are more than ``width``
+    fields. A mark after the last field shows where the line ends, which tells an
+    empty field (``''``) from one that is missing (NULL).
     """
     marked = F.concat(_plain_line(column(value), delimiter, escape), F.lit(delimiter + _END))
     parsed = F.from_csv(
@@ -142,13 +148,19 @@ def split_fields(lines: DataFrame, value: str, width: int, delimiter: str = ",",
          "mode": "PERMISSIVE", "maxColumns": str(max(20480, width + 2)), "maxCharsPerColumn": "-1"},
     )
     rows = single_pass(lines, parsed, "_parsed")
-    cells = F.array(*[F.coalesce(F.col(f"_parsed.c{i}"), F.lit("")) for i in range(width + 1)])
-    rows = single_pass(rows.withColumn("_cells", cells), F.array_position(F.col("_cells"), _END), "_count")
-    fields = F.when(F.col("_count") > 0, F.slice(F.col("_cells"), 1, F.col("_count").cast("int") - 1))
-    if escape:
-        back = F.transform(fields, lambda x: F.translate(x, _QUOTE + _DELIMITER + _ESCAPE, '"' + delimiter + escape))
-        fields = F.when(F.contains(column(value), F.lit(escape)), back).otherwise(fields)
-    return rows.withColumn(name, fields).drop("_parsed", "_cells", "_count")
+    count = F.lit(None).cast("int")
+    for i in range(1, width + 1):
+        count = F.when(F.col(f"_parsed.c{i}") == _END, i).otherwise(count)
+    rows = rows.withColumn("_count", count)
+
+    def field(i: int) -> Column:
+        text = F.coalesce(F.col(f"_parsed.c{i}"), F.lit(""))
+        if escape:
+            back = F.translate(text, _QUOTE + _DELIMITER + _ESCAPE, '"' + delimiter + escape)
+            text = F.when(F.contains(column(value), F.lit(escape)), back).otherwise(text)
+        return F.when(F.col("_count") > i, text)
+
+    return rows, [field(i) for i in range(width)]
 
 
 def widest_line(lines: DataFrame, value: str, delimiter: str = ",", escape: str | None = "\\") -> int:
@@ -162,15 +174,15 @@ def _named_rows(lines: DataFrame, names: Sequence[str], extra: int | None, delim
                 markers: Sequence[str]) -> DataFrame:
     width = len(names) + extra if extra is not None else max(widest_line(lines, "value", delimiter, escape), len(names))
     columns = list(names) + [f"column_{i + 1}" for i in range(len(names), width)]
-    rows = split_fields(lines.where(F.length("value") > 0), "value", width, delimiter, escape)
+    rows, fields = split_fields(lines.where(F.length("value") > 0), "value", width, delimiter, escape)
     decoded = F.is_valid_utf8(column("value"))
     desc = F.when(~decoded, F.lit("not UTF-8 text")).otherwise(
         F.lit(f"quotes do not close or more than {width} fields")
     )
-    error = error_when(~decoded | F.col("_fields").isNull(), INVALID_RECORD, desc, column("value"))
+    error = error_when(~decoded | F.col("_count").isNull(), INVALID_RECORD, desc, column("value"))
     # Of two fields with the same header the later one counts.
     positions = {c: i for i, c in enumerate(columns)}
-    cells = [F.get(F.col("_fields"), F.lit(i)).alias(c) for c, i in positions.items()]
+    cells = [fields[i].alias(c) for c, i in positions.items()]
     return null_markers(rows.select(*cells, column(SOURCE), error.alias(ERROR)), markers, positions)
 
 
@@ -204,16 +216,14 @@ def delimited_scan(
         if schema is None:
             raise ValueError("files without a header need a schema")
         if skip_rows:
-            _check_leading(spark, file_heads(spark, path, skip_rows))
+            _headers(spark, path, skip_rows)
         lines = lines_after(spark, path, skip_rows)
         return _named_rows(lines, schema.names, extra_columns, delimiter, escape, markers)
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    heads = file_heads(spark, path, skip_rows + 1)
-    _check_leading(spark, heads)
-    for head in heads.select("path", F.get("lines", F.lit(skip_rows)).alias("header")).collect():
-        if head.header is not None:
-            reader = csv.reader([head.header], delimiter=delimiter, escapechar=escape)
-            groups[tuple(next(reader))].append(head.path)
+    for file, header_line in _headers(spark, path, skip_rows):
+        if header_line is not None:
+            reader = csv.reader([header_line], delimiter=delimiter, escapechar=escape)
+            groups[tuple(next(reader))].append(file)
     if not groups:
         raise ValueError(f"no file with a header at {path}")
     parts = []
@@ -242,14 +252,14 @@ def _multi_line_scan(spark, path, delimiter, markers, header, schema, skip_rows,
         mode="PERMISSIVE", columnNameOfCorruptRecord="_raw",
     ).csv(path).withColumn(SOURCE, F.col("_metadata.file_path"))
     # Only records that lack fields or have too many come with their raw text.
-    rows = split_fields(rows, "_raw", len(columns), delimiter, None)
+    rows, ragged = split_fields(read_together(rows), "_raw", len(columns), delimiter, None)
     whole = F.col("_raw").isNull()
     cells = [
-        F.when(whole, F.coalesce(column(c), F.lit(""))).otherwise(F.get(F.col("_fields"), F.lit(i))).alias(c)
+        F.when(whole, F.coalesce(column(c), F.lit(""))).otherwise(ragged[i]).alias(c)
         for i, c in enumerate(columns)
     ]
     desc = f"quotes do not close or more than {len(columns)} fields"
-    error = error_when(~whole & F.col("_fields").isNull(), INVALID_RECORD, desc, F.col("_raw"))
+    error = error_when(~whole & F.col("_count").isNull(), INVALID_RECORD, desc, F.col("_raw"))
     return null_markers(rows.select(*cells, column(SOURCE), error.alias(ERROR)), markers, columns)
 
 

@@ -21,6 +21,7 @@ from weirgate.operators.records import (
     column,
     error_when,
     message_ids,
+    read_together,
     rewrite_source,
     single_pass,
 )
@@ -129,11 +130,9 @@ def xml_scan(spark: SparkSession, path: str | Sequence[str], row_tag: str, schem
     if schema is None:
         schema = T.StructType([f for f in reader.load(path).schema.fields if f.name != "_corrupt"])
     shape = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    rows = reader.schema(shape).load(path)
+    rows = read_together(reader.schema(shape).load(path).withColumn(SOURCE, F.col("_metadata.file_path")))
     error = error_when(F.col("_corrupt").isNotNull(), INVALID_XML, "not an XML element", F.col("_corrupt"))
-    return rows.select(
-        *[column(f.name) for f in schema.fields], F.col("_metadata.file_path").alias(SOURCE), error.alias(ERROR)
-    )
+    return rows.select(*[column(f.name) for f in schema.fields], column(SOURCE), error.alias(ERROR))
 
 
 __all__ = [
