@@ -81,7 +81,7 @@ def test_typed_bounds_reach_the_scan(spark, tmp_path):
 def test_numbers_within_groups_have_no_gaps(spark):
     rows = spark.range(5000).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id % 11 AS string)) AS g")
     found = defaultdict(list)
-    for r in number_within(rows, ["g"], ["id"], "n", slices=7).collect():
+    for r in number_within(rows, ["g"], ["id"], "n", rows_per_slice=300).collect():
         found[r.g].append(r.n)
     assert all(sorted(v) == list(range(len(v))) for v in found.values())
 

@@ -91,6 +91,7 @@ def stream_task(tmp_path):
     return {
         "job_name": "j", "task_name": "t", "input_processor": "JsonFlattenStreamingProcessor", "data_file": str(tmp_path / "in"),
         "column_name_map": json.dumps({"flat_table_mapping": {"id": "id|not_null", "x": "list"}}),
+        "schema": [{"name": "id", "type": "INTEGER"}, {"name": "x", "type": "INTEGER"}],
         "targets": [{"bigquery_stream": {"target_table": str(tmp_path / "out")}}, {"gcs": {"path": str(tmp_path / "text")}}],
         "error": {"error_table": str(tmp_path / "errors")},
     }
@@ -126,3 +127,23 @@ def test_stream_into_catalog_table(spark, tmp_path):
         write(batch, batch_id)
     assert spark.table(name).count() == 10 and spark.table(name).where("more IS NULL").count() == 10
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_types_of_a_stream_do_not_depend_on_the_batch(spark, tmp_path):
+    os.makedirs(tmp_path / "in")
+    task = stream_task(tmp_path)
+    del task["schema"]
+    for lot, value in enumerate(("1", '"one"', "1.5")):
+        with open(tmp_path / "in" / f"{lot}.json", "w") as f:
+            f.write(f'{{"id":{value},"list":[]}}\n')
+        run_stream_task(spark, task, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    assert sorted(r.id for r in read_table(spark, str(tmp_path / "out")).collect()) == ["1", "1.5", "one"]
+
+
+def test_appended_rows_take_the_types_of_the_table(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], "id bigint, name string").write.parquet(str(tmp_path / "out"))
+    task = csv_task(tmp_path)
+    del task["schema"]
+    result = run_task(spark, task)
+    assert (result.target_rows, result.error_rows) == (2, 1)
+    assert sorted(r.id for r in read_table(spark, str(tmp_path / "out")).collect()) == [1, 1, 2]

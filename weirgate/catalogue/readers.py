@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from weirgate.catalogue.base import millis, query, scratch, table, write_lines
 from weirgate.operators.audit import count_per_source
-from weirgate.operators.records import ERROR, SOURCE, split
+from weirgate.operators.records import ERROR, SOURCE, split, spread
 from weirgate.schema import conform, declared_schema
 from weirgate.sources import api, config, database, delimited, files, messages
 
@@ -111,7 +111,7 @@ def json_root_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
     cut = F.when(F.col("event_id") % 7 == 0, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
-    return table(spark, sf_dir, "events").select(cut.alias("value"))
+    return spread(table(spark, sf_dir, "events")).select(cut.alias("value"))
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 7 <> 0")
@@ -264,7 +264,7 @@ def _nested_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         items.alias("items"), F.array("o_orderstatus").alias("marks"),
         millis("o_orderdate").alias("placed"),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(record).alias("value"))
+    return spread(table(spark, sf_dir, "orders")).select(F.to_json(record).alias("value"))
 
 
 ORDER_MAP = {
@@ -331,7 +331,7 @@ def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key, value, timestamp); every eleventh value is no JSON."""
     text = F.to_json(F.struct("event_id", "event_type", F.col("props")))
     bad = F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("!"), text)).otherwise(text)
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.col("event_id").cast("string").cast("binary").alias("key"), bad.cast("binary").alias("value"),
         F.col("ts").alias("timestamp"),
     )

@@ -26,6 +26,7 @@ from weirgate.operators.records import (
     rewrite_source,
     select_required,
     split,
+    spread,
     stringify,
     timestamp_text,
     typed_nulls,
@@ -52,7 +53,7 @@ FLAT_LINES = """
 
 @query(FLAT_LINES)
 def flatsplode_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines, orders = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
     buyer = F.struct(F.col("o_custkey").alias("key"), F.struct(F.col("o_orderstatus").alias("code")).alias("state"))
     nested = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), buyer.alias("buyer"),
@@ -119,7 +120,7 @@ def flatsplode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderkey") % 4 == 2, F.format_string('{"id":%s,"items":[{},{}],"note":{"code":"%s"}}', key, status))
         .otherwise(F.format_string('{"id":%s,"note":"%s"}', key, status))
     )
-    tagged = D.read_documents(table(spark, sf_dir, "orders").select(text.alias("value")), "value")
+    tagged = D.read_documents(spread(table(spark, sf_dir, "orders")).select(text.alias("value")), "value")
     rows = D.flat_rows(tagged.drop("value"), "_document", infer(tagged, "_document"))
     return rows.select("id", F.col("items_sku").cast("int").alias("items_sku"), "items_owner_key", "note", "note_code")
 
@@ -183,7 +184,7 @@ def line_atomicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty = F.when(F.col("o_orderkey") % 4 == 0, "null").otherwise("10")
     text = F.format_string('{"id":%s,"lists":{"items":[' + item + "]}}", F.col("o_orderkey").cast("string"), qty)
     mapping = {"flat_table_mapping": {"id": "id", "item_no": "lists_items_no", "item_qty": "lists_items_qty|not_null"}}
-    rows = flatten_lines(table(spark, sf_dir, "orders").select(text.alias("value"), F.lit("orders").alias(SOURCE)), mapping)
+    rows = flatten_lines(spread(table(spark, sf_dir, "orders")).select(text.alias("value"), F.lit("orders").alias(SOURCE)), mapping)
     return rows.select("id", F.col("item_no").cast("int").alias("item_no"), "item_qty", F.col(f"{ERROR}.desc").alias("problem"))
 
 

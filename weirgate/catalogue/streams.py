@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate.catalogue.base import millis, query, scratch, table, write_lines
-from weirgate.operators.records import message_ids, split
+from weirgate.operators.records import message_ids, split, spread
 from weirgate.operators.windows import fixed_windows
 from weirgate.plans import run_stream_task
 from weirgate.sinks.tables import read_table, write_stream_batch
@@ -29,7 +29,10 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.to_json(record)
     cut = F.when(F.col("event_id") % 7 == 0, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
-    return table(spark, sf_dir, "events").select("event_id", cut.alias("value"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", cut.alias("value"))
+
+
+EVENT_SCHEMA = [{"name": "id", "type": "INTEGER"}, {"name": "kind", "type": "STRING"}, {"name": "happened", "type": "STRING"}]
 
 
 @query("""
@@ -42,6 +45,7 @@ def stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     task = {
         "job_name": "stream", "task_name": "events", "input_processor": "JsonFlattenStreamingProcessor",
         "data_file": f"{path}/in", "column_name_map": EVENT_MAP, "topic_name": "live",
+        "schema": EVENT_SCHEMA,
         "targets": [{"bigquery_stream": {"target_table": f"{path}/out"}}],
         "error": {"error_table": f"{path}/errors"},
     }
@@ -59,6 +63,7 @@ def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     task = {
         "job_name": "stream", "task_name": "events", "input_processor": "JsonFlattenStreamingProcessor",
         "data_file": f"{path}/in", "column_name_map": EVENT_MAP, "topic_name": "live",
+        "schema": EVENT_SCHEMA,
         "targets": [{"bigquery_stream": {"target_table": f"{path}/out"}}], "error": {"error_table": f"{path}/errors"},
     }
     run_stream_task(spark, task, f"{path}/checkpoint", available_now=True).awaitTermination()
@@ -72,7 +77,7 @@ def _message_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """The events as a stream of (key, value, timestamp); every eleventh is no JSON."""
     text = F.to_json(F.struct("event_id", "event_type"))
     bad = F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("!"), text)).otherwise(text)
-    rows = table(spark, sf_dir, "events").select(
+    rows = spread(table(spark, sf_dir, "events")).select(
         F.lit(b"").alias("key"), bad.cast("binary").alias("value"), F.col("ts").alias("timestamp")
     )
     rows.write.parquet(path)

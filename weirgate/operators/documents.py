@@ -8,6 +8,7 @@ as the documents say and not as a widened column type would have it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
@@ -57,6 +58,11 @@ def is_object(value: Column) -> Column:
     return at(value, (), "struct<_: variant>").isNotNull()
 
 
+def is_object_text(text: Column) -> Column:
+    """Whether a JSON text is that of an object."""
+    return F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+
+
 def is_json_null(value: Column) -> Column:
     return value.isNull() | F.is_variant_null(value)
 
@@ -169,6 +175,10 @@ class FlatColumn:
     steps: Steps
     layout: Layout
 
+    @property
+    def in_list(self) -> bool:
+        return None in self.steps
+
     @property
     def depth(self) -> int:
         return sum(step is not None for step in self.steps)
@@ -193,35 +203,39 @@ def flat_columns(layout: Layout, join: str = "_") -> dict[str, FlatColumn]:
     return found
 
 
-def _runs(steps: Steps) -> list[tuple[str, ...]]:
-    """The keys between the lists on the way to a leaf: one run more than there are lists."""
-    runs: list[list[str]] = [[]]
-    for step in steps:
-        if step is None:
-            runs.append([])
-        else:
-            runs[-1].append(step)
-    return [tuple(run) for run in runs]
+def scalar(value: Column, keys: tuple[str, ...], layout: Layout, kind: str) -> Column:
+    """A leaf as a plain column; an object in the place of a scalar gives NULL."""
+    plain = at(value, keys, kind)
+    return plain if layout.fields is None else F.when(~is_object(at(value, keys, "variant")), plain)
+
 
+@dataclass(frozen=True)
+class ListColumn:
+    """A list taken out of a document, not exploded yet."""
 
-def _node_at(layout: Layout, keys: tuple[str, ...]) -> Layout:
-    for key in keys:
-        layout = layout.fields[key]
-    return layout
+    items: str
+    other: str | None  # the value where it is no list, if documents disagree
+    steps: Steps
+    layout: Layout
 
+    def elements(self) -> Column:
+        value = F.lit(None).cast("variant") if self.other is None else column(self.other)
+        return list_values(value, column(self.items), self.layout)
 
-def leaf_values(document: Column, leaf: FlatColumn, layout: Layout) -> Column:
-    """All values a flat column takes within one document, as an array of VARIANT.
+    def leaf_values(self, leaf: FlatColumn) -> Column:
+        """All values a flat column takes below this list, as an array of VARIANT.
 
-    Its size follows the document, not the cross product of its lists.
-    """
-    *lists, last = _runs(leaf.steps)
-    values = F.array(document)
-    for keys in lists:
-        node = _node_at(layout, keys)
-        values = F.flatten(F.transform(values, partial(_elements, keys, node)))
-        layout = node.element()
-    return F.transform(values, partial(_value, last))
+        Its size follows the document, not the cross product of its lists.
+        """
+        values, layout, keys = self.elements(), self.layout.element(), ()
+        for step in leaf.steps[len(self.steps) + 1:]:
+            if step is None:
+                values = F.flatten(F.transform(values, partial(_elements, keys, layout)))
+                layout, keys = layout.element(), ()
+            else:
+                keys += (step,)
+                layout = layout.fields[step]
+        return F.transform(values, partial(_value, keys)) if keys else values
 
 
 def _elements(keys: tuple[str, ...], node: Layout, v: Column) -> Column:
@@ -232,69 +246,71 @@ def _value(keys: tuple[str, ...], v: Column) -> Column:
     return at(v, keys, "variant")
 
 
-def scalar(value: Column, keys: tuple[str, ...], layout: Layout, kind: str) -> Column:
-    """A leaf as a plain column; an object in the place of a scalar gives NULL."""
-    plain = at(value, keys, kind)
-    return plain if layout.fields is None else F.when(~is_object(at(value, keys, "variant")), plain)
+# Extracts of a place in the documents: column name and (VARIANT, keys, layout) -> Column.
+Extract = tuple[str, Callable[[Column, tuple[str, ...], Layout], Column]]
 
 
-def flatsplode_documents(
-    tagged: DataFrame, document: str, layout: Layout, wanted: dict[str, tuple[str, str]], join: str = "_"
-) -> DataFrame:
-    """Explode and flatten documents of a VARIANT column.
+class Flattening:
+    """Explode and flatten documents of a VARIANT column, in two steps.
 
-    ``wanted`` names the columns to add: name -> (flat name, type). One
-    ``explode`` per list in the layout, wanted or not, as each multiplies the
-    rows; no shuffle. Scalars are taken out before the next list is exploded, so
-    that rows do not drag whole documents along.
+    ``open`` puts the wanted scalars and the lists of the documents in their
+    place; records can be judged there, before ``explode`` multiplies them: one
+    ``explode`` per list in the layout, wanted or not, as each counts. Scalars
+    are taken out before the next list is exploded, so rows do not drag whole
+    documents along. There is no shuffle.
     """
-    leaves = flat_columns(layout, join)
-    places: dict[Steps, list[tuple[str, str]]] = {}
-    for name, (flat, kind) in wanted.items():
-        places.setdefault(leaves[flat].steps, []).append((name, kind))
-    tagged, lists = _opened(tagged, document, (), Layout(fields=layout.fields or {}), places)
-    while lists:
-        found = lists.pop()
-        value = F.lit(None).cast("variant") if found.other is None else column(found.other)
-        others = [column(c) for c in tagged.columns if c not in (found.items, found.other)]
-        elements = list_values(value, column(found.items), found.layout)
-        tagged = tagged.select(*others, F.explode(elements).alias(found.items))
-        tagged, inner = _opened(tagged, found.items, (*found.steps, None), found.layout.element(), places)
-        lists += inner
-    return tagged
-
-
-@dataclass(frozen=True)
-class _ListColumn:
-    items: str
-    other: str | None  # the value where it is no list, if documents disagree
-    steps: Steps
-    layout: Layout
-
-
-def _opened(
-    df: DataFrame, base: str, steps: Steps, layout: Layout, places: dict[Steps, list[tuple[str, str]]]
-) -> tuple[DataFrame, list[_ListColumn]]:
-    """Put the wanted scalars and the lists of a VARIANT column in its place."""
-    columns: list[Column] = []
-    lists: list[_ListColumn] = []
-
-    def visit(node: Layout, keys: tuple[str, ...]) -> None:
-        if node.items is not None:
-            items = f"{base}_{len(lists)}"
-            mixed = bool(node.scalars) or node.fields is not None
-            columns.append(at(column(base), keys, "array<variant>").alias(items))
-            if mixed:
-                columns.append(at(column(base), keys, "variant").alias(f"{items}_other"))
-            lists.append(_ListColumn(items, f"{items}_other" if mixed else None, (*steps, *keys), node))
-            return
-        for name, kind in places.get((*steps, *keys), ()):
-            columns.append(scalar(column(base), keys, node, kind).alias(name))
-        for key, inner in (node.fields or {}).items():
-            visit(inner, (*keys, key))
 
-    visit(layout, ())
-    return df.select(*[column(c) for c in df.columns if c != base], *columns), lists
+    def __init__(self, layout: Layout, join: str = "_") -> None:
+        self.layout = layout
+        self.leaves = flat_columns(layout, join)
+        self.lists: list[ListColumn] = []
+        self._places: dict[Steps, list[Extract]] = {}
+
+    def want(self, name: str, flat: str, kind: str) -> None:
+        """Ask for a flat column of a type, to be called ``name``."""
+        self.extract(name, flat, partial(_scalar, kind))
+
+    def extract(self, name: str, flat: str, take: Callable[[Column, tuple[str, ...], Layout], Column]) -> None:
+        self._places.setdefault(self.leaves[flat].steps, []).append((name, take))
+
+    def open(self, df: DataFrame, document: str) -> DataFrame:
+        opened, self.lists = self._opened(df, document, (), Layout(fields=self.layout.fields or {}))
+        return opened
+
+    def explode(self, df: DataFrame) -> DataFrame:
+        lists = list(self.lists)
+        while lists:
+            found = lists.pop()
+            others = [column(c) for c in df.columns if c not in (found.items, found.other)]
+            df = df.select(*others, F.explode(found.elements()).alias(found.items))
+            df, inner = self._opened(df, found.items, (*found.steps, None), found.layout.element())
+            lists += inner
+        return df
+
+    def _opened(self, df: DataFrame, base: str, steps: Steps, layout: Layout) -> tuple[DataFrame, list[ListColumn]]:
+        columns: list[Column] = []
+        lists: list[ListColumn] = []
+
+        def visit(node: Layout, keys: tuple[str, ...]) -> None:
+            if node.items is not None:
+                items = f"{base}_{len(lists)}"
+                mixed = bool(node.scalars) or node.fields is not None
+                columns.append(at(column(base), keys, "array<variant>").alias(items))
+                if mixed:
+                    columns.append(at(column(base), keys, "variant").alias(f"{items}_other"))
+                lists.append(ListColumn(items, f"{items}_other" if mixed else None, (*steps, *keys), node))
+                return
+            for name, take in self._places.get((*steps, *keys), ()):
+                columns.append(take(column(base), keys, node).alias(name))
+            for key, inner in (node.fields or {}).items():
+                visit(inner, (*keys, key))
+
+        visit(layout, ())
+        return df.select(*[column(c) for c in df.columns if c != base], *columns), lists
+
+
+def _scalar(kind: str, value: Column, keys: tuple[str, ...], layout: Layout) -> Column:
+    return scalar(value, keys, layout, kind)
 
 
 def number_kind(value: Column) -> Column:
@@ -305,7 +321,9 @@ def number_kind(value: Column) -> Column:
 def flat_rows(tagged: DataFrame, document: str, layout: Layout, join: str = "_") -> DataFrame:
     """Exploded and flattened documents as typed columns, next to the other columns."""
     others = [c for c in tagged.columns if c != document]
-    leaves = flat_columns(layout, join)
-    wanted = {n: (n, leaf.layout.scalar_type()) for n, leaf in leaves.items() if n not in others}
-    rows = flatsplode_documents(tagged, document, layout, wanted, join)
-    return rows.select(*[column(n) for n in wanted], *[column(c) for c in others])
+    flattening = Flattening(layout, join)
+    names = [n for n in flattening.leaves if n not in others]
+    for name in names:
+        flattening.want(name, name, flattening.leaves[name].layout.scalar_type())
+    rows = flattening.explode(flattening.open(tagged, document))
+    return rows.select(*[column(n) for n in names], *[column(c) for c in others])

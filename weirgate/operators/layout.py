@@ -157,6 +157,16 @@ def _merge_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield _batch(seen)
 
 
+def infer_texts(texts: DataFrame, text: str) -> Layout:
+    """Layout of the objects among JSON texts.
+
+    Texts that are rejected later for what follows the object are looked at too;
+    at most this adds keys for which no document has a value.
+    """
+    objects = texts.where(F.ltrim(F.col(text), F.lit(" \t\r\n")).startswith("{"))
+    return infer(objects.select(F.try_parse_json(F.col(text)).alias("_document")), "_document")
+
+
 def infer(df: DataFrame, document: str) -> Layout:
     """Layout of all documents in a VARIANT column, over the whole data.
 

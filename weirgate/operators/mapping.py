@@ -16,12 +16,11 @@ from pyspark.sql import types as T
 
 from weirgate.functions.procedures import Procedure, lookup
 from weirgate.operators.documents import (
+    Flattening,
     at,
-    flat_columns,
-    flatsplode_documents,
     is_json_null,
     is_object,
-    leaf_values,
+    is_object_text,
     number_kind,
     scalar,
 )
@@ -150,47 +149,50 @@ def map_columns(df: DataFrame, targets: list[Target], keep: Iterable[str] = (SOU
     )
 
 
-def _line_problem(document: Column, targets: list[Target], layout: Layout) -> Column | None:
-    """Why a document is rejected as a whole, judged before anything is exploded.
+def _leaf_type(target: Target, layout: Layout) -> str:
+    kind = layout.scalar_type()
+    if target.wants_number and kind not in NUMERIC:
+        return DOUBLE
+    return kind
+
+
+def _number_problem(target: Target, value: Column, keys: tuple[str, ...], layout: Layout) -> Column:
+    """Message for a value that is there but not a number; the layout may rule that out."""
+    if not target.wants_number or layout.scalars <= set(NUMERIC):
+        return F.lit(None).cast("string")
+    plain = at(value, keys, "variant")
+    empty = is_json_null(plain) | is_object(plain)
+    return F.when(~empty & ~number_kind(plain), F.lit(f"{target.name} is not a number"))
+
+
+def _element_problem(target: Target, layout: Layout, value: Column) -> Column:
+    found = target.problem(scalar(value, (), layout, _leaf_type(target, layout)))
+    return F.coalesce(_number_problem(target, value, (), layout), F.lit(None) if found is None else found)
+
+
+def _problem(flattening: Flattening, targets: list[Target]) -> Column:
+    """Why an opened document is rejected as a whole, judged before anything is exploded.
 
     Every list contributes at least one row, so a rejected value anywhere in the
     document means at least one rejected flat row, and a look at the values of
     each checked column on its own finds it.
     """
-    leaves = flat_columns(layout)
-    messages = []
-    for t in targets:
-        if not t.wants_number and t.problem(F.lit(None).cast("string")) is None:
+    messages = [F.lit(None).cast("string")]
+    for i, t in enumerate(targets):
+        checked = t.problem(F.lit(None).cast("double" if t.wants_number else "string"))
+        if checked is None and not t.wants_number:
             continue
-        leaf = leaves.get(t.source)
+        leaf = flattening.leaves.get(t.source)
         if leaf is None:
-            problem = t.problem(F.lit(None).cast("double" if t.wants_number else "string"))
-            if problem is not None:
-                messages.append(problem)
-        elif None not in leaf.steps:
-            messages.append(_value_problem(t, leaf.layout, leaf.steps, document))
+            messages += [] if checked is None else [checked]
+        elif not leaf.in_list:
+            found = t.problem(column(f"_t{i}"))
+            messages += [column(f"_n{i}")] + ([] if found is None else [found])
         else:
-            values = leaf_values(document, leaf, layout)
-            found = F.transform(values, partial(_value_problem, t, leaf.layout, ()))
+            above = next(x for x in flattening.lists if leaf.steps[: len(x.steps) + 1] == (*x.steps, None))
+            found = F.transform(above.leaf_values(leaf), partial(_element_problem, t, leaf.layout))
             messages.append(F.get(F.filter(found, lambda m: m.isNotNull()), F.lit(0)))
-    return F.coalesce(*messages) if messages else None
-
-
-def _value_problem(target: Target, layout: Layout, keys: tuple[str, ...], value: Column) -> Column:
-    problems = []
-    if target.wants_number and not layout.scalars <= set(NUMERIC):
-        plain = at(value, keys, "variant")
-        empty = is_json_null(plain) | is_object(plain)
-        problems.append(F.when(~empty & ~number_kind(plain), F.lit(f"{target.name} is not a number")))
-    found = target.problem(scalar(value, keys, layout, _leaf_type(target, layout)))
-    return F.coalesce(*problems, *([] if found is None else [found]))
-
-
-def _leaf_type(target: Target, layout: Layout) -> str:
-    kind = layout.scalar_type()
-    if target.wants_number and kind not in NUMERIC:
-        return DOUBLE
-    return kind
+    return F.coalesce(*messages)
 
 
 def map_documents(
@@ -204,34 +206,49 @@ def map_documents(
 ) -> DataFrame:
     """Flatten JSON documents and apply a column map.
 
-    A document with a rejected value gives one bad record and no rows.
+    ``raw`` is the text of the documents. A document with a rejected value gives
+    one bad record and no rows.
     """
-    others = [c for c in tagged.columns if c not in (document, ERROR)]
-    kept = [c for c in keep if c in others]
-    value = column(document)
-    problem = F.when(~is_object(value), F.lit("document is not an object"))
-    rejected = _line_problem(value, targets, layout)
-    if rejected is not None:
-        problem = F.coalesce(problem, rejected)
-    checked = single_pass(tagged.withColumn("_raw", raw), problem, "_problem")
+    flattening = Flattening(layout)
+    for i, t in enumerate(targets):
+        leaf = flattening.leaves.get(t.source)
+        if leaf is not None:
+            flattening.want(f"_t{i}", t.source, _leaf_type(t, leaf.layout))
+            if not leaf.in_list:
+                flattening.extract(f"_n{i}", t.source, partial(_number_problem, t))
+    kept = [c for c in keep if c in tagged.columns]
     error = F.coalesce(
-        column(ERROR), error_when(column("_problem").isNotNull(), INVALID_RECORD, column("_problem"), column("_raw"))
+        column(ERROR), error_when(~is_object_text(raw), INVALID_RECORD, "document is not an object", raw)
     )
-    good = checked.select(
-        *[column(c) for c in kept],
-        F.when(column(ERROR).isNull() & column("_problem").isNull(), value).alias(document),
-        error.alias(ERROR),
+    opened = flattening.open(
+        tagged.select(*[column(c) for c in kept], raw.alias("_raw"), error.alias(ERROR), column(document)), document
     )
-    leaves = flat_columns(layout)
-    wanted = {
-        f"_t{i}": (t.source, _leaf_type(t, leaves[t.source].layout)) for i, t in enumerate(targets) if t.source in leaves
+    judged = single_pass(opened, _problem(flattening, targets), "_problem")
+    rejected = error_when(column("_problem").isNotNull(), INVALID_RECORD, column("_problem"), column("_raw"))
+    good = column(ERROR).isNull() & column("_problem").isNull()
+    held = {c: column(c) for x in flattening.lists for c in (x.items, x.other) if c}
+    # Values outside of lists are converted once per document, not once per row.
+    outside = {
+        f"_t{i}": t.value(column(f"_t{i}"))
+        for i, t in enumerate(targets)
+        if t.source in flattening.leaves and not flattening.leaves[t.source].in_list
     }
-    rows = flatsplode_documents(good, document, layout, wanted)
+    # Without its lists a rejected document is one row.
+    checked = judged.select(
+        *[column(c) for c in kept],
+        *[F.when(good, value).alias(c) for c, value in (held | outside).items()],
+        F.coalesce(column(ERROR), rejected).alias(ERROR),
+    )
+    rows = flattening.explode(checked)
     values = []
     for i, t in enumerate(targets):
-        missing = F.lit(None).cast("double" if t.wants_number else "string")
-        flat = column(f"_t{i}") if t.source in leaves else missing
-        values.append(F.when(column(ERROR).isNull(), t.value(flat)).alias(t.name))
+        if t.source not in flattening.leaves:
+            value = t.value(F.lit(None).cast("double" if t.wants_number else "string"))
+        elif f"_t{i}" in outside:
+            value = column(f"_t{i}")
+        else:
+            value = t.value(column(f"_t{i}"))
+        values.append(F.when(column(ERROR).isNull(), value).alias(t.name))
     names = {t.name for t in targets}
     extra = [column(c) for c in kept if c not in names]
     if SOURCE in kept and FILE_NAME not in names:

@@ -91,6 +91,19 @@ def single_pass(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Hand the rows of a scan to all cores when it has fewer splits than cores.
+
+    Meant for a few unsplittable or small files whose records are costly to
+    parse. A scan with enough splits stays as it is, without a shuffle.
+    """
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan.repartition(cores) if splits < cores else scan
+
+
 def read_together(df: DataFrame) -> DataFrame:
     """Keep the columns of a scan together, whatever is used of them later.
 

@@ -42,29 +42,34 @@ def window_counts(df: DataFrame, ts: str, minutes: float = 1, keys: Sequence[str
     )
 
 
-def number_within(df: DataFrame, groups: Sequence[str], ids: Sequence[str], name: str, slices: int = 256) -> DataFrame:
+def number_within(df: DataFrame, groups: Sequence[str], ids: Sequence[str], name: str,
+                  rows_per_slice: int = 1_000_000) -> DataFrame:
     """Number the rows of each group 0, 1, 2, ... without ever sorting a whole group.
 
-    Each group is cut into slices by a hash of its row ids. Rows are numbered
-    within their slice, and the sizes of the slices before give the offset, so
-    a group that holds much of the data is still the work of many tasks.
+    Groups are cut into slices by a hash of the row ids, as many as the largest
+    group needs. Rows are numbered within their slice, and the sizes of the
+    slices before give the offset, so a group that holds much of the data is
+    still the work of many tasks.
     """
-    cut = df.withColumn("_slice", F.pmod(F.xxhash64(*[column(c) for c in ids]), F.lit(slices)).cast("int"))
-    keys = [*groups, "_slice"]
-    sizes = cut.groupBy(*[column(k) for k in keys]).agg(F.count("*").alias("_size"))
-    before = W.partitionBy(*[column(g) for g in groups]).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*[column(k) for k in keys], F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = W.partitionBy(*[column(k) for k in keys]).orderBy(*[column(c) for c in ids])
+    by = [column(g) for g in groups]
+    largest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    slices = F.lit(max(1, -(-largest // rows_per_slice)))
+    cut = df.withColumn("_slice", F.pmod(F.xxhash64(*[column(c) for c in ids]), slices).cast("int"))
+    keys = [*by, column("_slice")]
+    sizes = cut.groupBy(*keys).agg(F.count("*").alias("_size"))
+    before = W.partitionBy(*by).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = W.partitionBy(*keys).orderBy(*[column(c) for c in ids])
     numbered = cut.withColumn("_row", F.row_number().over(inside) - 1)
-    joined = numbered.join(offsets, keys)
+    joined = numbered.join(offsets, [*groups, "_slice"])
     return joined.select(*[column(c) for c in df.columns], (F.col("_row") + F.col("_offset")).alias(name))
 
 
 def window_batches(df: DataFrame, ts: str, ids: Sequence[str], minutes: float, size: int = 1000,
-                   slices: int = 256) -> DataFrame:
+                   rows_per_slice: int = 1_000_000) -> DataFrame:
     """Cut the records of each window into batches of at most ``size``."""
     windows = fixed_windows(df, ts, minutes)
-    numbered = number_within(windows, ["window_start", "window_end"], ids, "_number", slices)
+    numbered = number_within(windows, ["window_start", "window_end"], ids, "_number", rows_per_slice)
     batch = F.floor(F.col("_number") / size).cast("bigint")
     return numbered.withColumn("batch_no", batch).drop("_number")
 

@@ -11,6 +11,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from weirgate.operators.audit import (
@@ -24,16 +25,17 @@ from weirgate.operators.audit import (
     target_text,
 )
 from weirgate.operators.incremental import Bounds
-from weirgate.operators.records import ERROR, column, error_records, message_ids, select_required
+from weirgate.operators.records import ERROR, SOURCE, column, error_records, message_ids, select_required, spread
 from weirgate.plans.registry import SINKS, SOURCES, column_map, flag, task_schema
 from weirgate.schema import conform
 from weirgate.session import remove_path, scratch_path
-from weirgate.sinks.tables import write_table
+from weirgate.sinks.tables import APPEND, BATCH_COLUMN, has_rows, read_table, table_name, write_table
 from weirgate.sources.files import flatten_lines
 from weirgate.streaming.runner import DATABASE_INTERVAL, POLL, fan_out, start, stream_lines
 
 log = logging.getLogger(__name__)
 
+TABLE_KINDS = ("bigquery", "bigquery_stream", "table")
 REQUIRED = ("job_name", "task_name", "input_processor", "targets")
 
 
@@ -99,7 +101,7 @@ def _stage(tagged: DataFrame, path: str) -> DataFrame:
 def _tagged(spark: SparkSession, task: dict) -> tuple[DataFrame, Bounds | None]:
     found = SOURCES[task["input_processor"]](spark, task)
     tagged, bounds = found if isinstance(found, tuple) else (found, None)
-    schema = task_schema(spark, task)
+    schema = task_schema(spark, task) or _target_schema(spark, task)
     if schema is not None:
         tagged = conform(tagged, schema)
     if task.get("required_columns"):
@@ -107,6 +109,17 @@ def _tagged(spark: SparkSession, task: dict) -> tuple[DataFrame, Bounds | None]:
     return tagged, bounds
 
 
+def _target_schema(spark: SparkSession, task: Mapping[str, Any]) -> T.StructType | None:
+    """Columns of the table rows are appended to, if it is there already."""
+    for target in task["targets"]:
+        kind, props = next(iter(target.items()))
+        appended = str(props.get("write_disposition", APPEND)).upper() == APPEND
+        if kind in TABLE_KINDS and appended and has_rows(spark, table_name(props["target_table"]), props.get("format", "parquet")):
+            found = read_table(spark, props["target_table"], props.get("format", "parquet")).schema
+            return T.StructType([f for f in found.fields if f.name not in (SOURCE, BATCH_COLUMN)])
+    return None
+
+
 def run_task(spark: SparkSession, task: dict[str, Any]) -> TaskResult:
     """Read, shape and split the records, write them to all targets, audit.
 
@@ -189,11 +202,17 @@ def run_tasks(spark: SparkSession, tasks: Iterable[dict[str, Any]]) -> list[Task
 
 
 def _file_stream(spark: SparkSession, task: dict) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-    mapping = column_map(spark, task)
+    mapping, schema = column_map(spark, task), task_schema(spark, task)
     lines = message_ids(stream_lines(spark, task["data_file"], task.get("files_per_batch")))
 
     def shape(batch: DataFrame) -> DataFrame:
-        return flatten_lines(batch, mapping, task.get("layout"), task.get("topic_name"))
+        rows = flatten_lines(spread(batch), mapping, task.get("layout"), task.get("topic_name"))
+        if schema is not None:
+            return conform(rows, schema)
+        if task.get("layout") is not None:
+            return rows
+        # What one batch looks like says nothing about the next: without declared types all is text.
+        return rows.withColumns({name: column(name).cast("string") for name in mapping["flat_table_mapping"]})
 
     return lines, shape
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate.operators import documents as D
-from weirgate.operators.layout import Layout, infer
+from weirgate.operators.layout import Layout, infer, infer_texts
 from weirgate.operators.mapping import map_documents, parse_column_map
 from weirgate.operators.records import (
     ERROR,
@@ -24,6 +24,7 @@ from weirgate.operators.records import (
     read_together,
     rewrite_source,
     single_pass,
+    spread,
 )
 
 _DOCUMENT = "_document"
@@ -55,7 +56,7 @@ def json_scan(spark: SparkSession, path: str | Sequence[str], root: str | None =
 def ndjson_scan(spark: SparkSession, path: str | Sequence[str], root: str | None = None,
                 layout: Layout | T.StructType | None = None) -> DataFrame:
     """One JSON document per line."""
-    return document_rows(line_scan(spark, path), root, layout)
+    return document_rows(spread(line_scan(spark, path)), root, layout)
 
 
 def document_rows(lines: DataFrame, root: str | None = None,
@@ -73,7 +74,7 @@ def flatten_lines(lines: DataFrame, column_map: Mapping | str, layout: Layout |
     """JSON lines (``value``, ``source_name``, message id) flattened through a column map."""
     documents = D.read_documents(lines, "value", kind, _DOCUMENT)
     if layout is None:
-        layout = infer(documents.where(D.is_object(column(_DOCUMENT))), _DOCUMENT)
+        layout = infer_texts(lines, "value")
     elif isinstance(layout, T.StructType):
         layout = Layout.of(layout)
     return map_documents(documents, _DOCUMENT, parse_column_map(column_map), layout, column("value"), topic)
@@ -86,7 +87,7 @@ def flatten_json_scan(spark: SparkSession, path: str | Sequence[str], column_map
 
     ``staging`` = (prefix read, prefix to report) rewrites the source names.
     """
-    lines = line_scan(spark, path)
+    lines = spread(line_scan(spark, path))
     if staging is not None:
         lines = lines.withColumn(SOURCE, rewrite_source(column(SOURCE), *staging))
     return flatten_lines(message_ids(lines), column_map, layout, topic)
