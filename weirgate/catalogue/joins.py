@@ -56,7 +56,7 @@ def lookup_join_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = table(spark, sf_dir, "events").select("event_id", user, "event_type")
     lookup = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
     lookup = lookup.select("c_custkey", "c_name", "c_mktsegment")
-    return lookup_join(records, lookup, {"user_id": "c_custkey"}, ["c_custkey"], broadcast_bytes=0)
+    return lookup_join(records, lookup, {"user_id": "c_custkey"}, ["c_custkey"], broadcast_bytes=0, rows_per_task=500)
 
 
 def _run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +144,6 @@ def window_message_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT strftime(day, '%Y-%m-%d') AS day, CAST(n // 100 AS BIGINT) AS batch_no, count(*) AS messages FROM numbered GROUP BY ALL
 """)
 def window_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = window_batches(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", ["event_id"], 1440, size=100)
+    batches = window_batches(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", 1440, size=100)
     counts = batches.groupBy("window_start", "batch_no").agg(F.count("*").alias("messages"))
     return counts.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "batch_no", "messages")

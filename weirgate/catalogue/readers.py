@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from weirgate.catalogue.base import millis, query, scratch, table, write_lines
 from weirgate.operators.audit import count_per_source
 from weirgate.operators.records import ERROR, SOURCE, split, spread
+from weirgate.operators.windows import number_within
 from weirgate.schema import conform, declared_schema
 from weirgate.sources import api, config, database, delimited, files, messages
 
@@ -98,10 +99,11 @@ def csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_custkey, c_name, c_nationkey FROM customer")
 def json_root_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Documents of at most 500 records, one per file.
-    block = F.floor(F.col("c_custkey") / 500).alias("block")
+    # Documents of at most 500 records whatever the keys are, one per file.
+    customer = table(spark, sf_dir, "customer").withColumn("all", F.lit(1))
+    numbered = number_within(customer, ["all"], "number")
     record = F.struct("c_custkey", "c_name", "c_nationkey")
-    documents = table(spark, sf_dir, "customer").groupBy(block).agg(F.collect_list(record).alias("data"))
+    documents = numbered.groupBy(F.floor(F.col("number") / 500).alias("block")).agg(F.collect_list(record).alias("data"))
     path = scratch(spark, "json-root")
     documents.select("block", F.to_json(F.struct("data")).alias("value")).write.partitionBy("block").text(path)
     rows = split(files.json_scan(spark, path, root="data")).valid

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from weirgate.operators.records import column
 
 BROADCAST_BYTES = 64 << 20
-_HOT_SHARE = 1 / 1000
-_SALTS = 64
+ROWS_PER_TASK = 5_000_000
+_MOST_HOT_KEYS = 100_000
 
 
 def last_per_key(lookup: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -50,25 +50,29 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = _HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; there are at most ``1 / share``."""
-    counts = df.groupBy(*[column(k) for k in keys]).agg(F.count("*").alias("_n"))
-    total = df.count()
-    found = counts.where(F.col("_n") > F.lit(max(total * share, 1000))).drop("_n").collect()
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in counts.drop("_n").schema.fields])
-    return df.sparkSession.createDataFrame(found, schema)
-
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more rows than a task should hold, and how many salts spread them.
 
-def _salted(records: DataFrame, lookup: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Spread the records of hot keys over several salts and repeat their lookup rows for each."""
-    hot = hot_keys(records, list(on))
-    mine = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS))).otherwise(F.lit(0))
+    A key counts as hot above ``rows_per_task`` rows, and above so large a share
+    of all rows that there cannot be more than 100,000 of them.
+    """
+    counts = df.groupBy(*[column(k) for k in keys]).agg(F.count("*").alias("_n"))
+    least = max(rows_per_task, df.count() / _MOST_HOT_KEYS)
+    salts = F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")
+    found = counts.where(F.col("_n") > least).select(*[column(k) for k in keys], salts)
+    return df.sparkSession.createDataFrame(found.collect(), T.StructType([T.StructField(f.name, f.dataType) for f in found.schema.fields]))
+
+
+def _salted(records: DataFrame, lookup: DataFrame, on: Mapping[str, str], rows_per_task: int) -> tuple[DataFrame, DataFrame]:
+    """Spread the records of hot keys over salts and repeat their lookup rows for each salt."""
+    hot = hot_keys(records, list(on), rows_per_task)
+    mine = F.broadcast(hot)
+    position = F.xxhash64(F.monotonically_increasing_id())
+    salt = F.coalesce(F.pmod(position, F.col("_salts")), F.lit(0))
     spread = records.join(mine, _same(records, mine, {k: k for k in on}), "left")
     spread = spread.select(*[records[_q(c)] for c in records.columns], salt.cast("int").alias("_salt"))
-    renamed = hot.toDF(*[on[k] for k in on])
-    theirs = F.broadcast(renamed.withColumn("_hot", F.lit(True)))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    theirs = F.broadcast(hot.toDF(*on.values(), "_salts"))
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     repeated = lookup.join(theirs, _same(lookup, theirs, {v: v for v in on.values()}), "left")
     repeated = repeated.select(*[lookup[_q(c)] for c in lookup.columns], F.explode(salts).alias("_salt"))
     return spread, repeated
@@ -80,6 +84,7 @@ def lookup_join(
     on: Mapping[str, str],
     order_by: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Lay the last matching lookup row over each record; every record comes out once.
 
@@ -88,17 +93,19 @@ def lookup_join(
     which of several matching rows is the last. A lookup that was measured to be
     small is broadcast; otherwise both sides are shuffled, with hot keys salted.
     """
+    if len(set(on.values())) < len(on):
+        raise ValueError("a lookup column may be joined once only")
     missing = [c for c in on if c not in records.columns] + [c for c in on.values() if c not in lookup.columns]
     if not on or missing:
         raise ValueError(f"join columns missing: {missing or 'no join columns given'}")
-    last = last_per_key(lookup, list(dict.fromkeys(on.values())), order_by)
+    last = last_per_key(lookup, list(on.values()), order_by)
     pairs = dict(on)
     if fits_broadcast(last, broadcast_bytes):
         left, right = records, F.broadcast(last.withColumn("_matched", F.lit(True)))
     elif records.isStreaming:
         left, right = records, last.withColumn("_matched", F.lit(True))
     else:
-        left, right = _salted(records, last, on)
+        left, right = _salted(records, last, on, rows_per_task)
         right = right.withColumn("_matched", F.lit(True))
         pairs["_salt"] = "_salt"
     # Names of its own on the right keep the two sides apart.

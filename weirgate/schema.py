@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.operators.records import ERROR, ERROR_TYPE, INVALID_RECORD, column, error_when, quoted
+from weirgate.operators.records import ERROR, ERROR_TYPE, INVALID_RECORD, column, error_when, quoted, single_pass
 
 # Declared type names (any case) and what they are in Spark.
 TYPES = {
@@ -94,30 +94,27 @@ def conform(tagged: DataFrame, declared: T.StructType, extra: str = "keep") -> D
     Columns beyond the declared ones are kept, or dropped with ``extra="drop"``.
     """
     have = {f.name: f.dataType for f in tagged.schema.fields}
-    typed, problems = [], []
+    data = [c for c in tagged.columns if c != ERROR]
+    names = {f.name for f in declared.fields}
+    others = [c for c in data if c not in names]
+    was = column(ERROR) if ERROR in tagged.columns else F.lit(None).cast(ERROR_TYPE)
+    # The values are converted once, next to what they were; then the record is judged.
+    typed = [
+        (_converted(column(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in declared.fields
+    ]
+    old = {c: f"_old{i}" for i, c in enumerate(data) if c in names}
+    both = tagged.select(*typed, *[column(c) for c in others], *[column(c).alias(o) for c, o in old.items()], was.alias("_was"))
+    problems = [F.lit(None).cast("string")]
     for f in declared.fields:
-        if f.name in have:
-            value = _converted(column(f.name), have[f.name], f.dataType)
-            misfit = column(f.name).isNotNull() & value.isNull()
+        if f.name in old:
+            misfit = column(old[f.name]).isNotNull() & column(f.name).isNull()
             problems.append(F.when(misfit, F.lit(f"{f.name} is not of type {f.dataType.simpleString()}")))
-        else:
-            value = F.lit(None).cast(f.dataType)
         if not f.nullable:
-            problems.append(F.when(value.isNull(), F.lit(f"{f.name} column cannot be Null")))
-        typed.append(value.alias(f.name))
-    names = {f.name for f in declared.fields}
-    others = [c for c in tagged.columns if c not in names and c != ERROR]
-    message = F.coalesce(*problems) if problems else F.lit(None).cast("string")
-    raw = F.to_json(F.struct([column(c) for c in tagged.columns if c != ERROR]))
-    # The values are converted before the record is judged, so that neither the
-    # error message nor a later filter converts them again.
-    staged = tagged.select(
-        *typed,
-        *[column(c) for c in others],
-        (column(ERROR) if ERROR in tagged.columns else F.lit(None).cast(ERROR_TYPE)).alias("_was"),
-        F.explode(F.array(F.struct(message.alias("desc"), F.when(message.isNotNull(), raw).alias("raw")))).alias("_bad"),
-    )
-    bad = F.col("_bad.desc").isNotNull()
-    error = F.coalesce(F.col("_was"), error_when(bad, INVALID_RECORD, F.col("_bad.desc"), F.col("_bad.raw")))
+            problems.append(F.when(column(f.name).isNull(), F.lit(f"{f.name} column cannot be Null")))
+    judged = single_pass(both, F.coalesce(*problems), "_problem")
+    raw = F.to_json(F.struct([column(old.get(c, c)).alias(c) for c in data]))
+    bad = column("_problem").isNotNull()
+    error = F.coalesce(column("_was"), error_when(bad, INVALID_RECORD, column("_problem"), raw))
     kept = [] if extra == "drop" else [column(c) for c in others]
-    return staged.select(*[column(f.name) for f in declared.fields], *kept, error.alias(ERROR))
+    return judged.select(*[column(f.name) for f in declared.fields], *kept, error.alias(ERROR))

@@ -19,14 +19,18 @@ def write_text(df: DataFrame, path: str, mode: str = "append") -> None:
 
 def write_windowed_text(df: DataFrame, ts: str, path: str, line: Column | None = None,
                         minutes: float = TEXT_MINUTES, records: int = RECORDS_PER_FILE, mode: str = "append") -> None:
-    """Lines in one folder per window, with at most ``records`` in a file."""
+    """Lines in one folder per window, with at most ``records`` in a file.
+
+    Rows of a window are brought together first, so that not every task writes a
+    file for every window; the rebalancing cuts large windows over several tasks.
+    """
     rows = fixed_windows(df.withColumn("value", record_json(df) if line is None else line), ts, minutes)
     named = rows.select(
         "value",
         F.date_format("window_start", STAMP).alias("window_start"),
         F.date_format("window_end", STAMP).alias("window_end"),
     )
-    writer = named.write.mode(mode).option("maxRecordsPerFile", records)
+    writer = named.hint("rebalance", "window_start", "window_end").write.mode(mode).option("maxRecordsPerFile", records)
     writer.partitionBy("window_start", "window_end").text(path)
 
 
