@@ -193,6 +193,27 @@ def custom_connectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query("""
+    SELECT o_orderkey, s_name, CASE WHEN s_suppkey IS NOT NULL THEN s_nationkey ELSE o_orderkey % 30 END AS nation
+    FROM orders LEFT JOIN (SELECT s_nationkey, max(s_suppkey) AS s_suppkey, arg_max(s_name, s_suppkey) AS s_name FROM supplier GROUP BY s_nationkey)
+      ON s_nationkey = o_orderkey % 30
+""")
+def enrichment_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A task whose records are looked up in a query before they are written."""
+    path = scratch(spark, "enriched")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 30).alias("nation"))
+    orders.write.parquet(f"{path}/in")
+    table(spark, sf_dir, "supplier").createOrReplaceTempView("weirgate_supplier")
+    run_task(spark, {
+        "job_name": "enrich", "task_name": "orders", "input_processor": "ParquetProcessor", "data_file": f"{path}/in",
+        "read_properties": {"query": "SELECT CAST(s_nationkey AS BIGINT) AS nation, s_name, s_suppkey FROM weirgate_supplier",
+                            "order_by": ["s_suppkey"]},
+        "filter_properties": {"join_column": {"nation": "nation"}}, "required_columns": ["o_orderkey", "s_name", "nation"],
+        "targets": [{"bigquery": {"target_table": f"{path}/out"}}],
+    })
+    return read_table(spark, f"{path}/out").select("o_orderkey", "s_name", "nation")
+
+
 @query("""
     SELECT count(*) AS src_rec_count, 'COMPLETED' AS status, '{"kafka": out}' AS target FROM orders
 """)

@@ -25,6 +25,7 @@ from weirgate.operators.audit import (
     target_text,
 )
 from weirgate.operators.incremental import Bounds
+from weirgate.operators.lookup import lookup_join
 from weirgate.operators.records import ERROR, SOURCE, column, error_records, message_ids, select_required, spread
 from weirgate.plans.registry import SINKS, SOURCES, column_map, flag, task_schema
 from weirgate.schema import conform
@@ -104,11 +105,22 @@ def _tagged(spark: SparkSession, task: dict) -> tuple[DataFrame, Bounds | None]:
     schema = task_schema(spark, task) or _target_schema(spark, task)
     if schema is not None:
         tagged = conform(tagged, schema)
+    tagged = _enriched(spark, task, tagged)
     if task.get("required_columns"):
         tagged = select_required(tagged, task["required_columns"])
     return tagged, bounds
 
 
+def _enriched(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame) -> DataFrame:
+    """Lay the rows of the task's lookup query over its records, if it has one."""
+    pairs = (task.get("filter_properties") or {}).get("join_column")
+    if not pairs:
+        return tagged
+    props = task["read_properties"]
+    lookup = spark.sql(props["query"], args=props.get("args") or {})
+    return lookup_join(tagged, lookup, pairs, props.get("order_by") or list(pairs.values()))
+
+
 def _target_schema(spark: SparkSession, task: Mapping[str, Any]) -> T.StructType | None:
     """Columns of the table rows are appended to, if it is there already."""
     for target in task["targets"]:
@@ -208,11 +220,11 @@ def _file_stream(spark: SparkSession, task: dict) -> tuple[DataFrame, Callable[[
     def shape(batch: DataFrame) -> DataFrame:
         rows = flatten_lines(spread(batch), mapping, task.get("layout"), task.get("topic_name"))
         if schema is not None:
-            return conform(rows, schema)
-        if task.get("layout") is not None:
-            return rows
-        # What one batch looks like says nothing about the next: without declared types all is text.
-        return rows.withColumns({name: column(name).cast("string") for name in mapping["flat_table_mapping"]})
+            rows = conform(rows, schema)
+        elif task.get("layout") is None:
+            # What one batch looks like says nothing about the next: without declared types all is text.
+            rows = rows.withColumns({name: column(name).cast("string") for name in mapping["flat_table_mapping"]})
+        return _enriched(batch.sparkSession, task, rows)
 
     return lines, shape
 
