@@ -85,6 +85,11 @@ def test_awkward_keys(spark):
     assert found == {tuple(sorted([*base, ("a.b_c d", "1")])), tuple(sorted([*base, ("a.b_c d", "2")]))}
 
 
+def test_empty_keys(spark):
+    _, rows = spark_rows(spark, [{"": 1, "a": {"": [1, 2], "b": 3}}])
+    assert sorted(rows.select("`a_`", "a_b").collect()) == [(1, 3), (2, 3)]
+
+
 def test_objects_that_are_sometimes_lists(spark):
     documents = [{"i": {"k": 1}}, {"i": [{"k": 2}, {"k": 3}]}, {"i": 4}, {"i": [5, {"k": [6, 7]}]}]
     _, rows = spark_rows(spark, documents)

@@ -44,8 +44,8 @@ def at(value: Column, keys: tuple[str, ...], kind: str) -> Column:
     path = "$"
     for i, key in enumerate(keys):
         if not key or ('"' in key and ("." in key or "[" in key)) or "?" in key:
-            inner = f"struct<{quoted(key)}: variant>"
-            return at(at(value, keys[:i], inner).getField(key), keys[i + 1:], kind)
+            inner = F.element_at(at(value, keys[:i], "map<string,variant>"), F.lit(key))
+            return at(inner, keys[i + 1:], kind)
         path += f'["{key}"]' if "." in key or "[" in key else f".{key}"
     return F.try_variant_get(value, path, kind)
 
@@ -193,7 +193,7 @@ def flat_columns(layout: Layout, join: str = "_") -> dict[str, FlatColumn]:
             walk(node.element(), name, (*steps, None))
             return
         leaf = FlatColumn(name, steps, node)
-        if (node.scalars or not node.fields) and (name not in found or leaf.depth < found[name].depth):
+        if name and (node.scalars or not node.fields) and (name not in found or leaf.depth < found[name].depth):
             found[name] = leaf
         for key, inner in (node.fields or {}).items():
             walk(inner, f"{name}{join}{key}", (*steps, key))

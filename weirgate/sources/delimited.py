@@ -60,6 +60,9 @@ def file_heads(spark: SparkSession, path: str | Sequence[str], count: int) -> Da
     follows the number of files, not their size.
     """
     heads = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and heads.conf.get(key, None) != value:
+            heads.conf.set(key, value)
     heads.conf.set("spark.sql.files.maxPartitionBytes", str(_ONE_FILE_PER_TASK))
     heads.conf.set("spark.sql.files.openCostInBytes", str(_ONE_FILE_PER_TASK))
     heads.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max(count, 1)))
