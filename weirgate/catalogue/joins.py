@@ -102,7 +102,7 @@ def incremental_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT strftime(max(o_orderdate), '%Y-%m-%d') AS top FROM orders")
 def increment_maximum(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    top = delta_literal(str(column_maximum(orders, "o_orderdate")), "TIMESTAMP")
+    top = delta_literal(column_maximum(orders, "o_orderdate"), "DATETIME")
     return orders.where(F.col("o_orderdate") == top).select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("top")).distinct()
 
 

@@ -97,7 +97,9 @@ def counted(tagged: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def job_audit_row(spark: SparkSession, values: Mapping[str, Any]) -> DataFrame:
     """One row of the job audit table; columns not given are NULL."""
-    return spark.createDataFrame([tuple(values.get(f.name) for f in JOB_AUDIT.fields)], JOB_AUDIT)
+    return spark.range(1, numPartitions=1).select(
+        [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in JOB_AUDIT.fields]
+    )
 
 
 def file_audit_rows(counts: DataFrame, job_id: str, job_name: str, task_name: str,

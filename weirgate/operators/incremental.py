@@ -33,9 +33,13 @@ class Bounds:
         return None if self.high is None else str(self.high)
 
 
-def column_maximum(df: DataFrame, name: str) -> Any:
-    """Largest value; NULLs do not count. JDBC sources compute it in the database."""
-    return df.agg(F.max(column(name)).alias("hi")).first().hi
+def column_maximum(df: DataFrame, name: str) -> str | None:
+    """Largest value as text; NULLs do not count. JDBC sources compute it in the database.
+
+    As text it means the same in the audit table and in the next load, whatever
+    the time zone of the driver is.
+    """
+    return df.agg(F.max(column(name)).cast("string").alias("hi")).first().hi
 
 
 def latest_runs(audit: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ class TaskResult:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def check_task(task: Mapping[str, Any]) -> None:
@@ -149,8 +149,7 @@ def run_task(spark: SparkSession, task: dict[str, Any]) -> TaskResult:
 
     def write_audit(**more: Any) -> None:
         if audited:
-            row = job_audit_row(spark, values | more)
-            write_table(row.coalesce(1), {"target_table": audit["job_audit_table"]}, True)
+            write_table(job_audit_row(spark, values | more), {"target_table": audit["job_audit_table"]}, True)
 
     write_audit(status=IN_PROGRESS)
     staged = None

@@ -43,7 +43,7 @@ def jdbc_frame(spark: SparkSession, props: Mapping[str, Any], query: str,
 
 
 def _ends(df: DataFrame, name: str) -> tuple[Any, Any]:
-    row = df.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()
+    row = df.agg(F.min(name).cast("string").alias("lo"), F.max(name).cast("string").alias("hi")).first()
     return row.lo, row.hi
 
 
