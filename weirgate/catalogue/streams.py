@@ -70,6 +70,28 @@ def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{path}/errors").groupBy("error_type", F.lit("events").alias("kind")).agg(F.count("*").alias("errors"))
 
 
+@query("""
+    SELECT event_id AS id, event_id % 7 = 0 AS rejected FROM events
+""")
+def stream_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive holds every line; its ids lead to the rows that came of it."""
+    path = scratch(spark, "stream-triage")
+    write_lines(_event_lines(spark, sf_dir).select("value"), f"{path}/in")
+    task = {
+        "job_name": "stream", "task_name": "events", "input_processor": "JsonFlattenStreamingProcessor",
+        "data_file": f"{path}/in", "column_name_map": EVENT_MAP, "topic_name": "live", "schema": EVENT_SCHEMA,
+        "targets": [{"bigquery_stream": {"target_table": f"{path}/out"}}], "gcs_triaging_path": f"{path}/raw",
+    }
+    run_stream_task(spark, task, f"{path}/checkpoint", available_now=True).awaitTermination()
+    raw = spark.read.text(f"{path}/raw").select(
+        F.substring_index("value", "\u0001", 1).alias("message"),
+        F.regexp_extract("value", "\u0001\\{\"event_id\":(\\d+)", 1).cast("bigint").alias("id"),
+    )
+    rows = read_table(spark, f"{path}/out").select(F.col("RawMessageId").alias("message"), F.col("id").alias("found"))
+    joined = raw.join(rows, "message", "left")
+    return joined.where("found IS NULL OR found = id").select("id", F.col("found").isNull().alias("rejected"))
+
+
 MESSAGE_LAYOUT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
 
 

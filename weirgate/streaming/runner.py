@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from weirgate.operators.lookup import lookup_join
-from weirgate.operators.records import SOURCE, split
+from weirgate.operators.records import MESSAGE_ID, SOURCE, split
 from weirgate.operators.windows import window_counts
 from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
 from weirgate.sinks.tables import write_stream_batch
-from weirgate.sinks.text import write_windowed_text
+from weirgate.sinks.text import write_archive, write_windowed_text
 
 # How often a continuous source looks for files, and a windowed database target writes.
 POLL, DATABASE_INTERVAL = "500 milliseconds", "60 seconds"
@@ -76,20 +76,27 @@ def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame], D
     """A micro-batch writer for a task: shape, split, write to all targets and the error table.
 
     The micro-batch is kept while several writers read it, so ids and results
-    are the same for all of them.
+    are the same for all of them. With ``gcs_triaging_path`` the lines as they
+    came are archived there with their ids.
     """
     error = task.get("error") or {}
+    archive = task.get("gcs_triaging_path")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch if shape is None else shape(batch)
-        tagged = tagged.persist()
+        batch = batch.persist()
+        tagged = batch if shape is None else shape(batch).persist()
         try:
+            if archive:
+                arrived = batch.withColumn("_arrived", F.current_timestamp())
+                path = f"{str(archive).rstrip('/')}/batch={batch_id}"
+                write_archive(arrived, "_arrived", MESSAGE_ID, "value", path, mode="overwrite")
             parts = split(tagged, task["job_name"], job_id, str(task["targets"]))
             write_targets(parts.valid, batch_id, task["targets"], task, event_time)
             if error.get("error_table") and str(error.get("insert_error_rec", True)).lower() == "true":
                 write_stream_batch(parts.invalid, {"target_table": error["error_table"]}, batch_id, True)
         finally:
             tagged.unpersist()
+            batch.unpersist()
 
     return write
 
