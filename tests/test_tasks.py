@@ -4,6 +4,7 @@ import os
 import pytest
 
 from weirgate.plans import run_stream_task, run_task, run_tasks
+from weirgate.plans.registry import sink
 from weirgate.session import scratch_root
 from weirgate.sinks.messages import producer_options
 from weirgate.sinks.tables import read_table, write_table
@@ -147,3 +148,19 @@ def test_appended_rows_take_the_types_of_the_table(spark, tmp_path):
     result = run_task(spark, task)
     assert (result.target_rows, result.error_rows) == (2, 1)
     assert sorted(r.id for r in read_table(spark, str(tmp_path / "out")).collect()) == [1, 1, 2]
+
+
+def test_streams_use_registered_targets_and_keep_raw_lines(spark, tmp_path):
+    seen = []
+
+    @sink("collecting")
+    def collect(df, target, task):
+        seen.extend(r.id for r in df.collect())
+
+    os.makedirs(tmp_path / "in")
+    (tmp_path / "in" / "a.json").write_text('{"id":1,"list":[]}\nbroken\n')
+    task = stream_task(tmp_path) | {"targets": [{"collecting": {}}], "gcs_triaging_path": str(tmp_path / "raw")}
+    run_stream_task(spark, task, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    assert seen == [1]
+    lines = sorted(r.value.split("\u0001")[1] for r in spark.read.text(str(tmp_path / "raw")).select("value").collect())
+    assert lines == ["broken", '{"id":1,"list":[]}']

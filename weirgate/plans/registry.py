@@ -15,7 +15,7 @@ from weirgate.schema import declared_schema, read_schema_file
 from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
 from weirgate.sinks.tables import read_table, write_table
-from weirgate.sinks.text import write_text
+from weirgate.sinks.text import text_path, write_text
 from weirgate.sources import api, database, delimited, files, messages
 
 Source = Callable[[SparkSession, dict], "DataFrame | tuple[DataFrame, Bounds]"]
@@ -210,7 +210,7 @@ def _table(df: DataFrame, target: Mapping[str, Any], task: Mapping[str, Any]) ->
 
 @sink("gcs", "text")
 def _text(df: DataFrame, target: Mapping[str, Any], task: Mapping[str, Any]) -> None:
-    write_text(df, str(target.get("path") or target["output_path"]))
+    write_text(df, text_path(target))
 
 
 @sink("kafka", "pubsub")

@@ -245,5 +245,5 @@ def run_stream_task(spark: SparkSession, task: dict[str, Any], checkpoint: str,
     else:
         stream, _ = _tagged(spark, task)
     windowed = any("rdbms_window" in target for target in task["targets"])
-    return start(stream, fan_out(task, job_id, shape, task.get("event_time")), checkpoint,
+    return start(stream, fan_out(task, job_id, shape, task.get("event_time"), SINKS), checkpoint,
                  interval=DATABASE_INTERVAL if windowed else POLL, available_now=available_now)

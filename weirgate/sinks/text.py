@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,11 @@ from weirgate.operators.windows import STAMP, fixed_windows
 TEXT_MINUTES, ARCHIVE_MINUTES, RECORDS_PER_FILE = 10, 300, 1000
 
 
+def text_path(target: Mapping[str, Any]) -> str:
+    """Where a text target is to be written."""
+    return str(target.get("path") or target["output_path"])
+
+
 def write_text(df: DataFrame, path: str, mode: str = "append") -> None:
     """One JSON object per line."""
     df.select(record_json(df).alias("value")).write.mode(mode).text(path)

@@ -16,7 +16,7 @@ from weirgate.operators.windows import window_counts
 from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
 from weirgate.sinks.tables import write_stream_batch
-from weirgate.sinks.text import write_archive, write_windowed_text
+from weirgate.sinks.text import text_path, write_archive, write_windowed_text
 
 # How often a continuous source looks for files, and a windowed database target writes.
 POLL, DATABASE_INTERVAL = "500 milliseconds", "60 seconds"
@@ -53,26 +53,31 @@ def start(
 
 
 def write_targets(batch: DataFrame, batch_id: int, targets: Sequence[Mapping[str, Any]], task: Mapping[str, Any],
-                  event_time: str | None = None) -> None:
-    """Write the valid rows of a micro-batch to every streaming target, in order."""
+                  event_time: str | None = None, sinks: Mapping[str, Callable] | None = None) -> None:
+    """Write the valid rows of a micro-batch to every target, in order.
+
+    ``sinks`` holds writers for kinds of target not known here.
+    """
     for target in targets:
         kind, props = next(iter(target.items()))
-        if kind in ("bigquery", "bigquery_stream"):
+        if kind in ("bigquery", "bigquery_stream", "table"):
             write_stream_batch(batch, props, batch_id, task.get("is_filename_req_in_target", False))
         elif kind in ("kafka", "pubsub"):
             write_messages(batch, props)
         elif kind in ("rdbms", "rdbms_window"):
             write_database(batch, props, props.get("columns"))
-        elif kind == "gcs":
-            path = f"{str(props['path']).rstrip('/')}/batch={batch_id}"
+        elif kind in ("gcs", "text"):
+            path = f"{text_path(props).rstrip('/')}/batch={batch_id}"
             timed = batch if event_time else batch.withColumn("_arrived", F.current_timestamp())
             write_windowed_text(timed, event_time or "_arrived", path, mode="overwrite")
+        elif sinks and kind in sinks:
+            sinks[kind](batch, props, task)
         else:
             raise ValueError(f"unknown target {kind!r}")
 
 
 def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame], DataFrame] | None = None,
-            event_time: str | None = None) -> Callable[[DataFrame, int], None]:
+            event_time: str | None = None, sinks: Mapping[str, Callable] | None = None) -> Callable[[DataFrame, int], None]:
     """A micro-batch writer for a task: shape, split, write to all targets and the error table.
 
     The micro-batch is kept while several writers read it, so ids and results
@@ -91,7 +96,7 @@ def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame], D
                 path = f"{str(archive).rstrip('/')}/batch={batch_id}"
                 write_archive(arrived, "_arrived", MESSAGE_ID, "value", path, mode="overwrite")
             parts = split(tagged, task["job_name"], job_id, str(task["targets"]))
-            write_targets(parts.valid, batch_id, task["targets"], task, event_time)
+            write_targets(parts.valid, batch_id, task["targets"], task, event_time, sinks)
             if error.get("error_table") and str(error.get("insert_error_rec", True)).lower() == "true":
                 write_stream_batch(parts.invalid, {"target_table": error["error_table"]}, batch_id, True)
         finally:
