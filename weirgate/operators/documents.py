@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate.operators.layout import BOOLEAN, STRING, Layout
-from weirgate.operators.records import ERROR, INVALID_RECORD, column, error_when, quoted, single_pass
+from weirgate.operators.records import ERROR, INVALID_RECORD, column, error_when, single_pass
+from weirgate.schema import type_text
 
 
 def parse_strict(df: DataFrame, text: Column, document: str) -> DataFrame:
@@ -146,23 +147,11 @@ def nested_rows(tagged: DataFrame, document: str, layout: Layout) -> DataFrame:
         return tagged.drop(document)
     others = [c for c in tagged.columns if c != document]
     wanted = [f for f in kind.fields if f.name not in others]
-    typed = F.try_variant_get(column(document), "$", _ddl(wanted))
+    typed = F.try_variant_get(column(document), "$", type_text(T.StructType(wanted)))
     rows = single_pass(tagged, typed, "_row")
     return rows.select([column("_row").getField(f.name).alias(f.name) for f in wanted] + [column(c) for c in others])
 
 
-def _ddl(fields: list[T.StructField]) -> str:
-    return "struct<" + ", ".join(f"{quoted(f.name)}: {_type_text(f.dataType)}" for f in fields) + ">"
-
-
-def _type_text(kind: T.DataType) -> str:
-    if isinstance(kind, T.StructType):
-        return _ddl(kind.fields)
-    if isinstance(kind, T.ArrayType):
-        return f"array<{_type_text(kind.elementType)}>"
-    return kind.simpleString()
-
-
 # The way from a document to a value: keys, and None for "the elements of the list".
 Steps = tuple[str | None, ...]
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.operators.records import column
+from weirgate.operators.records import column, quoted
 
 BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 5_000_000
@@ -42,14 +42,10 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def _same(left: DataFrame, right: DataFrame, pairs: Mapping[str, str]) -> Column:
     condition = F.lit(True)
     for mine, theirs in pairs.items():
-        condition &= left[_q(mine)].eqNullSafe(right[_q(theirs)])
+        condition &= left[quoted(mine)].eqNullSafe(right[quoted(theirs)])
     return condition
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more rows than a task should hold, and how many salts spread them.
 
@@ -70,11 +66,11 @@ def _salted(records: DataFrame, lookup: DataFrame, on: Mapping[str, str], rows_p
     position = F.xxhash64(F.monotonically_increasing_id())
     salt = F.coalesce(F.pmod(position, F.col("_salts")), F.lit(0))
     spread = records.join(mine, _same(records, mine, {k: k for k in on}), "left")
-    spread = spread.select(*[records[_q(c)] for c in records.columns], salt.cast("int").alias("_salt"))
+    spread = spread.select(*[records[quoted(c)] for c in records.columns], salt.cast("int").alias("_salt"))
     theirs = F.broadcast(hot.toDF(*on.values(), "_salts"))
     salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     repeated = lookup.join(theirs, _same(lookup, theirs, {v: v for v in on.values()}), "left")
-    repeated = repeated.select(*[lookup[_q(c)] for c in lookup.columns], F.explode(salts).alias("_salt"))
+    repeated = repeated.select(*[lookup[quoted(c)] for c in lookup.columns], F.explode(salts).alias("_salt"))
     return spread, repeated
 
 
