@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests import oracle
-
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+from weirgate.catalogue import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +27,8 @@ def test_entry(spark):
 
 def test_every_query_has_an_oracle():
     assert set(ORACLE) == set(QUERIES)
+
+
+def test_entry_points_hold_the_catalogue():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
