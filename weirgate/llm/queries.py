@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import mixing, sharding
+from weirgate.llm import mixing, secrets, sharding
 from weirgate.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,18 @@ def op4_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("content")
 
 
+@query()
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [p.kind for p in secrets.PATTERNS]
+    base = F.filter("secrets", lambda s: s["rank"] < len(kinds))
+    counts = [F.expr(f"size(filter(secrets, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("secrets")).alias("spans"),
+    )
+
+
 @query()
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
