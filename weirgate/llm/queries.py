@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import mixing, packing, secrets, sharding, simhash, sketches
+from weirgate.llm import extraction, mixing, packing, secrets, sharding, simhash, sketches
 from weirgate.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,12 @@ def op4_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("content")
 
 
+@query()
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract_main_text(pages)
+
+
 @query()
 def op6_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprint_versions(table(spark, sf_dir, "documents"))
