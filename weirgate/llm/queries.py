@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import extraction, mixing, packing, secrets, sharding, simhash, sketches, toxicity
+from weirgate.llm import extraction, mixing, packing, pii, secrets, sharding, simhash, sketches, toxicity
 from weirgate.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,20 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query()
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.expr(f"size(filter(spans, s -> s.base AND s.kind = {at}))").cast("long").alias(f"n_{kind}")
+        for at, kind in enumerate(pii.BASE)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query(
     f"""
     WITH rows AS (
