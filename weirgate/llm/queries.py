@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import extraction, mixing, packing, pii, secrets, sharding, simhash, sketches, toxicity
+from weirgate.llm import embeddings, extraction, mixing, packing, pii, secrets, sharding, simhash, sketches, toxicity
 from weirgate.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query()
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "n_links", F.col("component").alias("component_id"),
+        F.coalesce(F.col("vec_id") == F.col("component"), F.lit(False)).alias("kept"), "recall",
+    )
+
+
 @query()
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
