@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import Stages
+from weirgate.llm.common import Stages, free_name
 
 #: Random numbers have so many bits; with a half added they lie inside (0, 1).
 RANDOM_BITS = 52
@@ -159,3 +159,23 @@ def _fit(rows: DataFrame) -> DataFrame:
         rows = rows.withColumn("left", F.col("left") - F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).over(each))
         rows = rows.withColumn("taken", F.col("taken") | F.col("now"))
     return rows.select(*kept)
+
+
+def mixed_documents(docs: DataFrame, size: Column, text: str = "text", source: str = "source", key: str = "doc_id", **rules) -> DataFrame:
+    """The mix itself: every document as often as ``mix`` says, all columns as they are.
+
+    Rows with equal key and text share their copies.
+    """
+    stages = Stages(docs.sparkSession, "mixed")
+    name, count, rows = free_name(docs, "row_hash"), free_name(docs, "copies"), free_name(docs, "rows")
+    named = docs.withColumn(name, F.xxhash64(F.col(key), F.col(text)))
+    found = mix(named, size, source, name, **rules).groupBy(name)
+    found = stages.put(found.agg(F.sum("copies").cast("int").alias(count), F.count("*").alias(rows)))
+    wanted = found.where(F.col(count) > 0)
+    result = named.join(wanted.where(F.col(rows) == 1), name)
+    if not wanted.where(F.col(rows) > 1).isEmpty():
+        repeated = named.join(wanted.where(F.col(rows) > 1), name).dropDuplicates([name])
+        result = result.unionByName(repeated)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    stages.drop(found)
+    return result.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col(count)))).select(*columns)
