@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirgate.llm.common import free_name
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption"
@@ -244,13 +246,16 @@ def main_text(html: str | None) -> str:
     return "\n".join(kept)
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        last = batch.num_columns - 1
-        texts = [main_text(html) for html in batch.column(last).to_pylist()]
-        columns = [batch.column(i) for i in range(last)]
-        columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "_main", "_length"])
+def _extract(text: str, length: str):
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last = batch.num_columns - 1
+            texts = [main_text(html) for html in batch.column(last).to_pylist()]
+            columns = [batch.column(i) for i in range(last)]
+            columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], text, length])
+
+    return extract
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", text: str = "text", length: str = "n_chars") -> DataFrame:
@@ -261,7 +266,6 @@ def extract_main_text(pages: DataFrame, html: str = "html", text: str = "text",
     """
     drop = {html.lower(), text.lower(), length.lower()}
     kept = [c for c in pages.columns if c.lower() not in drop]
-    rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html).alias("_html"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html).alias(free_name(pages, "_html")))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    found = rows.mapInArrow(_extract, ", ".join([*fields, "_main string", "_length bigint"]))
-    return found.withColumnsRenamed({"_main": text, "_length": length})
+    return rows.mapInArrow(_extract(text, length), ", ".join([*fields, f"`{text}` string", f"`{length}` bigint"]))

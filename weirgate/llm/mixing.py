@@ -153,7 +153,7 @@ def _fit(rows: DataFrame) -> DataFrame:
     each = Window.partitionBy("of")
     so_far = each.orderBy("rank", "doc", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for _ in range(PASSES):
-        able = ~F.col("taken") & (F.col("size") <= F.col("left"))
+        able = ~F.col("taken") & F.col("size").between(1, F.col("left"))
         rows = rows.withColumn("able", able).withColumn("sum", F.sum(F.when(F.col("able"), F.col("size")).otherwise(0)).over(so_far))
         rows = rows.withColumn("now", F.col("able") & (F.col("sum") <= F.col("left")))
         rows = rows.withColumn("left", F.col("left") - F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).over(each))
@@ -178,4 +178,5 @@ def mixed_documents(docs: DataFrame, size: Column, text: str = "text", source: s
         result = result.unionByName(repeated)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     stages.drop(found)
-    return result.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col(count)))).select(*columns)
+    repeat = F.explode(F.array_repeat(F.lit(0), F.col(count))).alias(free_name(result, "repeat"))
+    return result.select(*columns, repeat).select(*columns)

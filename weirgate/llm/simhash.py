@@ -190,8 +190,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: i
     repeated = stages.put(repeated.where("n > 1").select("id", "content"))
 
     def among(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
-        chosen = chosen.select(F.col("id").alias("_id"), F.col("content").alias("_hash"))
-        return rows.join(chosen, rows[f"`{key}`"].eqNullSafe(F.col("_id")) & (rows[name] == F.col("_hash")), how)
+        return rows.join(chosen, rows[f"`{key}`"].eqNullSafe(chosen["id"]) & (rows[name] == chosen["content"]), how)
 
     rows = docs.withColumn(name, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     kept = among(rows, best, "left_semi")

@@ -7,8 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
 from tokenizers import Tokenizer
 
 #: A vocabulary in which no token crosses white space, and each word's last token ends in ``WORD_END``.
@@ -82,19 +80,3 @@ def ids_of(vocabulary: str = VOCABULARY) -> Ids:
         _loaded[vocabulary] = Ids(vocabulary)
     return _loaded[vocabulary]
 
-
-def with_token_ids(docs: DataFrame, text: Column, vocabulary: str = VOCABULARY, *keys: Column) -> DataFrame:
-    """The key columns and ``ids array<int>`` of each row; a null text has none."""
-    rows = docs.select(*keys, text.alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = ids_of(vocabulary)
-        for batch in batches:
-            last = batch.num_columns - 1
-            for row, data in enumerate(ids.encode(batch.column(last).to_pylist())):
-                columns = [batch.column(i).slice(row, 1) for i in range(last)]
-                values = pa.array([np.frombuffer(data, "<i4")], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*columns, values], names=[*batch.schema.names[:-1], "ids"])
-
-    return rows.mapInArrow(encode, f"{schema}{', ' if schema else ''}ids array<int>")

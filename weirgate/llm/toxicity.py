@@ -229,8 +229,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if n > LEARN_ROWS:
         share = int(LEARN_ROWS / n * 2**20)
         known = known.where(F.expr(f"pmod(xxhash64(id), {2**20}) < {share}"))
-    rows = docs.join(F.broadcast(known), docs[f"`{key}`"] == F.col("id"))  # LEARN_ROWS rows at most about
-    rows = stages.put(rows.select(F.monotonically_increasing_id().alias("at"), "toxic", docs[f"`{text}`"].alias("text")))
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = rows.join(F.broadcast(known), "id")  # LEARN_ROWS rows at most about
+    rows = stages.put(rows.select(F.monotonically_increasing_id().alias("at"), "toxic", "text"))
     marks = rows.mapInArrow(_marks, "at bigint, toxic int, low bigint, high bigint")
     marks = marks.dropDuplicates(["toxic", "low"]).dropDuplicates(["toxic", "high"])
     once = stages.put(rows.join(F.broadcast(marks.select("at")), "at", "left_semi"))
