@@ -165,14 +165,15 @@ def votes_and_features(text: str, start: int, kind: int, end: int) -> tuple[int,
     after = re.findall(r"[\w-]+", text[end : end + CONTEXT].lower())
     near = {*before[-5:], *after[:3]}
     cue = 1 if near & _CUE_SETS[name] else -1 if set(before[-2:]) & _COUNTER else 0
+    valid, known = _valid(name, value), _known(name, value)
     votes = 0
-    for vote in (_valid(name, value), _known(name, value), cue):
+    for vote in (valid, known, cue):
         votes = votes * 3 + vote + 1
     digits = sum(c.isdigit() for c in value)
     parts = (
         kind, min(7, (end - start) // 5), min(3, digits // 4), int(digits == end - start),
         int(start == 0 or text[start - 1] in "\n:=<("), int(" " in value), int("-" in value or "." in value),
-        int(bool(near & _CUE_SETS[name])), int(end == len(text) or text[end] in " \n,;)>"),
+        int(bool(near & _CUE_SETS[name])), int(end == len(text) or text[end] in " \n,;)>"), valid + 1, known + 1,
     )
     features = 0
     for part, size in zip(parts, FEATURE_SIZES, strict=True):
@@ -180,7 +181,7 @@ def votes_and_features(text: str, start: int, kind: int, end: int) -> tuple[int,
     return votes, features
 
 
-FEATURE_SIZES = (len(KINDS), 8, 4, 2, 2, 2, 2, 2, 2)
+FEATURE_SIZES = (len(KINDS), 8, 4, 2, 2, 2, 2, 2, 2, 3, 3)
 
 
 def unpack(features: int) -> list[int]:
