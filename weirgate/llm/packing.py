@@ -33,7 +33,7 @@ from weirgate.llm.tokens import VOCABULARY, ids_of
 SEQUENCE = 2048
 END = 0
 #: Pieces numbered together at least; more for a length that very many pieces have.
-SLICE = 500
+SLICE = 100
 
 
 def pieces(
@@ -53,8 +53,10 @@ def pieces(
         size = 4 * sequence
         for batch in batches:
             take, number, start, length, check, parts = [], [], [], [], [], []
-            for row, data in enumerate(ids.encode(batch.column(1).to_pylist())):
-                data += end
+            flat, bounds = ids.encode(batch.column(1))
+            bounds = bounds.tolist()
+            for row in range(batch.num_rows):
+                data = flat[bounds[row] : bounds[row + 1]].tobytes() + end
                 for at in range(0, len(data), size):
                     part = data[at : at + size]
                     take.append(row)
