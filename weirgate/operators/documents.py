@@ -7,16 +7,17 @@ as the documents say and not as a widened column type would have it.
 
 from __future__ import annotations
 
+import operator
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.operators.layout import BOOLEAN, STRING, Layout
+from weirgate.operators.layout import BIGINT, BOOLEAN, DECIMAL, STRING, Layout
 from weirgate.operators.records import ERROR, INVALID_RECORD, column, error_when, single_pass
 from weirgate.schema import type_text
 
@@ -140,6 +141,57 @@ def read_documents(lines: DataFrame, text: str, kind: str = INVALID_RECORD, docu
     return parsed.withColumn(ERROR, error_when(bad, kind, "not a JSON document", column(text)))
 
 
+def _scalar_misfit(value: Column, layout: Layout, flat: bool) -> Column:
+    kind = layout.scalar_type()
+    nested = is_object(value) | as_list(value).isNotNull()
+    plain = at(value, (), kind)
+    if kind == STRING:
+        return nested if flat else F.lit(False)
+    wrong = nested | plain.isNull()
+    if kind in (BIGINT, DECIMAL):
+        number = at(value, (), "double")
+        wrong |= number.isNotNull() & (number != plain.cast("double"))  # a fraction would be cut off
+    return wrong
+
+
+def misfit(value: Column, layout: Layout, flat: bool = False) -> Column:
+    """Whether a document holds something that its declared layout has no place for.
+
+    A value that is there but not of the declared kind, at whatever depth. With
+    ``flat`` lists count that the layout does not know, as each would multiply the
+    rows; other keys it does not know are left out. Declared text takes any value,
+    unless it is to be flattened.
+    """
+    ways = []
+    if layout.fields is not None:
+        wrong = ~is_object(value)
+        for key, inner in layout.fields.items():
+            wrong |= misfit(child(value, key), inner, flat)
+        if flat:
+            others = F.map_filter(at(value, (), "map<string,variant>"), lambda k, _: ~k.isin(list(layout.fields)))
+            hidden = F.exists(F.map_values(others), lambda v: F.schema_of_variant(v).contains("ARRAY<"))
+            wrong |= F.coalesce(hidden, F.lit(False))
+        ways.append(wrong)
+    if layout.items is not None:
+        inside = F.exists(as_list(value), lambda v: misfit(v, layout.items, flat))
+        ways.append(as_list(value).isNull() | F.coalesce(inside, F.lit(False)))
+    if layout.scalars:
+        ways.append(_scalar_misfit(value, layout, flat))
+    if not ways:
+        return F.lit(False)
+    return ~is_json_null(value) & F.coalesce(reduce(operator.and_, ways), F.lit(False))
+
+
+def judged(tagged: DataFrame, document: str, layout: Layout, raw: Column, kind: str = INVALID_RECORD,
+           flat: bool = False) -> DataFrame:
+    """Tag documents that do not fit a declared layout; one found in the data fits by itself."""
+    if layout.complete:
+        return tagged
+    checked = single_pass(tagged, column(ERROR).isNull() & misfit(column(document), layout, flat), "_misfit")
+    error = error_when(column("_misfit"), kind, "value does not fit the declared layout", raw)
+    return checked.withColumn(ERROR, F.coalesce(column(ERROR), error)).drop("_misfit")
+
+
 def nested_rows(tagged: DataFrame, document: str, layout: Layout) -> DataFrame:
     """One column per top-level key, nested values as structs and arrays."""
     kind = layout.spark_type()

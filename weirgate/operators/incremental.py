@@ -33,13 +33,17 @@ class Bounds:
         return None if self.high is None else str(self.high)
 
 
-def column_maximum(df: DataFrame, name: str) -> str | None:
+def column_maximum(df: DataFrame, name: str, at_least: Any = None) -> str | None:
     """Largest value as text; NULLs do not count. JDBC sources compute it in the database.
 
     As text it means the same in the audit table and in the next load, whatever
-    the time zone of the driver is.
+    the time zone of the driver is. It is never below ``at_least``, the bound of
+    the load before: a source that is empty for a while does not start over.
     """
-    return df.agg(F.max(column(name)).cast("string").alias("hi")).first().hi
+    high = df.agg(F.max(column(name)).alias("hi"))
+    if at_least is not None:
+        high = high.select(F.greatest("hi", delta_literal(at_least, df.schema[name].dataType)).alias("hi"))
+    return high.select(F.col("hi").cast("string")).first().hi
 
 
 def latest_runs(audit: DataFrame) -> DataFrame:
@@ -93,5 +97,6 @@ def within(df: DataFrame, name: str, bounds: Bounds) -> DataFrame:
 
 def increment(df: DataFrame, name: str, audit: DataFrame, job_name: str, task_name: str) -> tuple[DataFrame, Bounds]:
     """The rows of ``df`` that the last completed load has not seen, and their bounds."""
-    bounds = Bounds(previous_bound(audit, job_name, task_name), column_maximum(df, name))
+    previous = previous_bound(audit, job_name, task_name)
+    bounds = Bounds(previous, column_maximum(df, name, previous))
     return within(df, name, bounds), bounds

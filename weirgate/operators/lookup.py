@@ -12,13 +12,17 @@ from weirgate.operators.records import column, quoted
 
 BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 5_000_000
-_MOST_HOT_KEYS = 100_000
 
 
 def last_per_key(lookup: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The last row per key, as one aggregation (no sort, partial results before the shuffle)."""
+    """The last row per key, as one aggregation (no sort, partial results before the shuffle).
+
+    Rows that ``order_by`` leaves equal are told apart by their other values, so
+    the result does not depend on how the lookup is partitioned.
+    """
     rest = [c for c in lookup.columns if c not in keys]
-    order = F.struct(*[column(c) for c in order_by])
+    plain = [c for c in rest if c not in order_by and not isinstance(lookup.schema[c].dataType, (T.MapType, T.VariantType))]
+    order = F.struct(*[column(c) for c in (*order_by, *plain)])
     row = F.struct(*[column(c) for c in rest]) if rest else F.struct(F.lit(True).alias("_any"))
     last = lookup.groupBy(*[column(k) for k in keys]).agg(F.max_by(row, order).alias("_last"))
     return last.select(*[column(k) for k in keys], *[F.col("_last").getField(c).alias(c) for c in rest])
@@ -49,13 +53,11 @@ def _same(left: DataFrame, right: DataFrame, pairs: Mapping[str, str]) -> Column
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more rows than a task should hold, and how many salts spread them.
 
-    A key counts as hot above ``rows_per_task`` rows, and above so large a share
-    of all rows that there cannot be more than 100,000 of them.
+    There is one such key per ``rows_per_task`` rows at most, and one pass finds them.
     """
     counts = df.groupBy(*[column(k) for k in keys]).agg(F.count("*").alias("_n"))
-    least = max(rows_per_task, df.count() / _MOST_HOT_KEYS)
     salts = F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")
-    found = counts.where(F.col("_n") > least).select(*[column(k) for k in keys], salts)
+    found = counts.where(F.col("_n") > rows_per_task).select(*[column(k) for k in keys], salts)
     return df.sparkSession.createDataFrame(found.collect(), T.StructType([T.StructField(f.name, f.dataType) for f in found.schema.fields]))
 
 
@@ -63,8 +65,9 @@ def _salted(records: DataFrame, lookup: DataFrame, on: Mapping[str, str], rows_p
     """Spread the records of hot keys over salts and repeat their lookup rows for each salt."""
     hot = hot_keys(records, list(on), rows_per_task)
     mine = F.broadcast(hot)
-    position = F.xxhash64(F.monotonically_increasing_id())
-    salt = F.coalesce(F.pmod(position, F.col("_salts")), F.lit(0))
+    # From the record's content, so that a task that runs again salts alike whatever order its rows come in.
+    values = [records[quoted(f.name)] for f in records.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salt = F.coalesce(F.pmod(F.xxhash64(*values), F.col("_salts")), F.lit(0))
     spread = records.join(mine, _same(records, mine, {k: k for k in on}), "left")
     spread = spread.select(*[records[quoted(c)] for c in records.columns], salt.cast("int").alias("_salt"))
     theirs = F.broadcast(hot.toDF(*on.values(), "_salts"))
@@ -78,7 +81,7 @@ def lookup_join(
     records: DataFrame,
     lookup: DataFrame,
     on: Mapping[str, str],
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -86,15 +89,22 @@ def lookup_join(
 
     ``on`` maps record columns to lookup columns; NULL matches NULL. Columns of
     the lookup replace those of the same name, also with NULL. ``order_by`` says
-    which of several matching rows is the last. A lookup that was measured to be
-    small is broadcast; otherwise both sides are shuffled, with hot keys salted.
+    which of several matching rows is the last; without it keys must not repeat.
+    A lookup that was measured to be small is broadcast; otherwise both sides are
+    shuffled, with hot keys salted.
     """
     if len(set(on.values())) < len(on):
         raise ValueError("a lookup column may be joined once only")
     missing = [c for c in on if c not in records.columns] + [c for c in on.values() if c not in lookup.columns]
     if not on or missing:
         raise ValueError(f"join columns missing: {missing or 'no join columns given'}")
-    last = last_per_key(lookup, list(on.values()), order_by)
+    theirs = list(on.values())
+    if not order_by:
+        repeated = lookup.groupBy(*[column(c) for c in theirs]).agg(F.count("*").alias("_n")).where("_n > 1")
+        if not repeated.isEmpty():
+            raise ValueError(f"several lookup rows for one key of {theirs}: order_by has to say which is the last")
+        order_by = theirs
+    last = last_per_key(lookup, theirs, order_by)
     pairs = dict(on)
     if fits_broadcast(last, broadcast_bytes):
         left, right = records, F.broadcast(last.withColumn("_matched", F.lit(True)))

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weirgate.operators.records import column
-from weirgate.session import scratch_path
+from weirgate.session import remove_at_exit, scratch_path
 
 # Fixed value: format of window bounds in file names.
 STAMP = "yyyy_MM_dd_HH_mm"
@@ -56,6 +56,7 @@ def number_within(df: DataFrame, groups: Sequence[str], name: str, rows_per_slic
     by = [column(g) for g in groups]
     path = scratch_path(df.sparkSession, "positions")
     df.withColumn("_position", F.monotonically_increasing_id()).write.parquet(path)
+    remove_at_exit(df.sparkSession, path)
     rows = df.sparkSession.read.parquet(path)
     largest = rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     slices = F.lit(max(1, -(-largest // rows_per_slice)))

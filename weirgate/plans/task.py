@@ -118,7 +118,7 @@ def _enriched(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame) -
         return tagged
     props = task["read_properties"]
     lookup = spark.sql(props["query"], args=props.get("args") or {})
-    return lookup_join(tagged, lookup, pairs, props.get("order_by") or list(pairs.values()))
+    return lookup_join(tagged, lookup, pairs, props.get("order_by"))
 
 
 def _target_schema(spark: SparkSession, task: Mapping[str, Any]) -> T.StructType | None:

@@ -70,13 +70,23 @@ def type_text(kind: T.DataType) -> str:
 
 
 def _converted(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """The value as the wanted type; structs go by field names, and what does not fit is NULL."""
     nested = isinstance(want, (T.StructType, T.ArrayType))
     if nested and isinstance(have, T.StringType):
         return F.try_variant_get(F.try_parse_json(value), "$", type_text(want))
     if nested and isinstance(have, T.VariantType):
         return F.try_variant_get(value, "$", type_text(want))
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        kinds = {f.name: f.dataType for f in have.fields}
+        fields = [
+            (_converted(value.getField(f.name), kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(value, lambda v: _converted(v, have.elementType, want.elementType))
     if nested:
-        return value.cast(want)
+        return F.lit(None).cast(want)
     if isinstance(have, (T.StructType, T.ArrayType)):
         return F.to_json(value) if isinstance(want, T.StringType) else F.lit(None).cast(want)
     if isinstance(want, T.IntegralType) and isinstance(have, (T.DoubleType, T.FloatType)):
@@ -86,10 +96,35 @@ def _converted(value: Column, have: T.DataType, want: T.DataType) -> Column:
     return value.try_cast(want)
 
 
+def _misfit(value: Column, typed: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Whether a value, or one inside it, is there but NULL once it is converted, or missing where it is required."""
+    lost = value.isNotNull() & typed.isNull()
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        kinds = {f.name: f.dataType for f in have.fields}
+        for f in want.fields:
+            inner = typed.getField(f.name)
+            if f.name in kinds:
+                lost |= _misfit(value.getField(f.name), inner, kinds[f.name], f.dataType)
+            if not f.nullable:
+                lost |= typed.isNotNull() & inner.isNull()
+    elif isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        pairs = F.arrays_zip(value.alias("a"), typed.alias("b"))
+        wrong = F.exists(pairs, lambda p: _misfit(p.getField("a"), p.getField("b"), have.elementType, want.elementType))
+        lost |= F.coalesce(wrong, F.lit(False))
+    elif isinstance(want, (T.StructType, T.ArrayType)) and isinstance(have, (T.StringType, T.VariantType)):
+        from weirgate.operators.documents import misfit
+        from weirgate.operators.layout import Layout
+
+        document = F.try_parse_json(value) if isinstance(have, T.StringType) else value
+        lost |= F.coalesce(misfit(document, Layout.of(want)), F.lit(False))
+    return F.coalesce(lost, F.lit(False))
+
+
 def conform(tagged: DataFrame, declared: T.StructType, extra: str = "keep") -> DataFrame:
     """Bring the columns to their declared types.
 
-    A value that is there and cannot be converted, or a NULL in a required
+    Nested values are matched by the names of their fields. A value that is
+    there, at whatever depth, and cannot be converted, or a NULL in a required
     column, tags its record as bad; declared columns the frame lacks are NULL.
     Columns beyond the declared ones are kept, or dropped with ``extra="drop"``.
     """
@@ -108,8 +143,8 @@ def conform(tagged: DataFrame, declared: T.StructType, extra: str = "keep") -> D
     problems = [F.lit(None).cast("string")]
     for f in declared.fields:
         if f.name in old:
-            misfit = column(old[f.name]).isNotNull() & column(f.name).isNull()
-            problems.append(F.when(misfit, F.lit(f"{f.name} is not of type {f.dataType.simpleString()}")))
+            wrong = _misfit(column(old[f.name]), column(f.name), have[f.name], f.dataType)
+            problems.append(F.when(wrong, F.lit(f"{f.name} is not of type {f.dataType.simpleString()}")))
         if not f.nullable:
             problems.append(F.when(column(f.name).isNull(), F.lit(f"{f.name} column cannot be Null")))
     judged = single_pass(both, F.coalesce(*problems), "_problem")

@@ -47,6 +47,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/weirgate/{label}-{uuid.uuid4().hex}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a staged table when the session's process ends, as frames may read it until then."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a staged table this engine wrote, through the file system it lives on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Mapping
 from typing import Any
 
@@ -32,7 +34,13 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 def read_table(spark: SparkSession, name: str, data_format: str = "parquet") -> DataFrame:
     name = table_name(name)
-    return spark.read.format(data_format).load(name) if is_path(name) else spark.table(name)
+    if not is_path(name):
+        return spark.table(name)
+    reader = spark.read.format(data_format)
+    if _children(spark, name, f"{BATCH_COLUMN}=*") and _children(spark, name, "[!_.]*.*"):
+        # A batch task wrote into the folder before a stream did: files lie beside the partitions.
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.load(name)
 
 
 def has_rows(spark: SparkSession, name: str, data_format: str = "parquet") -> bool:
@@ -62,7 +70,12 @@ def write_table(df: DataFrame, target: Mapping[str, Any], keep_source_name: Any
         raise ValueError(f"{name} has rows already")
     # An empty table counts as free, so what is there may be replaced.
     mode = "append" if disposition == APPEND else "overwrite"
-    writer = prepared(df, keep_source_name).write.mode(mode).format(data_format)
+    rows = prepared(df, keep_source_name)
+    if mode == "append" and in_batches(spark, name):
+        # Streams write here too: these rows get a partition of their own beside theirs.
+        _write_partition(rows, name, data_format, uuid.uuid4().hex)
+        return
+    writer = rows.write.mode(mode).format(data_format)
     if is_path(name):
         writer.save(name)
     else:
@@ -80,21 +93,57 @@ def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def in_batches(spark: SparkSession, name: str) -> bool:
+    """Whether a target is kept in partitions by batch, as streams leave it."""
+    if not exists(spark, name):
+        return False
+    if not is_path(name):
+        return BATCH_COLUMN in spark.table(name).columns
+    return bool(_children(spark, name, f"{BATCH_COLUMN}=*"))
+
+
+def _children(spark: SparkSession, name: str, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{name.rstrip('/')}/{pattern}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [str(status.getPath()) for status in found or []]
+
+
+def batch_label(spark: SparkSession, batch_id: int) -> str:
+    """Name of a micro-batch that no other stream uses: the query's id, which its checkpoint keeps, and the number."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{int(batch_id)}" if query else str(int(batch_id))
+
+
+def _write_partition(rows: DataFrame, name: str, data_format: str, label: str) -> None:
+    spark = rows.sparkSession
+    if is_path(name):
+        rows.write.mode("overwrite").format(data_format).save(f"{name.rstrip('/')}/{BATCH_COLUMN}={label}")
+        return
+    table = spark.table(name)
+    label = label if isinstance(table.schema[BATCH_COLUMN].dataType, T.StringType) else str(zlib.crc32(label.encode()))
+    rows = fitted(rows, table.schema)
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH_COLUMN} = '{label}') SELECT * FROM {{rows}}", rows=rows)
+
+
 def write_stream_batch(df: DataFrame, target: Mapping[str, Any], batch_id: int, keep_source_name: Any = False) -> None:
     """Write one micro-batch into its own partition of the target.
 
     A batch that runs again after a failure replaces what its first run left, so
-    the target holds every record once.
+    the target holds every record once. Other streams, a fresh checkpoint and
+    batch tasks have partitions of their own. A catalog table that a batch task
+    made has no partitions by batch; it is appended to, at least once.
     """
     spark = df.sparkSession
+    label = batch_label(spark, batch_id)
     name, data_format = table_name(str(target["target_table"])), target.get("format", "parquet")
     rows = prepared(df, keep_source_name)
     if target.get("schema") is not None:
         rows = fitted(rows, target["schema"])
     if is_path(name):
-        rows.write.mode("overwrite").format(data_format).save(f"{name.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+        _write_partition(rows, name, data_format, label)
     elif not exists(spark, name):
-        rows.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.partitionBy(BATCH_COLUMN).format(data_format).saveAsTable(name)
+        rows.withColumn(BATCH_COLUMN, F.lit(label)).write.partitionBy(BATCH_COLUMN).format(data_format).saveAsTable(name)
+    elif in_batches(spark, name):
+        _write_partition(rows, name, data_format, label)
     else:
-        rows = fitted(rows, spark.table(name).schema)
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH_COLUMN} = {int(batch_id)}) SELECT * FROM {{rows}}", rows=rows)
+        fitted(rows, spark.table(name).schema).write.mode("append").format(data_format).saveAsTable(name)

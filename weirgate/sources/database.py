@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirgate.operators.incremental import Bounds, column_maximum, within
 from weirgate.operators.records import (
@@ -18,13 +20,17 @@ from weirgate.operators.records import (
 
 
 def jdbc_options(props: Mapping[str, Any]) -> dict[str, str]:
-    """Connector options from the properties of a database connection."""
+    """Connector options from the properties of a database connection.
+
+    Options of the connector itself go under ``options``, by their own names.
+    """
     names = {
         "jdbc_url": "url", "url": "url", "driver_class_name": "driver", "driver": "driver",
         "username": "user", "user": "user", "password": "password", "fetchsize": "fetchsize",
         "batchsize": "batchsize", "sessionInitStatement": "sessionInitStatement",
     }
-    return {names[k]: str(v) for k, v in props.items() if k in names}
+    known = {names[k]: str(v) for k, v in props.items() if k in names}
+    return known | {k: str(v) for k, v in (props.get("options") or {}).items()}
 
 
 def jdbc_frame(spark: SparkSession, props: Mapping[str, Any], query: str,
@@ -42,6 +48,14 @@ def jdbc_frame(spark: SparkSession, props: Mapping[str, Any], query: str,
     return spark.read.format("jdbc").options(**options).load()
 
 
+def whole_bounds(kind: T.DataType, low: Any, high: Any) -> tuple[Any, Any]:
+    """Bounds for a partitioned read: numbers as the whole numbers around them, other values as they are."""
+    if not isinstance(kind, T.NumericType):
+        return low, high
+    down, up = Decimal(str(low)).to_integral_value(ROUND_FLOOR), Decimal(str(high)).to_integral_value(ROUND_CEILING)
+    return int(down), int(up)
+
+
 def _ends(df: DataFrame, name: str) -> tuple[Any, Any]:
     row = df.agg(F.min(name).cast("string").alias("lo"), F.max(name).cast("string").alias("hi")).first()
     return row.lo, row.hi
@@ -54,7 +68,8 @@ def jdbc_scan(spark: SparkSession, props: Mapping[str, Any], query: str, source_
     if partition_column is not None:
         low, high = _ends(rows, partition_column)
         if low is not None:
-            rows = jdbc_frame(spark, props, query, (partition_column, low, high, parts))
+            ends = whole_bounds(rows.schema[partition_column].dataType, low, high)
+            rows = jdbc_frame(spark, props, query, (partition_column, *ends, parts))
     return _database_rows(rows, source_name)
 
 
@@ -65,10 +80,11 @@ def jdbc_incremental_scan(spark: SparkSession, props: Mapping[str, Any], query:
     The increment column also spreads the read over several connections.
     """
     rows = jdbc_frame(spark, props, query)
-    bounds = Bounds(previous, column_maximum(rows, column_name))
+    bounds = Bounds(previous, column_maximum(rows, column_name, previous))
     if bounds.high is not None:
         low = previous if previous is not None else _ends(rows, column_name)[0]
-        rows = jdbc_frame(spark, props, query, (column_name, low, bounds.high, parts))
+        ends = whole_bounds(rows.schema[column_name].dataType, low, bounds.high)
+        rows = jdbc_frame(spark, props, query, (column_name, *ends, parts))
     return _database_rows(within(rows, column_name, bounds), source_name), bounds
 
 

@@ -7,11 +7,14 @@ only the first lines of each file are looked at separately, for its header.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import partial, reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +40,11 @@ _QUOTE, _DELIMITER, _ESCAPE, _END, _NONE = "﷐", "﷑", "﷒", "﷓", "﷔"
 _ONE_FILE_PER_TASK = 1 << 40
 
 
+def _complete(lines: list[str], count: int) -> bool:
+    """Whether there are so many lines, the last one not blank."""
+    return len(lines) >= count and bool(lines[-1].strip())
+
+
 def _first_lines(count: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     path, lines = None, []
     for batch in batches:
@@ -45,16 +53,16 @@ def _first_lines(count: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
                 yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([lines])], names=["path", "lines"])
                 lines = []
             path = file
-            if len(lines) < count:
+            if not _complete(lines, count):
                 lines.append(line)
-        if len(lines) >= count:
+        if _complete(lines, count):
             break
     if path is not None:
         yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([lines])], names=["path", "lines"])
 
 
 def file_heads(spark: SparkSession, path: str | Sequence[str], count: int) -> DataFrame:
-    """The first ``count`` lines of each file, as (path, lines).
+    """The first ``count`` lines of each file, and more while the last is blank, as (path, lines).
 
     One task per file, which stops reading once it has its lines; so the cost
     follows the number of files, not their size.
@@ -72,52 +80,66 @@ def file_heads(spark: SparkSession, path: str | Sequence[str], count: int) -> Da
 
 
 def _headers(spark: SparkSession, path: str | Sequence[str], skip_rows: int) -> list[tuple[str, str | None]]:
-    """(path, line after the skipped ones) of each file.
+    """(path, first line after the skipped ones that is not blank) of each file.
 
     Leading lines are left out in the first split of a file, so they must lie in it.
     """
     size = F.aggregate("lines", F.lit(0), lambda n, line: n + F.octet_length(line) + 2)
     heads = file_heads(spark, path, skip_rows + 1)
-    rows = heads.select("path", F.get("lines", F.lit(skip_rows)).alias("header"), size.alias("size")).collect()
+    rest = F.filter(F.slice("lines", skip_rows + 1, F.greatest(F.size("lines"), F.lit(1))), lambda line: F.trim(line) != "")
+    rows = heads.select("path", F.get(rest, F.lit(0)).alias("header"), size.alias("size")).collect()
     conf = spark._jsparkSession.sessionState().conf()
     smallest = min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes())
     if any(r.size >= smallest for r in rows):
         raise ValueError("leading lines do not fit the smallest split; raise spark.sql.files.openCostInBytes")
-    return [(r.path, r.header) for r in rows]
+    return [(_as_path(r.path), r.header) for r in rows]
+
 
+def _as_path(uri: str) -> str:
+    """What a reader takes for the file of a URI: decoded, and no part of it a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
-def _drop_leading(count: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leave out the first ``count`` lines of each file.
+
+def _drop_leading(count: int, header: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leave out the first ``count`` lines of each file, and with ``header`` all up to one that is not blank.
 
     They are all in the split that starts at byte 0; the lines of a split reach
-    one task in file order.
+    one task in file order. Batches of other splits pass as they are.
     """
-    path, start, seen = None, None, 0
+    path, start, seen, pending = None, None, 0, header
     for batch in batches:
-        files, starts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        if batch.num_rows and pc.min(batch.column(1)).as_py() > 0:
+            path = None
+            yield batch
+            continue
         keep = []
-        for file, begin in zip(files, starts):
+        for file, begin, line in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if (file, begin) != (path, start):
-                path, start, seen = file, begin, 0
+                path, start, seen, pending = file, begin, 0, header
             seen += 1
-            keep.append(begin != 0 or seen > count)
-        yield batch.filter(pa.array(keep))
+            if begin != 0 or seen > count and not pending:
+                keep.append(True)
+            else:
+                keep.append(False)
+                if seen > count and line.strip():
+                    pending = False
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def lines_after(spark: SparkSession, path: str | Sequence[str], skip: int) -> DataFrame:
-    """(source_name, value) for the lines of all files but the first ``skip`` of each."""
+def lines_after(spark: SparkSession, path: str | Sequence[str], skip: int, header: bool = False) -> DataFrame:
+    """(source_name, value) for the lines of all files but the first ``skip`` of each, and the header behind them."""
     source = F.col("_metadata.file_path").alias(SOURCE)
-    if skip == 0:
+    if skip == 0 and not header:
         return spark.read.text(path).select(source, "value")
-    if skip == 1:
-        # The CSV reader leaves out one header line per file by itself; with a
-        # separator that never occurs each line is a single field.
+    if skip == 0:
+        # The CSV reader leaves out one header line per file by itself, the first that
+        # is not blank; with a separator that never occurs each line is a single field.
         reader = spark.read.schema("value string").options(
             header=True, sep=_END, quote="", escape="", nullValue=_NONE, emptyValue="", mode="PERMISSIVE"
         )
         return reader.csv(path).select(source, "value")
     lines = spark.read.text(path).select(source, F.col("_metadata.file_block_start").alias("start"), "value")
-    kept = lines.mapInArrow(partial(_drop_leading, skip), f"{SOURCE} string, start bigint, value string")
+    kept = lines.mapInArrow(partial(_drop_leading, skip, header), f"{SOURCE} string, start bigint, value string")
     return kept.drop("start")
 
 
@@ -151,10 +173,8 @@ def split_fields(
          "mode": "PERMISSIVE", "maxColumns": str(max(20480, width + 2)), "maxCharsPerColumn": "-1"},
     )
     rows = single_pass(lines, parsed, "_parsed")
-    count = F.lit(None).cast("int")
-    for i in range(1, width + 1):
-        count = F.when(F.col(f"_parsed.c{i}") == _END, i).otherwise(count)
-    rows = rows.withColumn("_count", count)
+    places = F.array(*[F.col(f"_parsed.c{i}") for i in range(1, width + 1)])
+    rows = rows.withColumn("_count", F.nullif(F.array_position(places, _END), F.lit(0)).cast("int"))
 
     def field(i: int) -> Column:
         text = F.coalesce(F.col(f"_parsed.c{i}"), F.lit(""))
@@ -231,7 +251,7 @@ def delimited_scan(
         raise ValueError(f"no file with a header at {path}")
     parts = []
     for names, files in groups.items():
-        lines = lines_after(spark, path if len(groups) == 1 else files, skip_rows + 1)
+        lines = lines_after(spark, path if len(groups) == 1 else files, skip_rows, header=True)
         parts.append(_named_rows(lines, names, extra_columns, delimiter, escape, markers))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     data = [c for c in rows.columns if c not in (SOURCE, ERROR)]
@@ -244,7 +264,8 @@ def _multi_line_scan(spark, path, delimiter, markers, header, schema, skip_rows,
     names = list(schema.names) if schema is not None and not header else None
     if names is None:
         heads = file_heads(spark, path, 1).collect()
-        found = {tuple(next(csv.reader([h.lines[0]], delimiter=delimiter))) for h in heads if h.lines}
+        first = [next((line for line in h.lines if line.strip()), None) for h in heads]
+        found = {tuple(next(csv.reader([line], delimiter=delimiter))) for line in first if line is not None}
         if len(found) != 1:
             raise ValueError("multi_line needs files with one common header")
         names = list(found.pop())

@@ -35,12 +35,14 @@ def line_scan(spark: SparkSession, path: str | Sequence[str], whole: bool = Fals
     return spark.read.text(path, wholetext=whole).select(F.col("_metadata.file_path").alias(SOURCE), "value")
 
 
-def _rows(tagged: DataFrame, layout: Layout | T.StructType | None) -> DataFrame:
+def _rows(tagged: DataFrame, layout: Layout | T.StructType | None, kind: str = INVALID_RECORD) -> DataFrame:
     if layout is None:
         layout = infer(tagged.where(column(ERROR).isNull()), _DOCUMENT)
     elif isinstance(layout, T.StructType):
         layout = Layout.of(layout)
-    return D.nested_rows(tagged.drop("value"), _DOCUMENT, layout)
+    raw = F.coalesce(F.to_json(column(_DOCUMENT)), column("value"))
+    fitting = D.judged(tagged, _DOCUMENT, layout, raw, kind)
+    return D.nested_rows(fitting.drop("value"), _DOCUMENT, layout)
 
 
 def json_scan(spark: SparkSession, path: str | Sequence[str], root: str | None = None,
@@ -66,7 +68,7 @@ def document_rows(lines: DataFrame, root: str | None = None,
     Without a layout the keys are found in a pass over all documents.
     """
     documents = D.read_documents(lines, "value", kind, _DOCUMENT)
-    return _rows(D.explode_root(documents, _DOCUMENT, root, column("value"), kind), layout)
+    return _rows(D.explode_root(documents, _DOCUMENT, root, column("value"), kind), layout, kind)
 
 
 def flatten_lines(lines: DataFrame, column_map: Mapping | str, layout: Layout | T.StructType | None = None,
@@ -77,7 +79,8 @@ def flatten_lines(lines: DataFrame, column_map: Mapping | str, layout: Layout |
         layout = infer_texts(lines, "value")
     elif isinstance(layout, T.StructType):
         layout = Layout.of(layout)
-    return map_documents(documents, _DOCUMENT, parse_column_map(column_map), layout, column("value"), topic)
+    fitting = D.judged(documents, _DOCUMENT, layout, column("value"), kind, flat=True)
+    return map_documents(fitting, _DOCUMENT, parse_column_map(column_map), layout, column("value"), topic)
 
 
 def flatten_json_scan(spark: SparkSession, path: str | Sequence[str], column_map: Mapping | str,
@@ -87,10 +90,11 @@ def flatten_json_scan(spark: SparkSession, path: str | Sequence[str], column_map
 
     ``staging`` = (prefix read, prefix to report) rewrites the source names.
     """
-    lines = spread(line_scan(spark, path))
+    lines = line_scan(spark, path)
     if staging is not None:
         lines = lines.withColumn(SOURCE, rewrite_source(column(SOURCE), *staging))
-    return flatten_lines(message_ids(lines), column_map, layout, topic)
+    # Ids come from the positions in the files, before anything moves the lines.
+    return flatten_lines(spread(message_ids(lines)), column_map, layout, topic)
 
 
 def parquet_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from weirgate.operators.records import MESSAGE_ID, SOURCE, split
 from weirgate.operators.windows import window_counts
 from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
-from weirgate.sinks.tables import write_stream_batch
+from weirgate.sinks.tables import batch_label, write_stream_batch
 from weirgate.sinks.text import text_path, write_archive, write_windowed_text
 
 # How often a continuous source looks for files, and a windowed database target writes.
@@ -67,7 +67,7 @@ def write_targets(batch: DataFrame, batch_id: int, targets: Sequence[Mapping[str
         elif kind in ("rdbms", "rdbms_window"):
             write_database(batch, props, props.get("columns"))
         elif kind in ("gcs", "text"):
-            path = f"{text_path(props).rstrip('/')}/batch={batch_id}"
+            path = f"{text_path(props).rstrip('/')}/batch={batch_label(batch.sparkSession, batch_id)}"
             timed = batch if event_time else batch.withColumn("_arrived", F.current_timestamp())
             write_windowed_text(timed, event_time or "_arrived", path, mode="overwrite")
         elif sinks and kind in sinks:
@@ -93,7 +93,7 @@ def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame], D
         try:
             if archive:
                 arrived = batch.withColumn("_arrived", F.current_timestamp())
-                path = f"{str(archive).rstrip('/')}/batch={batch_id}"
+                path = f"{str(archive).rstrip('/')}/batch={batch_label(batch.sparkSession, batch_id)}"
                 write_archive(arrived, "_arrived", MESSAGE_ID, "value", path, mode="overwrite")
             parts = split(tagged, task["job_name"], job_id, str(task["targets"]))
             write_targets(parts.valid, batch_id, task["targets"], task, event_time, sinks)
