@@ -18,9 +18,9 @@ def write(folder, name, text):
 
 
 def test_short_row_lacks_the_last_field(spark, tmp_path):
-    write(tmp_path, "e.csv", "emp_code,manager_code,company_code\ndum,2,3\n4,5,6\n7,8\n")
+    write(tmp_path, "e.csv", "buoy,depth,harbour\nnone,12,9\n31,40,2\n55,17\n")
     rows = split(delimited.delimited_scan(spark, str(tmp_path))).valid
-    assert sorted(r[:3] for r in rows.collect()) == [("4", "5", "6"), ("7", "8", None), ("dum", "2", "3")]
+    assert sorted(r[:3] for r in rows.collect()) == [("31", "40", "2"), ("55", "17", None), ("none", "12", "9")]
     assert all(r.source_name.endswith("e.csv") for r in rows.collect())
 
 
@@ -90,9 +90,9 @@ def test_text_that_is_not_utf8(spark, tmp_path):
 
 
 def test_json_document_with_root(spark, tmp_path):
-    write(tmp_path, "a.json", json.dumps({"kk": [{"name": "x", "age": "1"}, {"name": "y", "age": "2"}]}, indent=2))
-    rows = split(files.json_scan(spark, str(tmp_path), root="kk")).valid
-    assert {(r.name, r.age) for r in rows.collect()} == {("x", "1"), ("y", "2")}
+    write(tmp_path, "a.json", json.dumps({"boats": [{"hull": "oak", "crew": "4"}, {"hull": "elm", "crew": "11"}]}, indent=2))
+    rows = split(files.json_scan(spark, str(tmp_path), root="boats")).valid
+    assert {(r.hull, r.crew) for r in rows.collect()} == {("oak", "4"), ("elm", "11")}
 
 
 def test_json_elements_that_are_no_objects(spark, tmp_path):
@@ -105,9 +105,9 @@ def test_json_elements_that_are_no_objects(spark, tmp_path):
 
 
 def test_ndjson_lists_and_blank_lines(spark, tmp_path):
-    write(tmp_path, "a.json", '[{"emp_code": 1, "company_code": "c"}]\n\n{"emp_code": 2}\n{"emp_code": "three"}\n')
+    write(tmp_path, "a.json", '[{"pier": 1, "owner": "c"}]\n\n{"pier": 2}\n{"pier": "three"}\n')
     parts = split(files.ndjson_scan(spark, str(tmp_path)))
-    assert {r.emp_code for r in parts.valid.collect()} == {"1", "2", "three"}
+    assert {r.pier for r in parts.valid.collect()} == {"1", "2", "three"}
     assert parts.invalid.count() == 1
 
 
@@ -118,20 +118,20 @@ def test_nested_values_stay_nested(spark, tmp_path):
 
 
 def test_flatten_batch_file(spark, tmp_path):
-    write(tmp_path, "a.json", '{"id":1,"address":{"line1":"a","line2":"b"},"pincode":3}\n')
-    mapping = {"flat_table_mapping": {k: k for k in ("id", "address_line1", "address_line2", "pincode")}}
+    write(tmp_path, "a.json", '{"id":1,"berth":{"quay":"north","post":"b7"},"tide":3}\n')
+    mapping = {"flat_table_mapping": {k: k for k in ("id", "berth_quay", "berth_post", "tide")}}
     rows = split(files.flatten_json_scan(spark, str(tmp_path), mapping, staging=(str(tmp_path), "/orig"))).valid
     row = rows.first()
-    assert row[:4] == (1, "a", "b", 3) and "orig/a.json" in row.source_name and row.FileName == row.source_name
+    assert row[:4] == (1, "north", "b7", 3) and "orig/a.json" in row.source_name and row.FileName == row.source_name
 
 
 def test_xml_document(spark):
-    book = '<book category="{}"><title>{}</title><author>{}</author><price>{}</price></book>'
-    text = "<bookstore>" + book.format("A", "t1", "x", "30.00") + book.format("B", "t2", "y", "29.99") + "</bookstore>"
-    schema = T._parse_datatype_string("book array<struct<`@category`:string,title:string,author:string,price:string>>")
+    lock = '<lock side="{}"><gate>{}</gate><rise>{}</rise></lock>'
+    text = "<canal>" + lock.format("west", "g1", "2.40") + lock.format("east", "g2", "0.95") + "</canal>"
+    schema = T._parse_datatype_string("lock array<struct<`@side`:string,gate:string,rise:string>>")
     rows = files.xml_rows(spark.createDataFrame([(text,), ("not xml",)], "value string"), schema)
     parts = split(rows)
-    assert parts.valid.first().book == [("A", "t1", "x", "30.00"), ("B", "t2", "y", "29.99")]
+    assert parts.valid.first().lock == [("west", "g1", "2.40"), ("east", "g2", "0.95")]
     assert [(r.error_type, r.error_record) for r in parts.invalid.collect()] == [("Invalid Xml", "not xml")]
 
 
@@ -141,10 +141,10 @@ def test_file_lines(spark, tmp_path):
 
 
 def test_messages(spark):
-    rows = spark.createDataFrame([(bytearray(b"id"), bytearray(b'{"col1":"val1","col2":"val2"}')), (None, bytearray(b"{'col1': 1}"))],
+    rows = spark.createDataFrame([(bytearray(b"id"), bytearray(b'{"wind":"nne","knots":"14"}')), (None, bytearray(b"{'wind': 1}"))],
                                  "key binary, value binary")
     parts = split(messages.json_messages(rows, "topic"))
-    assert parts.valid.select("col1", "col2").collect() == [("val1", "val2")]
+    assert parts.valid.select("wind", "knots").collect() == [("nne", "14")]
     assert [(r.error_type, r.source_name) for r in parts.invalid.collect()] == [("Invalid Json", "topic")]
 
 
@@ -196,12 +196,12 @@ def test_declared_types_and_modes():
 
 
 def test_conform_reports_misfits(spark):
-    schema = declared_schema([{"name": "emp_code", "type": "INTEGER"}, {"name": "day", "type": "DATE"}, {"name": "new", "type": "FLOAT"},
+    schema = declared_schema([{"name": "pier", "type": "INTEGER"}, {"name": "day", "type": "DATE"}, {"name": "new", "type": "FLOAT"},
                               {"name": "rec", "type": "RECORD", "fields": [{"name": "i", "type": "INTEGER"}]}])
-    rows = spark.createDataFrame([("1", "2024-02-29", '{"i": 5}', "x"), ("dum", "2024-01-01", None, "y"), ("2", "2024-02-30", None, "z")],
-                                 "emp_code string, day string, rec string, more string")
+    rows = spark.createDataFrame([("1", "2024-02-29", '{"i": 5}', "x"), ("none", "2024-01-01", None, "y"), ("2", "2024-02-30", None, "z")],
+                                 "pier string, day string, rec string, more string")
     parts = split(conform(rows, schema))
     row = parts.valid.first()
-    assert (row.emp_code, str(row.day), row.new, row.rec.i, row.more) == (1, "2024-02-29", None, 5, "x")
-    assert sorted(r.error_desc for r in parts.invalid.collect()) == ["day is not of type date", "emp_code is not of type bigint"]
-    assert conform(rows, schema, extra="drop").columns == ["emp_code", "day", "new", "rec", "_error"]
+    assert (row.pier, str(row.day), row.new, row.rec.i, row.more) == (1, "2024-02-29", None, 5, "x")
+    assert sorted(r.error_desc for r in parts.invalid.collect()) == ["day is not of type date", "pier is not of type bigint"]
+    assert conform(rows, schema, extra="drop").columns == ["pier", "day", "new", "rec", "_error"]

@@ -116,8 +116,11 @@ def latest_completed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'job-' || (o_custkey % 50) AS job_name, o_orderpriority AS task_name, strftime(max(o_orderdate), '%Y-%m-%d') AS last_end
-    FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL
+    SELECT 'job-' || (o_custkey % 50) AS job_name, o_orderpriority AS task_name, strftime(o_orderdate, '%Y-%m-%d') AS last_end,
+           CAST(o_orderkey AS VARCHAR) AS delta_end_val
+    FROM orders WHERE o_orderstatus = 'F'
+    QUALIFY row_number() OVER (PARTITION BY o_custkey % 50, o_orderpriority
+                               ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC) = 1
 """)
 def latest_run_per_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = table(spark, sf_dir, "orders").select(
@@ -125,7 +128,9 @@ def latest_run_per_task(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("end_ts"), F.when(F.col("o_orderstatus") == "F", "COMPLETED").otherwise("FAILED").alias("status"),
         F.col("o_orderkey").cast("string").alias("delta_end_val"),
     )
-    return latest_runs(audit).select("job_name", "task_name", F.date_format("end_ts", "yyyy-MM-dd").alias("last_end"))
+    return latest_runs(audit).select(
+        "job_name", "task_name", F.date_format("end_ts", "yyyy-MM-dd").alias("last_end"), "delta_end_val"
+    )
 
 
 @query("""

@@ -350,14 +350,14 @@ def message_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'Invalid Json' AS error_type, 'events-topic' AS source_name, substr(props, 1, 4) AS start_of_props
+    SELECT 'Invalid Json' AS error_type, 'events-topic' AS source_name, props
     FROM events WHERE event_id % 11 = 0
 """)
 def message_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = split(messages.json_messages(_event_messages(spark, sf_dir), "events-topic")).invalid
     text = F.regexp_extract("error_record", '"props":"(.*)"}$', 1)
-    props = F.substring(F.replace(text, F.lit('\\"'), F.lit('"')), 1, 4)
-    return errors.select("error_type", SOURCE, props.alias("start_of_props"))
+    props = F.replace(text, F.lit('\\"'), F.lit('"'))
+    return errors.select("error_type", SOURCE, props.alias("props"))
 
 
 @query("SELECT event_id AS id, event_type AS kind, 'events-topic' AS source_name FROM events WHERE event_id % 11 <> 0")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from weirgate.operators.incremental import Bounds, increment, previous_bound
 from weirgate.operators.records import as_tagged, resolve_variables
+from weirgate.operators.windows import fixed_windows
 from weirgate.schema import declared_schema, read_schema_file
 from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
@@ -178,9 +179,21 @@ def _api(spark: SparkSession, task: dict) -> DataFrame:
 def _kafka(spark: SparkSession, task: dict) -> DataFrame:
     stream = flag(task.get("streaming", True))
     found = messages.kafka_messages(spark, task["topic_name"], task["consumer_config"], stream=stream)
+    if _is_avro(task):
+        return messages.avro_messages(found, task["topic_name"], _avro_schema(spark, task))
     return messages.json_messages(found, task["topic_name"], task.get("layout"))
 
 
+def _is_avro(task: Mapping[str, Any]) -> bool:
+    return str((task.get("source_data") or {}).get("format", "json")).lower() == "avro"
+
+
+def _avro_schema(spark: SparkSession, task: Mapping[str, Any]) -> str:
+    """The schema of Avro messages, inline or kept in a file."""
+    props = task["avro"]
+    return props["schema"] if props.get("schema") else spark.read.text(props["schema_file"], wholetext=True).first().value
+
+
 @source("kafka_flatten", "KafkaFlattenProcessor")
 def _kafka_flatten(spark: SparkSession, task: dict) -> DataFrame:
     stream = flag(task.get("streaming", True))
@@ -198,9 +211,11 @@ def _pubsub(spark: SparkSession, task: dict) -> DataFrame:
         reader = reader.schema(props["schema"])
     found = reader.format(props["format"]).options(**props.get("options", {})).load()
     name = task["input_subscription"]
-    if str(task["source_data"]["format"]).lower() == "json":
-        return messages.json_messages(found, name, task.get("layout"))
-    return messages.avro_messages(found, name, task["avro"]["schema"])
+    if _is_avro(task):
+        return messages.avro_messages(found, name, _avro_schema(spark, task))
+    if task.get("windowing_time") and "timestamp" in found.columns:
+        found = fixed_windows(found, "timestamp", float(task["windowing_time"]))
+    return messages.json_messages(found, name, task.get("layout"))
 
 
 @sink("bigquery", "bigquery_stream", "table")

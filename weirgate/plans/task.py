@@ -99,16 +99,18 @@ def _stage(tagged: DataFrame, path: str) -> DataFrame:
     return tagged.sparkSession.read.schema(schema).parquet(path)
 
 
-def _tagged(spark: SparkSession, task: dict) -> tuple[DataFrame, Bounds | None]:
+def _tagged(spark: SparkSession, task: dict, finish: bool = True) -> tuple[DataFrame, Bounds | None]:
     found = SOURCES[task["input_processor"]](spark, task)
     tagged, bounds = found if isinstance(found, tuple) else (found, None)
     schema = task_schema(spark, task) or _target_schema(spark, task)
     if schema is not None:
         tagged = conform(tagged, schema)
+    return (_finished(spark, task, tagged) if finish else tagged), bounds
+
+
+def _finished(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame) -> DataFrame:
     tagged = _enriched(spark, task, tagged)
-    if task.get("required_columns"):
-        tagged = select_required(tagged, task["required_columns"])
-    return tagged, bounds
+    return select_required(tagged, task["required_columns"]) if task.get("required_columns") else tagged
 
 
 def _enriched(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame) -> DataFrame:
@@ -243,7 +245,12 @@ def run_stream_task(spark: SparkSession, task: dict[str, Any], checkpoint: str,
     if task["input_processor"] in STREAMS:
         stream, shape = STREAMS[task["input_processor"]](spark, task)
     else:
-        stream, _ = _tagged(spark, task)
+        # The lookup is read again for each micro-batch, so it may change while the stream runs.
+        stream, _ = _tagged(spark, task, finish=False)
+
+        def shape(batch: DataFrame) -> DataFrame:
+            return _finished(batch.sparkSession, task, batch)
+
     windowed = any("rdbms_window" in target for target in task["targets"])
     return start(stream, fan_out(task, job_id, shape, task.get("event_time"), SINKS), checkpoint,
                  interval=DATABASE_INTERVAL if windowed else POLL, available_now=available_now)

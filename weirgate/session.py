@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -24,6 +25,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers of a cluster on which it is not installed; once per session.
+
+    Functions that run in Python on the workers import the package there.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="weirgate-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = shutil.make_archive(f"{folder}/weirgate", "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the cluster's ``spark.checkpoint.dir``.
 

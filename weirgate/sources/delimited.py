@@ -92,10 +92,10 @@ def _headers(spark: SparkSession, path: str | Sequence[str], skip_rows: int) ->
     smallest = min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes())
     if any(r.size >= smallest for r in rows):
         raise ValueError("leading lines do not fit the smallest split; raise spark.sql.files.openCostInBytes")
-    return [(_as_path(r.path), r.header) for r in rows]
+    return [(as_path(r.path), r.header) for r in rows]
 
 
-def _as_path(uri: str) -> str:
+def as_path(uri: str) -> str:
     """What a reader takes for the file of a URI: decoded, and no part of it a pattern."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
