@@ -48,6 +48,34 @@ def test_lists_that_a_declared_layout_does_not_know(spark, tmp_path):
     assert sorted(r.error_record for r in parts.invalid.collect()) == sorted(bad)
 
 
+def test_elements_of_lists(spark, tmp_path):
+    texts = ['[{"a":1}, [{"a":9}], 5]', '[ ]', ' {"a": 2} ', '[{"a":3},]', '[{"a":4}] x', '[{"a":5} {"a":6}]', '[{"a":7}', '"x"', '[{"a":NaN},{"a":8}]']
+    for i, text in enumerate(texts):
+        write(tmp_path, f"in/{i}.json", text)
+    parts = split(files.json_scan(spark, str(tmp_path / "in")))
+    assert sorted(r.a for r in parts.valid.collect()) == [1, 2, 8]
+    bad = ['[{"a":9}]', "5", '[{"a":3},]', '[{"a":4}] x', '[{"a":5} {"a":6}]', '[{"a":7}', '"x"', '[{"a":NaN}]']
+    assert sorted(r.error_record for r in parts.invalid.collect()) == sorted(bad)
+
+
+def test_elements_under_a_root(spark, tmp_path):
+    texts = ['{"x":[1,{"r":[]}],"r":[{"a":1},{"a":2}]}', '{"r":{"a":3}}', '{"r":[{"a":4}],"r":[{"a":5}]}', '{"r":[],"b":1}', '{"q":1}', '[{"r":[{"a":6}]}]', '{"r":[{"a":7}]', '{"r" [1]}', '{"r":[{"a":8}],}']
+    for i, text in enumerate(texts):
+        write(tmp_path, f"in/{i}.json", text)
+    parts = split(files.json_scan(spark, str(tmp_path / "in"), root="r"))
+    assert sorted(r.a for r in parts.valid.collect()) == [1, 2, 3, 5]
+    assert sorted(r.error_record for r in parts.invalid.collect()) == sorted(['{"q":1}', *texts[5:]])
+
+
+def test_list_above_the_limit_of_a_variant(spark, tmp_path):
+    filler, n = "x" * 1000, 140_000
+    with open(tmp_path / "a.json", "w") as f:
+        f.write("[" + ",".join(f'{{"id":{i},"filler":"{filler}"}}' for i in range(n)) + "]")
+    layout = T._parse_datatype_string("id bigint, filler string")
+    rows = split(files.json_scan(spark, str(tmp_path / "a.json"), layout=layout)).valid
+    assert rows.agg(F.count("*"), F.sum("id"), F.min(F.length("filler"))).first() == (n, n * (n - 1) // 2, 1000)
+
+
 def test_nested_fields_go_by_name(spark, tmp_path):
     rows = [{"k": [{"afloat": True, "n": "1", "hull": "oak"}]}, {"k": [{"afloat": False, "n": "many", "hull": "elm"}]}, {"k": None}, {"k": [None]}]
     path = write(tmp_path, "a.json", "\n".join(json.dumps(r) for r in rows))

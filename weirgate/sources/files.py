@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +32,8 @@ from weirgate.operators.records import (
 )
 
 _DOCUMENT = "_document"
+_DECODER, _SPACE = json.JSONDecoder(), re.compile(r"[ \t\r\n]*")
+_ELEMENTS = 1000
 
 
 def line_scan(spark: SparkSession, path: str | Sequence[str], whole: bool = False) -> DataFrame:
@@ -50,9 +56,77 @@ def json_scan(spark: SparkSession, path: str | Sequence[str], root: str | None =
     """One JSON document per file; a list gives one row per element.
 
     A JSON document cannot be split, so the unit of work is the file; rows of
-    large documents are best kept in line-delimited files instead.
+    large documents are best kept in line-delimited files instead. The elements
+    of a list are found by a scanner that goes through the text once and are
+    parsed one by one, so only an element, not the list, must fit a VARIANT.
     """
-    return document_rows(line_scan(spark, path, whole=True), root, layout)
+    whole = line_scan(spark, path, whole=True)
+    elements = whole.mapInArrow(partial(_list_elements, root), f"{SOURCE} string, value string")
+    return document_rows(elements, root, layout)
+
+
+def _elements(text: str, at: int) -> tuple[list[tuple[int, int]], int]:
+    """Where the elements of the list that opens at ``at`` begin and end, and where the list ends."""
+    found, at = [], _SPACE.match(text, at + 1).end()
+    if text[at] == "]":
+        return found, at + 1
+    while True:
+        _, end = _DECODER.raw_decode(text, at)
+        found.append((at, end))
+        at = _SPACE.match(text, end).end()
+        if text[at] == "]":
+            return found, at + 1
+        if text[at] != ",":
+            raise ValueError("neither comma nor end of list")
+        at = _SPACE.match(text, at + 1).end()
+
+
+def _root_elements(text: str, root: str | None) -> list[tuple[int, int]] | None:
+    """Elements of the list a document is, or has under ``root``; None if there is none or the text is no JSON."""
+    try:
+        at, found = _SPACE.match(text, 0).end(), None
+        if root is None:
+            if text[at] != "[":
+                return None
+            found, at = _elements(text, at)
+        else:
+            if text[at] != "{":
+                return None
+            at = _SPACE.match(text, at + 1).end()
+            while text[at] != "}":
+                key, at = _DECODER.raw_decode(text, at)
+                at = _SPACE.match(text, at).end()
+                if not isinstance(key, str) or text[at] != ":":
+                    return None
+                at = _SPACE.match(text, at + 1).end()
+                if key == root:  # of two equal keys the last one counts
+                    found, at = _elements(text, at) if text[at] == "[" else (None, _DECODER.raw_decode(text, at)[1])
+                else:
+                    _, at = _DECODER.raw_decode(text, at)
+                at = _SPACE.match(text, at).end()
+                if text[at] == ",":
+                    at = _SPACE.match(text, at + 1).end()
+                    if text[at] == "}":
+                        return None
+                elif text[at] != "}":
+                    return None
+            at += 1
+        return found if _SPACE.match(text, at).end() == len(text) else None
+    except (ValueError, IndexError, RecursionError):
+        return None
+
+
+def _list_elements(root: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each element of a document's list as a document with a list of one; other documents as they are."""
+    before, after = ("[", "]") if root is None else (f"{{{json.dumps(root)}:[", "]}")
+    for batch in batches:
+        for source, text in zip(batch.column(0), batch.column(1), strict=True):
+            text = text.as_py()
+            found = None if text is None else _root_elements(text, root)
+            for at in range(0, 1 if found is None else len(found), _ELEMENTS):
+                texts = [text] if found is None else [f"{before}{text[a:b]}{after}" for a, b in found[at : at + _ELEMENTS]]
+                sources = pa.array([source.as_py()] * len(texts), pa.string())
+                yield pa.RecordBatch.from_arrays([sources, pa.array(texts, pa.string())], names=[SOURCE, "value"])
 
 
 def ndjson_scan(spark: SparkSession, path: str | Sequence[str], root: str | None = None,
