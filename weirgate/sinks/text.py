@@ -42,7 +42,8 @@ def write_windowed_text(df: DataFrame, ts: str, path: str, line: Column | None =
     writer.partitionBy("window_start", "window_end").text(path)
 
 
-def write_archive(df: DataFrame, ts: str, message_id: str, payload: str, path: str, mode: str = "append") -> None:
+def write_archive(df: DataFrame, ts: str, message_id: str, payload: str, path: str, mode: str = "append",
+                  records: int = RECORDS_PER_FILE) -> None:
     """Raw messages with their ids, in long windows."""
     line = archive_line(column(message_id), column(payload))
-    write_windowed_text(df, ts, path, line, ARCHIVE_MINUTES, mode=mode)
+    write_windowed_text(df, ts, path, line, ARCHIVE_MINUTES, records, mode)

@@ -16,7 +16,7 @@ from weirgate.operators.windows import window_counts
 from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
 from weirgate.sinks.tables import batch_label, write_stream_batch
-from weirgate.sinks.text import text_path, write_archive, write_windowed_text
+from weirgate.sinks.text import RECORDS_PER_FILE, text_path, write_archive, write_windowed_text
 
 # How often a continuous source looks for files, and a windowed database target writes.
 POLL, DATABASE_INTERVAL = "500 milliseconds", "60 seconds"
@@ -69,7 +69,8 @@ def write_targets(batch: DataFrame, batch_id: int, targets: Sequence[Mapping[str
         elif kind in ("gcs", "text"):
             path = f"{text_path(props).rstrip('/')}/batch={batch_label(batch.sparkSession, batch_id)}"
             timed = batch if event_time else batch.withColumn("_arrived", F.current_timestamp())
-            write_windowed_text(timed, event_time or "_arrived", path, mode="overwrite")
+            records = int(props.get("records_per_file", RECORDS_PER_FILE))
+            write_windowed_text(timed, event_time or "_arrived", path, records=records, mode="overwrite")
         elif sinks and kind in sinks:
             sinks[kind](batch, props, task)
         else:
@@ -94,7 +95,8 @@ def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame], D
             if archive:
                 arrived = batch.withColumn("_arrived", F.current_timestamp())
                 path = f"{str(archive).rstrip('/')}/batch={batch_label(batch.sparkSession, batch_id)}"
-                write_archive(arrived, "_arrived", MESSAGE_ID, "value", path, mode="overwrite")
+                records = int(task.get("triaging_records_per_file", RECORDS_PER_FILE))
+                write_archive(arrived, "_arrived", MESSAGE_ID, "value", path, mode="overwrite", records=records)
             parts = split(tagged, task["job_name"], job_id, str(task["targets"]))
             write_targets(parts.valid, batch_id, task["targets"], task, event_time, sinks)
             if error.get("error_table") and str(error.get("insert_error_rec", True)).lower() == "true":
