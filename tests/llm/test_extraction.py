@@ -29,6 +29,7 @@ def test_query_against_the_markup_of_the_pages(spark, sf_dir):
         (f"<main><p>{LONG}</p><div class='cookie-notice'>{LONG}</div><section id=comments><p>{LONG}</p></section></main>", LONG),
         (f"<article><p>a &amp; b&nbsp;&lt;c&gt; &#233; {LONG}</p><form>q<input></form><script>x<p>y</script><style>p{{}}</style></article>", f"a & b <c> é {LONG}"),
         (f"<article><header><h1>Title</h1></header><p>{LONG}</p><aside>{LONG}</aside></article><article class=teaser>t</article>", f"Title\n{LONG}"),
+        (f"<div class='content with-sidebar noMenu'><p>{LONG}</p></div><div class='left-sidebar'><p>{LONG}</p></div>", LONG),
         (f"<article><ul><li>one {LONG}<li>two</ul><table><tr><td>x<td>y</table><pre>a\n  b</pre></article>", f"one {LONG}\ntwo\nx\ny\na b"),
         (f"<article><p class=ad>no<p>{LONG}<p hidden>no</article><nav>n", LONG),
         (f"<body><div><ul><li><a href=a>Home</a><li><a href=b>News</a><li><a href=c>More</a></ul></div><div><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),

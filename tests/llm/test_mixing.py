@@ -54,6 +54,16 @@ def test_one_source_holds_most(spark):
     check(mixing.mix(documents(spark, rows), word_count(F.col("text"))).collect(), 0.01)
 
 
+def test_one_key_holds_most(spark):
+    docs = documents(spark, [(7 if i % 3 else i, words(i, 30), "a") for i in range(3000)] + [(i, words(i, 9), "b") for i in range(400)])
+    rows = mixing.mix(docs, word_count(F.col("text")), total=0.6).collect()
+    assert len(rows) == 3400
+    taken = sum(r.copies * r["size"] for r in rows if r.source == "a")
+    target = next(r.target for r in rows if r.source == "a")
+    assert target - 30 <= taken <= target
+    assert {r.copies for r in rows if r.doc_id == 7 and r.source == "a"} == {0, 1}
+
+
 def test_inclusion_follows_the_odds(spark):
     """Documents with three times the weight are taken about three times as often."""
     rows = [(i, "w " * 10, "a") for i in range(4000)]

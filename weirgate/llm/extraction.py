@@ -50,6 +50,8 @@ NAMES = frozenset(
 )
 #: Furniture at the top of a page, but part of an article inside one.
 TOP = frozenset({"header", "topbar", "top"})
+#: Before a name these say how a page is laid out, not what an element is.
+LAYOUT = frozenset("no with without has".split())
 #: A start tag of one of these ends an open one of the same row.
 IMPLIED = {t: group for group in (("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for t in group}
 TABLE = frozenset({"table"})
@@ -107,7 +109,8 @@ class Reader(HTMLParser):
             if value and name == "role" and value.lower() in ROLES:
                 return True
             if value and name in ("class", "id"):
-                words = {w.lower() for w in WORDS.findall(value)}
+                words = [w.lower() for w in WORDS.findall(value)]
+                words = {w for before, w in zip(["", *words], words) if before not in LAYOUT}
                 if words & NAMES or words & TOP and not (self.count["article"] or self.count["main"]):
                     return True
         return False

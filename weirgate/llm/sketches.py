@@ -36,8 +36,8 @@ GROWTH = 4
 SUBTABLES = (0, 21, 42)
 CHECK = 0x9E3779B97F4A7C15
 CELL = struct.Struct("<QIi")
-#: A line is cut behind the first sentence end after 100 code points, or after 300 more without one.
-PARAGRAPH = re.compile(r"[^\n]{1,100}(?:[^\n.!?]{0,300}[.!?]*[^\S\n]*)?")
+#: A line is cut behind the first sentence end after 60 code points, or after 300 more without one.
+PARAGRAPH = re.compile(r"[^\n]{1,60}(?:[^\n.!?]{0,300}[.!?]*[^\S\n]*)?")
 
 
 def paragraph_digests(text: str) -> list[int]:
