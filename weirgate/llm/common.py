@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +18,9 @@ from weirgate.session import remove_path, scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+T = TypeVar("T")
+
+
 class Stages:
     """Tables written to the shared folder, so that a lost executor loses none of them.
 
@@ -44,6 +54,18 @@ class Stages:
                 target.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+def returning(batches: Iterable[T]) -> Iterator[T]:
+    """The batches of a task; behind the last one, memory that was freed goes back to the system.
+
+    Workers outlive their tasks, and what they hold counts against the executor.
+    """
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -91,9 +91,8 @@ def mix(
     """One row per document: its key, ``size``, ``source_size``, ``target`` of its source and ``copies``.
 
     ``weight``, above 0, makes documents of a source more or less likely against each other. Documents with
-    no words count like others of size 0. Null sources are a source of their own; rows with equal or null keys
-    are documents of their own with the same random number, taken one after the other. Empty tables give
-    empty ones.
+    no words count like others of size 0. Null sources are a source of their own; rows with equal keys, or null
+    ones, are documents of their own. Empty tables give empty ones.
     """
     stages = Stages(docs.sparkSession, "mixing")
     weight = F.lit(1.0) if weight is None else weight.cast("double")
@@ -103,6 +102,16 @@ def mix(
             weight.alias("weight"),
         ).withColumn("at", F.monotonically_increasing_id())
     )
+    # Rows with a key of their own depend on nothing but the key; repeated ones are told apart by their place,
+    # so that a key which holds many rows does not fall into a single bin.
+    repeated = rows.groupBy(F.col("doc").alias("again")).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = stages.put(repeated.select("again", F.lit(True).alias("many")))
+    drawn = F.col("doc").cast("string")
+    if not repeated.isEmpty():
+        rows = rows.join(repeated, F.col("doc").eqNullSafe(F.col("again")), "left").drop("again")
+        place = F.concat(F.coalesce(drawn, F.lit("null")), F.lit("#"), F.col("at").cast("string"))
+        drawn = F.when(F.col("many"), place).otherwise(drawn)
+    rows = rows.withColumn("drawn", drawn)
     sizes = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("source_docs"),
         F.sum(F.col("size") * F.col("weight")).alias("weighted"),
@@ -112,14 +121,14 @@ def mix(
     targets = stages.put(
         found.join(sources, F.col("of").eqNullSafe(F.col("named")))
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-        .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+        .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
         .withColumn("bins", F.ceil(F.sqrt("source_docs")))
         .select("of", "source_size", "target", "whole", "rest", "bins", "weighted")
     )
     inclusion = F.col("weight") * F.col("rest") / F.greatest(F.col("weighted"), F.lit(1.0))
     ranked = (
         rows.join(targets, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("rank", pareto_rank(uniform(F.col("doc"), seed), inclusion))
+        .withColumn("rank", pareto_rank(uniform(F.col("drawn"), seed), inclusion))
         .withColumn("bin", F.floor(F.col("rank") * F.col("bins")))
     )
     bins = ranked.groupBy("of", "rest", "bin").agg(F.sum("size").alias("words"))
@@ -171,7 +180,7 @@ def mixed_documents(docs: DataFrame, size: Column, text: str = "text", source: s
     named = docs.withColumn(name, F.xxhash64(F.col(key), F.col(text)))
     found = mix(named, size, source, name, **rules).groupBy(name)
     found = stages.put(found.agg(F.sum("copies").cast("int").alias(count), F.count("*").alias(rows)))
-    wanted = found.where(F.col(count) > 0)
+    wanted = found.where(F.col(count) > 0).hint("merge")  # a row per document: never to be broadcast
     result = named.join(wanted.where(F.col(rows) == 1), name)
     if not wanted.where(F.col(rows) > 1).isEmpty():
         repeated = named.join(wanted.where(F.col(rows) > 1), name).dropDuplicates([name])

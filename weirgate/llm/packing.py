@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import Stages, free_name
+from weirgate.llm.common import Stages, free_name, returning
 from weirgate.llm.tokens import VOCABULARY, ids_of
 
 SEQUENCE = 2048
@@ -51,12 +51,10 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, end = ids_of(vocabulary), END.to_bytes(4, "little")
         size = 4 * sequence
-        for batch in batches:
+        for batch in returning(ids.task(batches)):
             take, number, start, length, check, parts = [], [], [], [], [], []
-            flat, bounds = ids.encode(batch.column(1))
-            bounds = bounds.tolist()
-            for row in range(batch.num_rows):
-                data = flat[bounds[row] : bounds[row + 1]].tobytes() + end
+            for row, found in enumerate(ids.batches(batch.column(1))):
+                data = found.tobytes() + end
                 for at in range(0, len(data), size):
                     part = data[at : at + size]
                     take.append(row)

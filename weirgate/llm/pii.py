@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import Stages, free_name
+from weirgate.llm.common import Stages, free_name, returning
 
 #: Kinds in the order in which spans with the same start are listed; the first are those of the base patterns.
 BASE = ("email", "ip", "card", "phone")
@@ -207,7 +207,7 @@ _SPAN_TYPE = "struct<start: bigint, kind: int, end: bigint, base: boolean, votes
 
 def _find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     names = [f.name for f in _SPAN]
-    for batch in texts:
+    for batch in returning(texts):
         yield pa.array(
             [[dict(zip(names, span, strict=True)) for span in spans_of(t or "")] for t in batch.to_pylist()], pa.list_(_SPAN)
         )
@@ -340,7 +340,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     wanted = frozenset(likely)
 
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in returning(batches):
             yield pa.array([None if t is None else redacted(t, wanted.__contains__) for t in batch.to_pylist()], pa.string())
 
     return docs.withColumn(text, F.arrow_udf(clean, "string")(F.col(text)))

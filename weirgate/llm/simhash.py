@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import Stages, free_name
+from weirgate.llm.common import Stages, free_name, returning
 from weirgate.llm.components import Forest, components
 
 SHINGLE = 4
@@ -59,7 +59,7 @@ def fingerprint(text: bytes) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in returning(batches):
         texts = batch.column(batch.num_columns - 1)
         values = [fingerprint(t.as_buffer().to_pybytes()) if t.is_valid else 0 for t in texts]
         columns = [batch.column(i) for i in range(batch.num_columns - 1)]
@@ -190,6 +190,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: i
     repeated = stages.put(repeated.where("n > 1").select("id", "content"))
 
     def among(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+        chosen = chosen.hint("merge")  # as many rows as there are groups: never to be broadcast
         return rows.join(chosen, rows[f"`{key}`"].eqNullSafe(chosen["id"]) & (rows[name] == chosen["content"]), how)
 
     rows = docs.withColumn(name, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -13,8 +14,10 @@ from tokenizers import Tokenizer
 
 #: A vocabulary of byte pairs in which no token crosses white space.
 VOCABULARY = "word_bpe_49k.json"
-#: Strings whose ids a worker remembers, in each of two generations.
-REMEMBERED = 500_000
+#: Strings whose ids a task remembers, in each of two generations.
+REMEMBERED = 80_000
+#: Bytes of text that are cut into words together, at least one text.
+TOGETHER = 4 << 20
 
 # Texts of these characters alone are cut at white space and looked up string by string. In them the
 # tokenizer's normal form changes nothing but the case, and it splits words as WORDS does.
@@ -64,6 +67,23 @@ class Ids:
         self.learn(unknown)
         return list(map(self.new.__getitem__, strings))
 
+    def task(self, batches: Iterable) -> Iterator:
+        """The batches of a task, behind which everything is forgotten."""
+        yield from batches
+        self.new, self.old = {}, {}
+
+    def batches(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text, in order; a null text has none."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            done = int(sizes[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, done + TOGETHER, "right")))
+            flat, bounds = self.encode(texts.slice(at, end - at))
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                yield flat[a:b]
+            at = end
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's begin, with the end behind; a null text has none."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from weirgate.llm import grammar
-from weirgate.llm.common import Stages, free_name
+from weirgate.llm.common import Stages, free_name, returning
 
 #: Labelled documents that are learned from, at most about.
 LEARN_ROWS = 20_000
@@ -129,7 +129,7 @@ def _stems(text: str) -> set[str]:
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The smallest and the largest digest of a text's shingles: near copies mostly agree in one of them."""
-    for batch in batches:
+    for batch in returning(batches):
         low, high = [], []
         for text in batch.column("text").to_pylist():
             words = (text or "").split()
@@ -145,7 +145,7 @@ def _counts(among: frozenset[str] | None = None):
     """Documents with each stem; all stems, or those among some."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in returning(batches):
             found: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 stems = _stems(text or "")
@@ -256,7 +256,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 def _totals(stems: dict[str, float]):
     def totals(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(stems)
-        for texts in batches:
+        for texts in returning(batches):
             yield pa.array([scorer.total(t) for t in texts.to_pylist()], pa.float64())
 
     return F.arrow_udf(totals, "double")
@@ -270,7 +270,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "toxi
 
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model.stems)
-        for texts in batches:
+        for texts in returning(batches):
             yield pa.array([model.probability(scorer.total(t)) for t in texts.to_pylist()], pa.float64())
 
     return docs.withColumn(free_name(docs, column), F.arrow_udf(scores, "double")(F.col(text)))
@@ -282,7 +282,7 @@ def clauses(docs: DataFrame, model: Model, text: str = "text", column: str = "cl
 
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model.stems)
-        for texts in batches:
+        for texts in returning(batches):
             found = [scorer.clauses(t) if t else [] for t in texts.to_pylist()]
             yield pa.array([[dict(zip(("start", "end", "weight"), c, strict=True)) for c in f] for f in found], kind)
 
