@@ -186,7 +186,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: i
     first = F.min(F.struct(F.col("id").isNull(), "id", "content")).alias("first")
     best = stages.put(found.groupBy("group").agg(first).select("first.id", "first.content"))
     same = found["id"].eqNullSafe(best["id"]) & (found["content"] == best["content"])
-    repeated = found.join(best, same, "left_semi").groupBy("id", "content").agg(F.count("*").alias("n"))
+    repeated = found.join(best.hint("merge"), same, "left_semi").groupBy("id", "content").agg(F.count("*").alias("n"))
     repeated = stages.put(repeated.where("n > 1").select("id", "content"))
 
     def among(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
