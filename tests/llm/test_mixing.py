@@ -75,6 +75,30 @@ def test_inclusion_follows_the_odds(spark):
     assert 2.3 < heavy / light < 4
 
 
+def test_a_document_with_a_fifth_of_a_source(spark):
+    """Whatever is not taken does not fit in what is left, also if the document passed over is a very long one."""
+    sizes = [100 + i % 200 for i in range(3999)] + [200_000]
+    docs = spark.createDataFrame([(i, "a", n) for i, n in enumerate(sizes)], "doc_id long, source string, n long")
+    for seed in range(4):
+        rows = mixing.mix(docs, F.col("n"), total=0.3, seed=seed).collect()
+        taken = sum(r.copies * r["size"] for r in rows)
+        left = rows[0].target - taken
+        assert len(rows) == 4000 and 0 <= left < min(r["size"] for r in rows if not r.copies)
+
+
+def test_against_one_document_after_the_other(spark):
+    sizes = [1 + (i * i) % 997 for i in range(600)] + [40_000, 0, 0]
+    docs = spark.createDataFrame([(i, "ab"[i % 2], n) for i, n in enumerate(sizes)], "doc_id long, source string, n long")
+    draws = {r.doc_id: r.u for r in docs.select("doc_id", mixing.uniform(F.col("doc_id"), 5).alias("u")).collect()}
+    found = {r.doc_id: r for r in mixing.mix(docs, F.col("n"), total=0.4, seed=5).collect()}
+    for source in (0, 1):
+        left = found[source].target
+        for i in sorted((i for i in found if i % 2 == source), key=draws.get):
+            if sizes[i]:
+                assert found[i].copies == (sizes[i] <= left)
+                left -= sizes[i] * found[i].copies
+
+
 def test_odd_documents(spark):
     docs = documents(spark, odd_documents(), clashing=True)
     rows = mixing.mix(docs, word_count(F.col("text"))).collect()

@@ -6,10 +6,12 @@ certain, and of the rest each document with an inclusion probability, here 0.3 b
 proportion to a weight of its own. Documents are ranked by the odds of a random number divided by the odds of
 their inclusion, smallest first, and taken in that order until the source's words are reached.
 
-The point at which a source is full is found without ordering its documents in one task: ranks fall into
-bins, words are summed by bin, and only the documents of the one bin that crosses the target are looked at
-one by one. Bins are as many as the square root of a source's documents, so both steps grow with the root.
-Random numbers are hashes of the document's key, so reruns agree.
+A document that does not fit in what is left is passed over, and the ones behind it are tried, until none is
+left that fits. That is done without ordering a source's documents in one task: ranks fall into bins, words
+are summed by bin, and only the documents of the one bin that crosses the target are looked at one by one. Then
+the bins behind it are summed again, over the documents that fit in what is left by then. Bins are as many as
+the square root of a source's documents, so both steps grow with the root. Random numbers are hashes of the
+document's key, so reruns agree.
 """
 
 from __future__ import annotations
@@ -25,9 +27,6 @@ from weirgate.llm.common import Stages, free_name
 RANDOM_BITS = 52
 #: Above this inclusion the odds of a document count as this.
 ALMOST = 1.0 - 2.0**-20
-#: Bins, from the one in which a source is full, whose documents are looked at one by one, so many times.
-LAST_BINS = 4
-PASSES = 6
 
 
 def uniform(key: Column, seed: int = 0) -> Column:
@@ -70,11 +69,19 @@ def source_targets(
     )
 
 
-def pareto_rank(random: Column, inclusion: Column) -> Column:
-    """Random odds over inclusion odds, folded into (0, 1); a certain document comes first, an impossible one last."""
+def pareto_rank(random: Column, inclusion: Column, usual: Column) -> Column:
+    """Random odds over inclusion odds, folded into (0, 1); a certain document comes first, an impossible one last.
+
+    The ranks of documents that have the ``usual`` inclusion are their random numbers, so bins of ranks are even.
+    """
+
+    def odds(share: Column) -> Column:
+        bounded = F.least(F.greatest(share, F.lit(1.0 - ALMOST)), F.lit(ALMOST))
+        return bounded / (F.lit(1.0) - bounded)
+
     bounded = F.least(inclusion, F.lit(ALMOST))
-    odds = (random / (F.lit(1.0) - random)) * ((F.lit(1.0) - bounded) / bounded)
-    return F.when(inclusion <= 0, F.lit(1.0)).otherwise(odds / (F.lit(1.0) + odds))
+    over = (random / (F.lit(1.0) - random)) * ((F.lit(1.0) - bounded) / bounded) * odds(usual)
+    return F.when(inclusion <= 0, F.lit(1.0)).otherwise(over / (F.lit(1.0) + over))
 
 
 def mix(
@@ -126,27 +133,23 @@ def mix(
         .select("of", "source_size", "target", "whole", "rest", "bins", "weighted")
     )
     inclusion = F.col("weight") * F.col("rest") / F.greatest(F.col("weighted"), F.lit(1.0))
+    usual = F.col("rest") / F.greatest(F.col("source_size"), F.lit(1))
     ranked = (
         rows.join(targets, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("rank", pareto_rank(uniform(F.col("drawn"), seed), inclusion))
+        .withColumn("rank", pareto_rank(uniform(F.col("drawn"), seed), inclusion, usual))
         .withColumn("bin", F.floor(F.col("rank") * F.col("bins")))
     )
-    bins = ranked.groupBy("of", "rest", "bin").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("of").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    crossing = stages.put(
-        bins.where(F.col("before") <= F.col("rest"))
-        .groupBy(F.col("of").alias("crossed"))
-        .agg(F.max_by(F.struct("bin", "before"), "bin").alias("last"))
-        .select("crossed", F.col("last.bin").alias("full_bin"), F.col("last.before").alias("given"))
+    steps, picked = _fit(stages, ranked, targets)
+    through = F.exists(
+        "steps",
+        lambda s: (F.col("bin") > s["after"])
+        & (s["full_bin"].isNull() | (F.col("bin") < s["full_bin"]))
+        & F.col("size").between(s["least"], s["left"]),
     )
-    ranked = ranked.join(crossing, F.col("of").eqNullSafe(F.col("crossed")))
-    last = F.col("bin").between(F.col("full_bin"), F.col("full_bin") + (LAST_BINS - 1))
-    certain = ranked.where(~last).withColumn("taken", F.col("bin") < F.col("full_bin"))
-    fitted = _fit(ranked.where(last).withColumn("left", F.col("rest") - F.col("given")).withColumn("taken", F.lit(False)))
     result = stages.put(
-        certain.select(*fitted.columns)
-        .unionByName(fitted)
+        ranked.join(steps, F.col("of").eqNullSafe(F.col("stepped")), "left")
+        .join(picked, "at", "left")
+        .withColumn("taken", F.coalesce(F.col("picked"), through, F.lit(False)))
         .select(
             F.col("doc").alias(key), F.col("source").alias(source), "size", "source_size", "target",
             (F.col("whole") + F.col("taken").cast("long")).alias("copies"),
@@ -156,18 +159,69 @@ def mix(
     return result
 
 
-def _fit(rows: DataFrame) -> DataFrame:
-    """Take documents in order of rank while they fit in what is left; then again those that fit in the rest."""
-    kept = ["doc", "source", "size", "source_size", "target", "whole", "taken"]
-    each = Window.partitionBy("of")
-    so_far = each.orderBy("rank", "doc", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for _ in range(PASSES):
-        able = ~F.col("taken") & F.col("size").between(1, F.col("left"))
-        rows = rows.withColumn("able", able).withColumn("sum", F.sum(F.when(F.col("able"), F.col("size")).otherwise(0)).over(so_far))
-        rows = rows.withColumn("now", F.col("able") & (F.col("sum") <= F.col("left")))
-        rows = rows.withColumn("left", F.col("left") - F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).over(each))
-        rows = rows.withColumn("taken", F.col("taken") | F.col("now"))
-    return rows.select(*kept)
+def _fit(stages: Stages, ranked: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is taken, if documents in order of rank are taken whenever they fit in what is left of ``rest``.
+
+    The first table has for each source its ``steps``: behind bin ``after`` and before ``full_bin`` all documents
+    are taken whose size is from ``least`` to ``left``. Without a ``full_bin`` that goes on to the last bin. The second has
+    the rows taken among those in a ``full_bin``. Each step ends at a document that does not fit, and what is left
+    behind it is less than its size; ranks are random, so there are few steps, whatever the sizes.
+    """
+    behind = targets.where("rest > 0").select(
+        F.col("of").alias("at_source"), F.lit(-1).cast("long").alias("after"), F.col("rest").alias("left"),
+    )
+    able = ranked.select("of", "at", "doc", "rank", "bin", "size")
+    least, steps, picked, staged = 0, [], [], None
+    while True:
+        able = able.join(behind, F.col("of").eqNullSafe(F.col("at_source")))
+        able = able.where((F.col("bin") > F.col("after")) & F.col("size").between(F.lit(least), F.col("left")))
+        if steps:
+            able = stages.put(able)
+            if staged is not None:
+                stages.forget(staged)
+            staged = able
+            if able.isEmpty():
+                break
+        bins = able.groupBy("of", "after", "left", "bin").agg(F.sum("size").alias("words"))
+        before = Window.partitionBy("of").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
+        crossing = F.when(F.col("before") + F.col("words") > F.col("left"), F.struct("bin", "before"))
+        step = stages.put(
+            bins.groupBy(F.col("of").alias("stepped"), "after", "left")
+            .agg(F.min(crossing).alias("last"))
+            .select(
+                "stepped", "after", "left", F.col("last.bin").alias("full_bin"),
+                (F.col("left") - F.col("last.before")).alias("open"), F.lit(least).cast("long").alias("least"),
+            )
+        )
+        steps.append(step)
+        full = step.where("full_bin IS NOT NULL").select("stepped", "full_bin", "open")
+        inside = able.drop("at_source", "after", "left").join(
+            full, F.col("of").eqNullSafe(F.col("stepped")) & (F.col("bin") == F.col("full_bin"))
+        )
+        fitted = stages.put(
+            inside.where("size > 0")
+            .groupBy("of", "full_bin", "open")
+            .agg(F.sort_array(F.collect_list(F.struct("rank", "doc", "at", "size"))).alias("rows"))
+            .withColumn("fit", F.aggregate("rows", F.struct(F.col("open").alias("left"), F.array().cast("array<bigint>").alias("rows")), _take))
+            .select("of", "full_bin", F.col("fit.left").alias("left"), F.col("fit.rows").alias("rows"))
+        )
+        picked.append(fitted.select(F.explode("rows").alias("at"), F.lit(True).alias("picked")))
+        behind = fitted.where("left >= 1").select(F.col("of").alias("at_source"), F.col("full_bin").alias("after"), "left")
+        able, least = able.select("of", "at", "doc", "rank", "bin", "size"), 1
+    every, rows = steps[0], picked[0]
+    for step, more in zip(steps[1:], picked[1:], strict=True):
+        every, rows = every.unionByName(step), rows.unionByName(more)
+    named = F.struct("after", "full_bin", "left", "least")
+    return stages.put(every.groupBy("stepped").agg(F.collect_list(named).alias("steps"))), stages.put(rows)
+
+
+def _take(so_far: Column, row: Column) -> Column:
+    """What is left and the rows taken, with one more row if it fits."""
+    fits = row["size"] <= so_far["left"]
+    left = F.when(fits, so_far["left"] - row["size"]).otherwise(so_far["left"])
+    rows = F.when(fits, F.array_append(so_far["rows"], row["at"])).otherwise(so_far["rows"])
+    return F.struct(left.alias("left"), rows.alias("rows"))
 
 
 def mixed_documents(docs: DataFrame, size: Column, text: str = "text", source: str = "source", key: str = "doc_id", **rules) -> DataFrame:
