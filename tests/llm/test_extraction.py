@@ -42,6 +42,24 @@ def test_pages_by_hand(page, text):
     assert extraction.main_text(page) == text
 
 
+MENU = "<div><ul><li><a href=a>Home</a><li><a href=b>News</a><li><a href=c>More</a></ul></div>"
+MANY = "".join(f"<p>{LONG}</p>" for _ in range(9))
+MANY_LINES = "\n".join([LONG] * 9)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div id=page><h1>Title</h1><p>{LONG} Lead.</p><div class=entry>{MANY}</div></div>", f"Title\n{LONG} Lead.\n{MANY_LINES}"),
+        (f"<body>{MENU}<div><h1>Title</h1></div><div><div class=entry>{MANY}</div></div>{MENU}", f"Title\n{MANY_LINES}"),
+        (f"<body>{MENU}<div><h1>Title</h1><div>By me</div></div>{MENU}<div>{MANY}</div><div><h2>Second</h2><p>{LONG} 2</p><p>Short.</p></div>{MENU}", f"{MANY_LINES}\nSecond\n{LONG} 2\nShort."),
+        (f"<body><div><p>{LONG} 1</p></div>{MENU}<div>Short.</div><div>{MANY}</div><div>Imprint</div>", f"{LONG} 1\nShort.\n{MANY_LINES}"),
+    ],
+)
+def test_pages_without_an_article_element(page, text):
+    assert extraction.main_text(page) == text
+
+
 def test_smoothing_and_threshold():
     assert extraction.smoothed([3.0] * 7) == pytest.approx([3.0] * 7)
     assert extraction.smoothed([0.0, 0.0, 9.0, 0.0, 0.0])[2] == max(extraction.smoothed([0.0, 0.0, 9.0, 0.0, 0.0]))

@@ -6,7 +6,8 @@ role, class or id never become lines. The ratio of text to tags is smoothed over
 Gaussian, and a threshold between its two clusters tells dense lines from thin ones. The region with most of the
 dense text is the article: an article element if there is one, a main one, or the innermost container that has
 nearly all of it. All lines of the region belong to the text, short ones too, but for runs of nothing but links
-among the thin ones.
+among the thin ones. If the region is no such element, dense lines outside it belong to the text as well, with the
+headings and short lines between and next to them.
 """
 
 from __future__ import annotations
@@ -55,6 +56,7 @@ LAYOUT = frozenset("no with without has".split())
 #: A start tag of one of these ends an open one of the same row.
 IMPLIED = {t: group for group in (("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for t in group}
 TABLE = frozenset({"table"})
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 LISTS = CONTAINERS | {"ul", "ol", "dl", "select"}
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -66,10 +68,13 @@ LINK_RUN = 3
 
 
 class Line:
-    __slots__ = ("text", "tags", "links", "node")
+    __slots__ = ("text", "tags", "links", "node", "heading")
 
-    def __init__(self, text: str, tags: int, links: int, node: int) -> None:
-        self.text, self.tags, self.links, self.node = text, tags, links, node
+    def __init__(self, text: str, tags: int, links: int, node: int, heading: bool) -> None:
+        self.text, self.tags, self.links, self.node, self.heading = text, tags, links, node, heading
+
+    def linked(self) -> bool:
+        return self.links >= LINKS * len(self.text)
 
 
 class Reader(HTMLParser):
@@ -94,7 +99,8 @@ class Reader(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append(Line(text, self.tags, min(self.links, len(text)), self.node))
+                heading = any(self.count[t] for t in HEADINGS)
+                self.lines.append(Line(text, self.tags, min(self.links, len(text)), self.node, heading))
             self.parts = []
         self.tags = self.links = 0
 
@@ -197,11 +203,11 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
-def region(reader: Reader, dense: list[bool]) -> list[bool]:
-    """For each container whether it is the article or lies in it."""
+def region(reader: Reader, lines: list[Line], dense: list[bool], alone: list[bool]) -> list[bool]:
+    """For each line whether it is in the article; ``alone`` are the lines that are dense without their neighbours."""
     size = len(reader.kinds)
     mass = [0] * size
-    for line, thick in zip(reader.lines, dense, strict=True):
+    for line, thick in zip(lines, dense, strict=True):
         if thick:
             mass[line.node] += len(line.text)
     for node in range(size - 1, 0, -1):
@@ -211,12 +217,42 @@ def region(reader: Reader, dense: list[bool]) -> list[bool]:
         named = [n for n in range(size) if reader.kinds[n] == kind and mass[n]]
         if named and top < 0:
             top = max(named, key=lambda n: (mass[n], -n))  # of nested ones with the same text the outer
-    if top < 0:
+    whole = top >= 0
+    if not whole:
         top = max(n for n in range(size) if mass[n] >= NEARLY_ALL * mass[0])
     inside = [False] * size
     for node in range(size):
         inside[node] = node == top or node > top and inside[reader.parents[node]]
-    return inside
+    article = [inside[line.node] for line in lines]
+    if whole:
+        return article
+    for line, thick, single in zip(lines, dense, alone, strict=True):
+        if single and not thick:
+            mass[line.node] += len(line.text)
+    return around(lines, [a or b for a, b in zip(dense, alone, strict=True)], article, mass)
+
+
+def around(lines: list[Line], dense: list[bool], article: list[bool], mass: list[int]) -> list[bool]:
+    """The article and what belongs to it outside its container, ``mass`` being the dense text in each container.
+
+    That is every dense line, and what is not a line of links: between dense lines all of it, before the first one
+    from a heading on, and before and behind them lines of a container that has dense text.
+    """
+    kept = [a or thick and not line.linked() for line, thick, a in zip(lines, dense, article, strict=True)]
+    first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+    for k in range(first, last):
+        kept[k] = kept[k] or not lines[k].linked() or mass[lines[k].node] > 0
+    start, k = first, first - 1
+    while k >= 0 and not lines[k].linked():
+        if lines[k].heading or mass[lines[k].node]:
+            start = k
+        k -= 1
+    end = last + 1
+    while end < len(lines) and not lines[end].linked() and mass[lines[end].node]:
+        end += 1
+    for k in [*range(start, first), *range(last + 1, end)]:
+        kept[k] = True
+    return kept
 
 
 def main_text(html: str | None) -> str:
@@ -230,15 +266,16 @@ def main_text(html: str | None) -> str:
     lines = reader.lines
     if not lines:
         return ""
-    ratios = smoothed([(len(line.text) - line.links) / (1 + line.tags) for line in lines])
+    own = [(len(line.text) - line.links) / (1 + line.tags) for line in lines]
+    ratios = smoothed(own)
     cut = threshold(ratios)
     dense = [r >= cut for r in ratios]
-    article = region(reader, dense)
-    inside = [k for k, line in enumerate(lines) if article[line.node]]
+    article = region(reader, lines, dense, [r >= cut for r in own])
+    inside = [k for k in range(len(lines)) if article[k]]
     kept: list[str] = []
     run: list[str] = []
     for k in [*inside, None]:
-        if k is not None and not dense[k] and lines[k].links >= LINKS * len(lines[k].text):
+        if k is not None and not dense[k] and lines[k].linked():
             run.append(lines[k].text)
             continue
         if len(run) < LINK_RUN:
