@@ -60,6 +60,26 @@ def test_pages_without_an_article_element(page, text):
     assert extraction.main_text(page) == text
 
 
+SOURCES = "<ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><h2 id=related-work>Related work</h2><p>{LONG}</p><section id=search-results><p>{LONG} 2</p></section><section id=comment-on-method><p>{LONG} 3</p></section></article>", f"Related work\n{LONG}\n{LONG} 2\n{LONG} 3"),
+        (f"<body><div class='post category-social'><h1>Title</h1><p>{LONG}</p></div>", f"Title\n{LONG}"),
+        (f"<body><div class=sidebar-left><h1>Title</h1><p>{LONG}</p><p id=social>{LONG} 2</p><div class=sidebar><p>Away</p></div></div>", f"Title\n{LONG}\n{LONG} 2"),
+        (f"<body><div class=comments><p>{LONG}</p></div>", LONG),
+        (f"<body><div class=sidebar>{MANY}</div><article><h1>Title</h1><p>Short.</p><div class='share widget'><p>{LONG}</p></div></article>", f"Title\nShort.\n{LONG}"),
+        (f"<article><p>{LONG}</p><div class=post-comments>{MANY}</div><div id=ad-slot-3><p>ad</p></div><div class='left sidebar2'>{LONG}</div></article>", LONG),
+        (f"<article><p>{LONG}</p>{SOURCES}<p>{LONG} 2</p><h2>Sources</h2>{SOURCES}</article>", f"{LONG}\nOne\nTwo\nThree\n{LONG} 2\nSources\nOne\nTwo\nThree"),
+        (f"<article><p>a {LONG} <span class=share>x</span> b</p>{SOURCES}</article>", f"a {LONG}\nb"),
+    ],
+)
+def test_names_and_links_inside_articles(page, text):
+    assert extraction.main_text(page) == text
+
+
 def test_smoothing_and_threshold():
     assert extraction.smoothed([3.0] * 7) == pytest.approx([3.0] * 7)
     assert extraction.smoothed([0.0, 0.0, 9.0, 0.0, 0.0])[2] == max(extraction.smoothed([0.0, 0.0, 9.0, 0.0, 0.0]))

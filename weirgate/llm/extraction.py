@@ -1,12 +1,13 @@
 """The main text of web pages.
 
 A page goes through the standard library's parser as a stream of events. Blocks of text, the page's lines, are
-collected with the number of tags and the share of link text in them. Parts that are furniture by their element,
-role, class or id never become lines. The ratio of text to tags is smoothed over neighbouring lines with a
+collected with the number of tags and the share of link text in them. Parts that are furniture by their element or
+role never become lines. Lines of parts that are furniture by class or id are put aside, unless such a part holds
+most of the page's text, or all of it. The ratio of text to tags is smoothed over neighbouring lines with a
 Gaussian, and a threshold between its two clusters tells dense lines from thin ones. The region with most of the
 dense text is the article: an article element if there is one, a main one, or the innermost container that has
 nearly all of it. All lines of the region belong to the text, short ones too, but for runs of nothing but links
-among the thin ones. If the region is no such element, dense lines outside it belong to the text as well, with the
+before or behind its dense lines that have no heading. If the region is no such element, dense lines outside it belong to the text as well, with the
 headings and short lines between and next to them.
 """
 
@@ -51,8 +52,19 @@ NAMES = frozenset(
 )
 #: Furniture at the top of a page, but part of an article inside one.
 TOP = frozenset({"header", "topbar", "top"})
-#: Before a name these say how a page is laid out, not what an element is.
-LAYOUT = frozenset("no with without has".split())
+#: Words that may stand beside a name in one class or id; any other word makes it the name of something else.
+BESIDE = frozenset(
+    "area article bar block body bottom box btn button buttons center column container count desktop entry feed field"
+    " first fixed float form global group header icon icons inline inner input item items label last left line link links"
+    " list main media message mobile module outer page panel policy popular post posts primary right row secondary section"
+    " site slot small social sticky stories story tab text title top unit wide wrap wrapper".split()
+)
+#: Furniture also where it is longer than the article; the other names may be those of a layout or theme.
+LONG = frozenset(
+    "ad ads adsense advert advertisement advertising adverts cmp comment comments consent cookie cookies disclaimer"
+    " disqus gdpr newsletter paywall promo promoted promotion promotions recommendations recommended related replies"
+    " reply rss sponsor sponsored subscribe subscription".split()
+)
 #: A start tag of one of these ends an open one of the same row.
 IMPLIED = {t: group for group in (("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for t in group}
 TABLE = frozenset({"table"})
@@ -68,10 +80,11 @@ LINK_RUN = 3
 
 
 class Line:
-    __slots__ = ("text", "tags", "links", "node", "heading")
+    __slots__ = ("text", "tags", "links", "node", "heading", "aside")
 
-    def __init__(self, text: str, tags: int, links: int, node: int, heading: bool) -> None:
-        self.text, self.tags, self.links, self.node, self.heading = text, tags, links, node, heading
+    def __init__(self, text: str, tags: int, links: int, node: int, heading: bool, aside: int) -> None:
+        self.text, self.tags, self.links, self.node = text, tags, links, node
+        self.heading, self.aside = heading, aside
 
     def linked(self) -> bool:
         return self.links >= LINKS * len(self.text)
@@ -86,7 +99,10 @@ class Reader(HTMLParser):
         self.kinds: list[str] = ["page"]  # of containers, by number; what a container lies in has a smaller one
         self.parents: list[int] = [0]
         self.node = 0
-        self.open: list[tuple[str, bool, int | None]] = []  # tag, furniture, container outside it
+        self.open: list[tuple[str, bool, int | None, int | None]] = []  # tag, furniture, container and part outside it
+        self.asides: list[int] = [0]  # parts that are furniture by name: the one around each, 0 for none
+        self.longer: list[bool] = [False]  # whether they are that also where they hold most of the text
+        self.aside = 0
         self.count: Counter[str] = Counter()
         self.skipped = 0
         self.parts: list[str] = []
@@ -100,30 +116,42 @@ class Reader(HTMLParser):
             text = " ".join("".join(self.parts).split())
             if text:
                 heading = any(self.count[t] for t in HEADINGS)
-                self.lines.append(Line(text, self.tags, min(self.links, len(text)), self.node, heading))
+                self.lines.append(Line(text, self.tags, min(self.links, len(text)), self.node, heading, self.aside))
             self.parts = []
         self.tags = self.links = 0
 
     def furniture(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in FURNITURE or tag == "header" and not (self.count["article"] or self.count["main"]):
             return True
-        if tag in ("body", "html", "article", "main") or not attrs:
-            return False
         for name, value in attrs:
+            if tag in ("body", "html", "article", "main"):
+                return False
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             if value and name == "role" and value.lower() in ROLES:
                 return True
-            if value and name in ("class", "id"):
-                words = [w.lower() for w in WORDS.findall(value)]
-                words = {w for before, w in zip(["", *words], words) if before not in LAYOUT}
-                if words & NAMES or words & TOP and not (self.count["article"] or self.count["main"]):
-                    return True
         return False
 
+    def named(self, tag: str, attrs: list[tuple[str, str | None]]) -> frozenset[str]:
+        """The names of furniture that an element has for a class or id, alone or with words that go beside them."""
+        if tag in ("body", "html", "article", "main") or tag in HEADINGS:
+            return frozenset()
+        known = NAMES if self.count["article"] or self.count["main"] else NAMES | TOP
+        found: set[str] = set()
+        for name, value in attrs:
+            if value and (name == "class" or name == "id" and tag != "p"):
+                for token in value.split():
+                    words = {w.lower() for w in WORDS.findall(token)}
+                    if words & known and words <= known | BESIDE:
+                        found |= words & known
+        return frozenset(found)
+
     def pop(self, to: int) -> None:
         while len(self.open) > to:
-            tag, skipped, outside = self.open.pop()
+            tag, skipped, outside, around = self.open.pop()
+            if around is not None:
+                self.flush()
+                self.aside = around
             self.count[tag] -= 1
             self.skipped -= skipped
             if outside is not None:
@@ -151,15 +179,21 @@ class Reader(HTMLParser):
         if tag in VOID:
             return
         skipped = self.furniture(tag, attrs)
-        if skipped:
+        names = self.named(tag, attrs) if attrs and not skipped and not self.skipped else None
+        around = None
+        if skipped or names:
             self.flush()
+        if names:
+            around, self.aside = self.aside, len(self.asides)
+            self.asides.append(around)
+            self.longer.append(bool(names & LONG))
         outside = None
         if tag in CONTAINERS:
             outside, self.node = self.node, len(self.kinds)
             self.parents.append(outside)
             main = tag == "main" or any(n == "role" and v == "main" or n == "itemprop" and v == "articleBody" for n, v in attrs)
             self.kinds.append("article" if tag == "article" else "main" if main else tag)
-        self.open.append((tag, skipped, outside))
+        self.open.append((tag, skipped, outside, around))
         self.count[tag] += 1
         self.skipped += skipped
 
@@ -178,6 +212,27 @@ class Reader(HTMLParser):
                 self.links += len(data)
 
 
+def proper(reader: Reader) -> list[Line]:
+    """Lines that are not furniture by class or id; all lines, if there are no others.
+
+    Where article or main elements have lines, only text in those counts for what most of it is.
+    """
+    inside = [kind in ("article", "main") for kind in reader.kinds]
+    for node in range(1, len(inside)):
+        inside[node] = inside[node] or inside[reader.parents[node]]
+    elements = any(inside[line.node] and not line.aside for line in reader.lines)
+    mass = [0] * len(reader.asides)
+    for line in reader.lines:
+        if inside[line.node] or not elements:
+            mass[line.aside] += len(line.text) - line.links
+    for part in range(len(mass) - 1, 0, -1):
+        mass[reader.asides[part]] += mass[part]
+    out = [False] * len(mass)
+    for part in range(1, len(mass)):
+        out[part] = out[reader.asides[part]] or reader.longer[part] or 2 * mass[part] <= mass[0]
+    return [line for line in reader.lines if not out[line.aside]] or reader.lines
+
+
 def smoothed(values: list[float], radius: int = SPREAD[0], sigma: float = SPREAD[1]) -> list[float]:
     """Gaussian mean over the neighbours that there are."""
     kernel = [math.exp(-(d * d) / (2 * sigma * sigma)) for d in range(-radius, radius + 1)]
@@ -263,7 +318,7 @@ def main_text(html: str | None) -> str:
     reader.feed(html)
     reader.close()
     reader.flush()
-    lines = reader.lines
+    lines = proper(reader)
     if not lines:
         return ""
     own = [(len(line.text) - line.links) / (1 + line.tags) for line in lines]
@@ -272,16 +327,20 @@ def main_text(html: str | None) -> str:
     dense = [r >= cut for r in ratios]
     article = region(reader, lines, dense, [r >= cut for r in own])
     inside = [k for k in range(len(lines)) if article[k]]
+    solid = [k for k in inside if dense[k] and not lines[k].linked()]
     kept: list[str] = []
     run: list[str] = []
+    held = headed = False  # whether the run begins between dense lines or under a heading
     for k in [*inside, None]:
         if k is not None and not dense[k] and lines[k].linked():
+            held = held or bool(solid) and solid[0] < k < solid[-1]
             run.append(lines[k].text)
             continue
-        if len(run) < LINK_RUN:
+        if len(run) < LINK_RUN or held or headed:
             kept += run
-        run = []
+        run, held = [], False
         if k is not None:
+            headed = lines[k].heading
             kept.append(lines[k].text)
     return "\n".join(kept)
 
