@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import embeddings, extraction, mixing, packing, pii, secrets, sharding, simhash, sketches, toxicity
+from weirgate.llm import embeddings, extraction, merkle, mixing, packing, pii, secrets, sharding, simhash, sketches, toxicity
 from weirgate.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,19 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("size") * F.col("copies")).alias("taken"),
     )
+
+
+@query()
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.replace("text", F.lit("\n")) if name == "text" else F.col(name) for name in fields]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    altered = F.when(chosen, F.unhex(merkle.leaf_digest(tampered)))
+    found = merkle.manifest(docs, fields, "source", "doc_id", altered)
+    folded = merkle.fold(F.coalesce("altered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id", *(merkle.hexed(F.col(name)).alias(name) for name in ("leaf", "subroot", "root")),
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.hexed(folded).alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
