@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import embeddings, extraction, merkle, mixing, packing, pii, secrets, sharding, simhash, sketches, toxicity
+from weirgate.llm import embeddings, extraction, merkle, mixing, neighbours, packing, pii, secrets, sharding, simhash, sketches, spelling, toxicity
 from weirgate.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,17 @@ ORACLE: dict[str, str] = {}
 #: Bytes of text that a shard may hold.
 SHARD_BYTES = 1 << 20
 
+#: SQL for the CRC-32 of a list of bytes ``{}``, bit by bit.
+CRC = """xor(4294967295, list_reduce(
+             list_prepend(4294967295::BIGINT, flatten([[(b >> k) & 1 FOR k IN range(8)] FOR b IN {}])),
+             lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1))))"""
+
+
+def _leaf_sql(text: str) -> str:
+    """SQL for the digest of a document's fields with ``text`` as its text."""
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f}))::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
+
 
 def query(oracle: str | None = None):
     def add(fn):
@@ -142,7 +153,58 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"""
+    WITH RECURSIVE leaves AS (
+      SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+             count(*) OVER (PARTITION BY source) AS width
+      FROM (
+        SELECT doc_id, source, {_leaf_sql("text")} AS leaf, CASE
+                 WHEN doc_id IS NOT NULL AND {CRC.format("[ord(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]")} & 1 = 0
+                 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS altered
+        FROM documents
+      )
+    ), tree AS (
+      SELECT source, 0 AS level, idx, leaf AS digest, width FROM leaves
+      UNION ALL
+      SELECT source, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (width + 2) // 3
+      FROM tree WHERE width > 1 GROUP BY source, level, idx // 3, width
+    ), subroots AS (
+      SELECT source, level AS height, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS width
+      FROM tree WHERE width = 1
+    ), top AS (
+      SELECT 0 AS level, idx, subroot AS digest, width FROM subroots
+      UNION ALL
+      SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (width + 2) // 3
+      FROM top WHERE width > 1 GROUP BY level, idx // 3, width
+    ), members AS (
+      SELECT l.rid, t.level AS step, t.digest, t.idx, l.idx // pow(3, t.level)::BIGINT AS own
+      FROM leaves l JOIN tree t ON t.source IS NOT DISTINCT FROM l.source AND t.width > 1
+       AND t.idx // 3 = l.idx // pow(3, t.level + 1)::BIGINT
+      UNION ALL
+      SELECT l.rid, s.height + t.level, t.digest, t.idx, s.idx // pow(3, t.level)::BIGINT
+      FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+      JOIN top t ON t.width > 1 AND t.idx // 3 = s.idx // pow(3, t.level + 1)::BIGINT
+    ), steps AS (
+      SELECT rid, step, coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < own), '') AS left_of,
+             coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > own), '') AS right_of
+      FROM members GROUP BY rid, step
+    ), folded AS (
+      SELECT rid, 0::BIGINT AS step, coalesce(altered, leaf) AS digest FROM leaves
+      UNION ALL
+      SELECT f.rid, f.step + 1, sha256(s.left_of || f.digest || s.right_of)
+      FROM folded f JOIN steps s ON s.rid = f.rid AND s.step = f.step
+    ), ends AS (
+      SELECT rid, arg_max(digest, step) AS folded_root FROM folded GROUP BY rid
+    ), proofs AS (
+      SELECT rid, sha256(string_agg(left_of || right_of, '' ORDER BY step)) AS proof FROM steps GROUP BY rid
+    )
+    SELECT l.doc_id, l.leaf, s.subroot, r.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256, e.folded_root,
+           e.folded_root = r.digest AS verified
+    FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source JOIN ends e ON e.rid = l.rid
+    JOIN top r ON r.width = 1 LEFT JOIN proofs p ON p.rid = l.rid
+    """
+)
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -156,3 +218,63 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.hexed(folded).alias("folded_root"),
         (folded == F.col("root")).alias("verified"),
     )
+
+
+@query()
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return found.select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score", "recall")
+
+
+@query(
+    f"""
+    WITH RECURSIVE runs AS (
+      SELECT doc_id, translate(unnest(regexp_extract_all(text, '{spelling.RUN}')), '{spelling.UPPER}', '{spelling.LOWER}') AS run
+      FROM documents
+    ), counted AS (
+      SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL
+    ), hashed AS (
+      SELECT run, n, {CRC.format("""flatten([
+               CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [(192 + (ord(c) >> 6))::BIGINT, (128 + (ord(c) & 63))::BIGINT] END
+               FOR c IN string_split(doc_id::VARCHAR || ':' || run, '')])""")} AS h
+      FROM counted
+    ), words AS (
+      SELECT word, sum(n)::BIGINT AS n
+      FROM (
+        SELECT n, CASE WHEN h % 97 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word
+        FROM hashed
+      ) GROUP BY word HAVING length(word) >= {spelling.SHORTEST} AND sum(n) >= {spelling.RAREST}
+    ), less AS (
+      SELECT word, length(word) AS size, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+    ), near AS (
+      SELECT a.word, b.word AS near FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.size = b.size AND a.word <> b.word
+      UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+      UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word
+    ), firsts AS (
+      SELECT a.word, a.n, b.word AS near, b.n AS near_n, count(*) OVER (PARTITION BY a.word) AS n_near,
+             row_number() OVER (PARTITION BY a.word ORDER BY b.n DESC, b.word) AS k
+      FROM near JOIN words a ON a.word = near.word JOIN words b ON b.word = near.near
+    ), forms AS (
+      SELECT w.word, w.n, coalesce(f.n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.RATIO} * w.n THEN near END AS form,
+             CASE WHEN near_n >= {spelling.RATIO} * w.n THEN near_n END AS form_n
+      FROM words w LEFT JOIN firsts f ON f.word = w.word AND f.k = 1
+    ), chains AS (
+      SELECT word, word AS root, 0 AS step FROM forms
+      UNION ALL
+      SELECT c.word, f.form, step + 1 FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+    ), roots AS (
+      SELECT word, arg_max(root, step) AS root FROM chains GROUP BY word
+    )
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+    """
+)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(spelling.RUN), F.lit(0))).alias("run"))
+    runs = runs.select("doc_id", spelling.lower_ascii(F.col("run")).alias("run"))
+    hashed = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "run").cast("binary"))
+    at = F.col("hash") % F.char_length("run")
+    cut = F.concat(F.substring("run", F.lit(1), at.cast("int")), F.substring("run", (at + 2).cast("int"), F.char_length("run")))
+    words = runs.withColumn("hash", hashed).select(F.when(F.col("hash") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return spelling.variants(spelling.count_words(words))
