@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +102,41 @@ def test_odd_tables(spark):
     assert found.columns == ["page_id", "url", "_html", "text", "n_chars"]
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in found.collect()) == [(0, "b", 1), (1, "", 0), (2, "", 0), (3, LONG, len(LONG)), (3, LONG, len(LONG))]
     assert extraction.extract_main_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, lines", [
+    ("<div></div>" + "<p><b>xxxxx</b></p>" * 11 + "<div></div>", 11),
+    ("<div></div><article>" + "<p><b>xxxxx</b></p>" * 11 + "</article><div></div>", 11),
+    ("<main>" + "<p><b>xxxxx</b></p>" * 7 + "</main>", 7),
+    ("<p>one</p>", 1),
+    ("<p><a href='x'>only</a></p>" * 2, 2),
+])
+def test_lines_of_one_density(page, lines):
+    assert len(extraction.main_text(page).split("\n")) == lines
+
+
+def test_pages_that_end_inside_markup():
+    start = time.perf_counter()
+    for bit in ("<!--", "<a ", '<a href="', "<![", "<?", "</", "<", "<!-- -", "<![CDATA["):
+        assert extraction.main_text("<p>The text.</p>" + bit * 20_000).split("\n")[0] == "The text."
+    assert time.perf_counter() - start < 20
+    assert extraction.main_text("<p>The text.</p><!-- " + "<p>hidden</p>" * 9) == "The text."
+    assert extraction.main_text("<p>first</p><script>if (a<!--b) {}</script><p>second</p>") == "first\nsecond"
+
+
+def test_several_articles():
+    one, two = "word " * 64, "tale " * 60
+    page = f"<main><article><p>{one}</p></article><article><p>{two}</p></article><article><p>A card.</p></article></main>"
+    assert extraction.main_text(page) == f"{one.strip()}\n{two.strip()}"
+
+
+def test_random_markup_never_fails():
+    bits = (
+        "<div> </div> <p> </p> <article> </article> <main> </main> <a_href='x'> </a> <h1> </h1> <li> <ul> </ul> <b> </b> xxxxx"
+        " word_word_word <br> <!-- --> <script> </script> <table><tr><td> </td></table> <div_class='comments'> <nav> </nav> &amp; <"
+        " > <section_id='ad'> </section> <template> </template> <! <![CDATA[ ]]> <? =\" '"
+    ).replace("_", "\0").split(" ")
+    random_ = random.Random(4)
+    for _ in range(4000):
+        page = "".join(random_.choice(bits).replace("\0", " ") for _ in range(random_.randint(1, 40)))
+        assert isinstance(extraction.main_text(page), str)

@@ -70,11 +70,14 @@ IMPLIED = {t: group for group in (("li",), ("dt", "dd"), ("tr",), ("td", "th"),
 TABLE = frozenset({"table"})
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 LISTS = CONTAINERS | {"ul", "ol", "dl", "select"}
+TAG = re.compile("<[a-zA-Z/!?]")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 SPREAD = (2, 1.0)
 #: Share of the dense text that the innermost container must have, and of links in a line of links.
 NEARLY_ALL = 0.8
+#: Share of the longest article's dense text from which other articles of the page stay beside it.
+COMPARABLE = 0.5
 LINKS = 0.9
 LINK_RUN = 3
 
@@ -105,9 +108,19 @@ class Reader(HTMLParser):
         self.aside = 0
         self.count: Counter[str] = Counter()
         self.skipped = 0
+        self.ending = False
         self.parts: list[str] = []
         self.tags = self.links = 0
 
+    def close(self) -> None:
+        self.ending = True
+        super().close()
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """Where a comment ends; one that is never closed goes to the end of the page."""
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 and self.ending else end
+
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i, report)
 
@@ -267,17 +280,18 @@ def region(reader: Reader, lines: list[Line], dense: list[bool], alone: list[boo
             mass[line.node] += len(line.text)
     for node in range(size - 1, 0, -1):
         mass[reader.parents[node]] += mass[node]
-    top = -1
+    tops: set[int] = set()
     for kind in ("article", "main"):
         named = [n for n in range(size) if reader.kinds[n] == kind and mass[n]]
-        if named and top < 0:
-            top = max(named, key=lambda n: (mass[n], -n))  # of nested ones with the same text the outer
-    whole = top >= 0
+        if named and not tops:
+            most = max(mass[n] for n in named)
+            tops = {n for n in named if mass[n] >= (COMPARABLE if kind == "article" else 1) * most}
+    whole = bool(tops)
     if not whole:
-        top = max(n for n in range(size) if mass[n] >= NEARLY_ALL * mass[0])
+        tops = {max(n for n in range(size) if mass[n] >= NEARLY_ALL * mass[0])}
     inside = [False] * size
     for node in range(size):
-        inside[node] = node == top or node > top and inside[reader.parents[node]]
+        inside[node] = node in tops or node > 0 and inside[reader.parents[node]]
     article = [inside[line.node] for line in lines]
     if whole:
         return article
@@ -294,6 +308,8 @@ def around(lines: list[Line], dense: list[bool], article: list[bool], mass: list
     from a heading on, and before and behind them lines of a container that has dense text.
     """
     kept = [a or thick and not line.linked() for line, thick, a in zip(lines, dense, article, strict=True)]
+    if True not in kept:
+        return kept
     first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
     for k in range(first, last):
         kept[k] = kept[k] or not lines[k].linked() or mass[lines[k].node] > 0
@@ -310,12 +326,19 @@ def around(lines: list[Line], dense: list[bool], article: list[bool], mass: list
     return kept
 
 
+def without_open_tag(html: str) -> str:
+    """A page up to a tag that it ends in."""
+    end = html.rfind(">") + 1
+    tag = TAG.search(html, end)
+    return html if tag is None else html[: tag.start()]
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page, one block a line; empty if there is none."""
     if not html:
         return ""
     reader = Reader()
-    reader.feed(html)
+    reader.feed(without_open_tag(html))
     reader.close()
     reader.flush()
     lines = proper(reader)
@@ -325,6 +348,11 @@ def main_text(html: str | None) -> str:
     ratios = smoothed(own)
     cut = threshold(ratios)
     dense = [r >= cut for r in ratios]
+    if True not in dense:
+        # The ratios are all the same, and their mean is rounded up: nothing tells lines apart but links.
+        dense = [not line.linked() for line in lines]
+        if True not in dense:
+            dense = [True] * len(lines)
     article = region(reader, lines, dense, [r >= cut for r in own])
     inside = [k for k in range(len(lines)) if article[k]]
     solid = [k for k in inside if dense[k] and not lines[k].linked()]
