@@ -11,6 +11,7 @@ from weirgate.operators.audit import count_per_source
 from weirgate.operators.records import ERROR, SOURCE, split, spread
 from weirgate.operators.windows import number_within
 from weirgate.schema import conform, declared_schema
+from weirgate.session import configure
 from weirgate.sources import api, config, database, delimited, files, messages
 
 def _customer_line() -> Column:
@@ -97,6 +98,32 @@ def csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "note", F.col("p_size").cast("int").alias("p_size"))
 
 
+def _in_small_blocks(spark: SparkSession, size: int) -> SparkSession:
+    """A session that cuts files into blocks of about ``size`` bytes, so that a large file has many."""
+    small = configure(spark.newSession())
+    small.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    small.conf.set("spark.sql.files.openCostInBytes", "1")
+    return small
+
+
+@query("""
+    SELECT o_orderkey, o_orderpriority || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) || '"' || o_orderstatus || '",' || chr(13) || chr(10) || 'x'
+           WHEN o_orderkey % 3 = 1 THEN ' "quoted"' ELSE '' END AS note, o_orderdate::DATE AS day
+    FROM orders
+""")
+def csv_quoted_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file whose records have line breaks and cross the blocks it is read in."""
+    orders = table(spark, sf_dir, "orders")
+    lines = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit('\n""'), "o_orderstatus", F.lit('"",\r\nx"'))).when(
+        F.col("o_orderkey") % 3 == 1, F.lit(' "quoted"')
+    ).otherwise("")
+    opened = F.when(F.col("o_orderkey") % 3 == 0, '"').otherwise("")
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), opened, "o_orderpriority", lines, F.lit(","), F.to_date("o_orderdate").cast("string"))
+    path = write_lines(orders.select(line).coalesce(1), scratch(spark, "quoted-blocks"), ["o_orderkey,note,day"])
+    rows = split(delimited.delimited_scan(_in_small_blocks(spark, 1 << 14), path, multi_line=True)).valid
+    return rows.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "note", F.col("day").cast("date").alias("day"))
+
+
 @query("SELECT c_custkey, c_name, c_nationkey FROM customer")
 def json_root_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Documents of at most 500 records whatever the keys are, one per file.
@@ -110,6 +137,17 @@ def json_root_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"))
 
 
+@query("SELECT event_id, event_type, props, value FROM events")
+def json_large_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document, whose list is cut into elements by many tasks."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props", "value")
+    elements = events.select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value")).coalesce(1)
+    first, last = '{"about": {"list": [1, "],"]}, "rows": [null', '], "more": {}}'
+    path = write_lines(elements, scratch(spark, "json-large"), [first], [last])
+    rows = split(files.json_scan(_in_small_blocks(spark, 1 << 14), path, root="rows")).valid
+    return rows.select("event_id", "event_type", "props", "value")
+
+
 def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
     cut = F.when(F.col("event_id") % 7 == 0, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)

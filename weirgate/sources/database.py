@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.operators.incremental import Bounds, column_maximum, within
+from weirgate.operators.incremental import Bounds, column_maximum, with_ties
 from weirgate.operators.records import (
     attach_source_name,
     as_tagged,
@@ -74,8 +74,9 @@ def jdbc_scan(spark: SparkSession, props: Mapping[str, Any], query: str, source_
 
 
 def jdbc_incremental_scan(spark: SparkSession, props: Mapping[str, Any], query: str, source_name: str,
-                          column_name: str, previous: Any, *, parts: int = 32) -> tuple[DataFrame, Bounds]:
-    """Rows above the previous bound, up to the present maximum.
+                          column_name: str, previous: Any, *, parts: int = 32,
+                          seen: DataFrame | None = None) -> tuple[DataFrame, Bounds]:
+    """Rows above the previous bound, up to the present maximum, and late ones at its edge, of which ``seen`` was loaded.
 
     The increment column also spreads the read over several connections.
     """
@@ -85,7 +86,8 @@ def jdbc_incremental_scan(spark: SparkSession, props: Mapping[str, Any], query:
         low = previous if previous is not None else _ends(rows, column_name)[0]
         ends = whole_bounds(rows.schema[column_name].dataType, low, bounds.high)
         rows = jdbc_frame(spark, props, query, (column_name, *ends, parts))
-    return _database_rows(within(rows, column_name, bounds), source_name), bounds
+    new, bounds = with_ties(rows, column_name, bounds, seen)
+    return _database_rows(new, source_name), bounds
 
 
 def _database_rows(rows: DataFrame, source_name: str) -> DataFrame:

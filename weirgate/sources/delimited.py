@@ -9,13 +9,13 @@ from __future__ import annotations
 import csv
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial, reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +26,24 @@ from weirgate.operators.records import (
     column,
     error_when,
     null_markers,
-    read_together,
     single_pass,
     typed_nulls,
 )
+from weirgate.sources.blocks import (
+    FIRST,
+    FRAGMENT,
+    LAST,
+    MIDDLE,
+    START,
+    VALUE,
+    attach,
+    before,
+    block_pieces,
+    joined,
+    keep,
+    runs_of,
+    with_state,
+)
 
 # Fields that stand for NULL unless the task says otherwise.
 NULL_MARKERS = ("-1", "Null")
@@ -79,20 +93,19 @@ def file_heads(spark: SparkSession, path: str | Sequence[str], count: int) -> Da
     return lines.mapInArrow(partial(_first_lines, count), "path string, lines array<string>")
 
 
-def _headers(spark: SparkSession, path: str | Sequence[str], skip_rows: int) -> list[tuple[str, str | None]]:
-    """(path, first line after the skipped ones that is not blank) of each file.
+def _headers(spark: SparkSession, path: str | Sequence[str], skip_rows: int) -> list[Row]:
+    """(path, header, leading, far) of each file.
 
-    Leading lines are left out in the first split of a file, so they must lie in it.
+    The header is the first line after the skipped ones that is not blank, ``leading`` how many lines end with
+    it, and ``far`` whether those may reach beyond the first split.
     """
     size = F.aggregate("lines", F.lit(0), lambda n, line: n + F.octet_length(line) + 2)
     heads = file_heads(spark, path, skip_rows + 1)
     rest = F.filter(F.slice("lines", skip_rows + 1, F.greatest(F.size("lines"), F.lit(1))), lambda line: F.trim(line) != "")
-    rows = heads.select("path", F.get(rest, F.lit(0)).alias("header"), size.alias("size")).collect()
     conf = spark._jsparkSession.sessionState().conf()
     smallest = min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes())
-    if any(r.size >= smallest for r in rows):
-        raise ValueError("leading lines do not fit the smallest split; raise spark.sql.files.openCostInBytes")
-    return [(as_path(r.path), r.header) for r in rows]
+    heads = heads.select("path", F.get(rest, F.lit(0)).alias("header"), F.size("lines").alias("leading"), (size >= smallest).alias("far"))
+    return heads.collect()
 
 
 def as_path(uri: str) -> str:
@@ -126,21 +139,152 @@ def _drop_leading(count: int, header: bool, batches: Iterator[pa.RecordBatch]) -
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def lines_after(spark: SparkSession, path: str | Sequence[str], skip: int, header: bool = False) -> DataFrame:
+def lines_after(spark: SparkSession, path: str | Sequence[str], skip: int, header: bool = False,
+                far: Sequence[Row] = ()) -> DataFrame:
     """(source_name, value) for the lines of all files but the first ``skip`` of each, and the header behind them."""
     source = F.col("_metadata.file_path").alias(SOURCE)
     if skip == 0 and not header:
         return spark.read.text(path).select(source, "value")
-    if skip == 0:
+    if skip == 0 and not far:
         # The CSV reader leaves out one header line per file by itself, the first that
         # is not blank; with a separator that never occurs each line is a single field.
         reader = spark.read.schema("value string").options(
             header=True, sep=_END, quote="", escape="", nullValue=_NONE, emptyValue="", mode="PERMISSIVE"
         )
         return reader.csv(path).select(source, "value")
-    lines = spark.read.text(path).select(source, F.col("_metadata.file_block_start").alias("start"), "value")
-    kept = lines.mapInArrow(partial(_drop_leading, skip, header), f"{SOURCE} string, start bigint, value string")
-    return kept.drop("start")
+    return _after_leading(block_pieces(spark, path), skip, header, far).select(SOURCE, VALUE)
+
+
+def _drop_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leave out as many of the first lines of each block as its rows say."""
+    left = 0
+    for _, begins, rows in runs_of(batches):
+        if begins:
+            left = rows.column(3)[0].as_py() or 0
+        cut = min(left, rows.num_rows)
+        left -= cut
+        yield rows.slice(cut).select([0, 1, 2])
+
+
+def _after_leading(lines: DataFrame, skip: int, header: bool, far: Sequence[Row]) -> DataFrame:
+    """Lines ``(source_name, block_start, value)`` without the leading ones of their files.
+
+    Usually those lie in the first block of a file. Where they may not, lines are counted block by block, and
+    each block leaves out what is left of them when it begins.
+    """
+    shape = f"{SOURCE} string, {START} bigint, {VALUE} string"
+    if not far:
+        return lines.mapInArrow(partial(_drop_leading, skip, header), shape) if skip or header else lines
+    counts = lines.groupBy(SOURCE, START).agg(F.count("*").alias("lines"))
+    # A row for each file whose first lines are that long.
+    spans = lines.sparkSession.createDataFrame([(r.path, r.leading if header else skip) for r in far], f"{SOURCE} string, leading long")
+    passed = counts.withColumn("passed", before(F.col("lines"))).join(spans, SOURCE, "left")
+    others = F.lit(skip) if not header else F.lit(None)
+    left = F.greatest(F.coalesce("leading", others) - F.col("passed"), F.lit(0)).cast("long")
+    return attach(lines, keep(passed.select(SOURCE, START, left.alias("left")))).mapInArrow(_drop_counted, shape)
+
+
+class Quotes:
+    """Whether a line break behind a line is inside a quoted field.
+
+    A field is quoted if it begins with a quote; doubled quotes are part of it. What stands behind its last quote
+    belongs to the field and opens no other.
+    """
+
+    def __init__(self, delimiter: str) -> None:
+        d = re.escape(delimiter)
+        quoted, plain = rf'"(?:[^"]++|"")*+"[^{d}]*+', rf'(?!")[^{d}]*+'
+        self.opening = re.compile(rf'(?>(?:{quoted}|{plain}){d})*+"(?:[^"]++|"")*+\Z')
+        self.closing = re.compile(rf'(?:[^"]++|"")*+"[^{d}]*+({d}|\Z)')
+
+    def after(self, inside: bool, line: str) -> bool:
+        if '"' not in line:
+            return inside
+        if not inside:
+            return self.opening.match(line) is not None
+        end = self.closing.match(line)
+        if end is None:
+            return True
+        return bool(end[1]) and self.opening.match(line, end.end()) is not None
+
+
+def _quote_states(delimiter: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How each block ends, from either state it may begin in."""
+    quotes, block, states = Quotes(delimiter), None, (False, True)
+
+    def row() -> pa.RecordBatch:
+        values = [[block[0]], [block[1]], [states[0]], [states[1]]]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=[SOURCE, START, "outside", "inside"])
+
+    for name, begins, rows in runs_of(batches):
+        if begins and block is not None:
+            yield row()
+        if begins:
+            block, states = name, (False, True)
+        lines = rows.column(2)
+        for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
+            states = tuple(quotes.after(s, line) for s in states)
+    if block is not None:
+        yield row()
+
+
+def _records(delimiter: str, fragments: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of lines that know how their block begins: those that lie in one block, or the parts of the others."""
+    quotes, names = Quotes(delimiter), [SOURCE, START, "role", VALUE]
+    block, inside, crossing = None, False, False
+    lines: list[str] = []
+
+    def out(texts: list[str], role: int | None) -> pa.RecordBatch:
+        values = [[block[0]] * len(texts), [block[1]] * len(texts), [role] * len(texts), texts]
+        types = (pa.string(), pa.int64(), pa.int32(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names=names)
+
+    def rest() -> list[pa.RecordBatch]:
+        return [out(["\n".join(lines)], MIDDLE if crossing else FIRST)] if lines and fragments else []
+
+    for name, begins, rows in runs_of(batches):
+        if begins:
+            yield from rest()
+            block, inside, lines = name, bool(rows.column(3)[0].as_py()), []
+            crossing = inside
+        complete = []
+        for line in rows.column(2).to_pylist():
+            inside = quotes.after(inside, line)
+            if inside:
+                lines.append(line)
+                continue
+            line = line.removesuffix("\r")
+            text = "\n".join([*lines, line]) if lines else line
+            lines = []
+            if crossing:
+                crossing = False
+                if fragments:
+                    yield out([text], LAST)
+            else:
+                complete.append(text)
+        if complete and not fragments:
+            yield out(complete, None)
+    yield from rest()
+
+
+def quoted_records(read: Callable[[str | Sequence[str]], DataFrame], path: str | Sequence[str], delimiter: str = ",") -> DataFrame:
+    """(source_name, value): records of the lines ``(source_name, block_start, value)`` of files, with the line breaks inside quotes.
+
+    Tasks first find how quotes leave each block, then cut their blocks into records knowing how they begin. Only
+    files in which a record crosses blocks are gone through once more, for its parts. A quote that never closes
+    makes one record of the rest of the file, which is to fit one value.
+    """
+    lines = read(path)
+    ends = lines.mapInArrow(partial(_quote_states, delimiter), f"{SOURCE} string, {START} bigint, outside boolean, inside boolean")
+    end = F.when(F.col("begins"), F.col("inside")).otherwise(F.col("outside"))
+    blocks = keep(with_state(keep(ends), "begins").select(SOURCE, START, "begins", end.alias("ends")))
+    begins = blocks.select(SOURCE, START, "begins")
+    records = attach(lines, begins).mapInArrow(partial(_records, delimiter, False), FRAGMENT).select(SOURCE, VALUE)
+    crossed = [as_path(r[0]) for r in blocks.where("begins OR ends").select(SOURCE).distinct().collect()]  # at most a row per file
+    if not crossed:
+        return records
+    parts = attach(read(crossed), begins).mapInArrow(partial(_records, delimiter, True), FRAGMENT)
+    return records.unionByName(joined(parts, "\n"))
 
 
 def _plain_line(line: Column, delimiter: str, escape: str | None) -> Column:
@@ -229,64 +373,39 @@ def delimited_scan(
     over the lines unless ``extra_columns`` says it. Missing fields are NULL,
     empty ones ``''``. Files are grouped by header, not joined with it, so each
     group is an ordinary splittable scan. Values with line breaks need
-    ``multi_line``, which reads each file in one task and knows doubled quotes
-    but no escape character; without it, lines whose quotes do not close are bad
-    records.
+    ``multi_line``, which knows doubled quotes but no escape character and takes no
+    extra columns unless told; without it, lines whose quotes do not close are bad records.
     """
     if multi_line:
-        return _multi_line_scan(spark, path, delimiter, markers, header, schema, skip_rows, extra_columns)
+        escape, extra_columns = None, extra_columns or 0
+
+    def read(files: str | Sequence[str], skip: int, header: bool, far: Sequence[Row]) -> DataFrame:
+        if not multi_line:
+            return lines_after(spark, files, skip, header, far)
+        return quoted_records(lambda some: _after_leading(block_pieces(spark, some, "\n"), skip, header, far), files, delimiter)
+
     if not header:
         if schema is None:
             raise ValueError("files without a header need a schema")
-        if skip_rows:
-            _headers(spark, path, skip_rows)
-        lines = lines_after(spark, path, skip_rows)
-        return _named_rows(lines, schema.names, extra_columns, delimiter, escape, markers)
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file, header_line in _headers(spark, path, skip_rows):
-        if header_line is not None:
-            reader = csv.reader([header_line], delimiter=delimiter, escapechar=escape)
-            groups[tuple(next(reader))].append(file)
+        far = [r for r in _headers(spark, path, skip_rows) if r.far] if skip_rows else []
+        return _named_rows(read(path, skip_rows, False, far), schema.names, extra_columns, delimiter, escape, markers)
+    groups: dict[tuple[str, ...], list[Row]] = defaultdict(list)
+    for row in _headers(spark, path, skip_rows):
+        if row.header is not None:
+            reader = csv.reader([row.header], delimiter=delimiter, escapechar=escape)
+            groups[tuple(next(reader))].append(row)
     if not groups:
         raise ValueError(f"no file with a header at {path}")
     parts = []
-    for names, files in groups.items():
-        lines = lines_after(spark, path if len(groups) == 1 else files, skip_rows, header=True)
+    for names, rows in groups.items():
+        files = path if len(groups) == 1 else [as_path(r.path) for r in rows]
+        lines = read(files, skip_rows, True, rows if any(r.far for r in rows) else [])
         parts.append(_named_rows(lines, names, extra_columns, delimiter, escape, markers))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     data = [c for c in rows.columns if c not in (SOURCE, ERROR)]
     return rows.select(*[column(c) for c in data], column(SOURCE), column(ERROR))
 
 
-def _multi_line_scan(spark, path, delimiter, markers, header, schema, skip_rows, extra_columns) -> DataFrame:
-    if skip_rows:
-        raise ValueError("skip_rows is not available with multi_line")
-    names = list(schema.names) if schema is not None and not header else None
-    if names is None:
-        heads = file_heads(spark, path, 1).collect()
-        first = [next((line for line in h.lines if line.strip()), None) for h in heads]
-        found = {tuple(next(csv.reader([line], delimiter=delimiter))) for line in first if line is not None}
-        if len(found) != 1:
-            raise ValueError("multi_line needs files with one common header")
-        names = list(found.pop())
-    columns = names + [f"column_{len(names) + i + 1}" for i in range(extra_columns or 0)]
-    reader = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "_raw")]))
-    rows = reader.options(
-        header=header, sep=delimiter, quote='"', escape='"', multiLine=True, nullValue=_NONE, emptyValue="",
-        mode="PERMISSIVE", columnNameOfCorruptRecord="_raw",
-    ).csv(path).withColumn(SOURCE, F.col("_metadata.file_path"))
-    # Only records that lack fields or have too many come with their raw text.
-    rows, ragged = split_fields(read_together(rows), "_raw", len(columns), delimiter, None)
-    whole = F.col("_raw").isNull()
-    cells = [
-        F.when(whole, F.coalesce(column(c), F.lit(""))).otherwise(ragged[i]).alias(c)
-        for i, c in enumerate(columns)
-    ]
-    desc = f"quotes do not close or more than {len(columns)} fields"
-    error = error_when(~whole & F.col("_count").isNull(), INVALID_RECORD, desc, F.col("_raw"))
-    return null_markers(rows.select(*cells, column(SOURCE), error.alias(ERROR)), markers, columns)
-
-
 def unload_scan(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, source_name: str,
                 delimiter: str = ",") -> DataFrame:
     """Header-less files of a warehouse unload, named by the declared schema.

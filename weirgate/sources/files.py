@@ -30,15 +30,19 @@ from weirgate.operators.records import (
     single_pass,
     spread,
 )
+from weirgate.sources.elements import list_elements
 
 _DOCUMENT = "_document"
 _DECODER, _SPACE = json.JSONDecoder(), re.compile(r"[ \t\r\n]*")
 _ELEMENTS = 1000
 
 
-def line_scan(spark: SparkSession, path: str | Sequence[str], whole: bool = False) -> DataFrame:
-    """(source_name, value) per line, or per file with ``whole``."""
-    return spark.read.text(path, wholetext=whole).select(F.col("_metadata.file_path").alias(SOURCE), "value")
+def line_scan(spark: SparkSession, path: str | Sequence[str], whole: bool = False, upto: int | None = None) -> DataFrame:
+    """(source_name, value) per line, or per file with ``whole``; with ``upto``, of files up to that size only."""
+    found = spark.read.text(path, wholetext=whole)
+    if upto is not None:
+        found = found.where(F.col("_metadata.file_size") <= upto)
+    return found.select(F.col("_metadata.file_path").alias(SOURCE), "value")
 
 
 def _rows(tagged: DataFrame, layout: Layout | T.StructType | None, kind: str = INVALID_RECORD) -> DataFrame:
@@ -55,14 +59,21 @@ def json_scan(spark: SparkSession, path: str | Sequence[str], root: str | None =
               layout: Layout | T.StructType | None = None) -> DataFrame:
     """One JSON document per file; a list gives one row per element.
 
-    A JSON document cannot be split, so the unit of work is the file; rows of
-    large documents are best kept in line-delimited files instead. The elements
-    of a list are found by a scanner that goes through the text once and are
-    parsed one by one, so only an element, not the list, must fit a VARIANT.
+    A document that fits one split of a file is gone through by one task; larger ones are cut into the elements
+    of their list by many. Elements are parsed one by one, so only an element, not the list, must fit a VARIANT.
+    A large document that holds no list to cut has to be one value.
     """
-    whole = line_scan(spark, path, whole=True)
-    elements = whole.mapInArrow(partial(_list_elements, root), f"{SOURCE} string, value string")
-    return document_rows(elements, root, layout)
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    shape = f"{SOURCE} string, value string"
+    documents = line_scan(spark, path, whole=True, upto=limit).mapInArrow(partial(_list_elements, root), shape)
+    if not spark.read.format("binaryFile").load(path).select("length").where(F.col("length") > limit).isEmpty():
+        elements, others = list_elements(spark, path, root, limit)
+        documents = documents.unionByName(elements)
+        if others:
+            rest = spark.read.text(path, wholetext=True).where(F.col("_metadata.file_path").isin(others))
+            rest = rest.select(F.col("_metadata.file_path").alias(SOURCE), "value")
+            documents = documents.unionByName(rest.mapInArrow(partial(_list_elements, root), shape))
+    return document_rows(documents, root, layout)
 
 
 def _elements(text: str, at: int) -> tuple[list[tuple[int, int]], int]:
