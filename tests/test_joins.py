@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from weirgate.operators.audit import target_text
-from weirgate.operators.incremental import Bounds, delta_literal, increment, latest_runs, within
+from weirgate.operators.incremental import Bounds, column_maximum, delta_literal, increment, latest_runs, with_ties, within
 from weirgate.operators.lookup import fits_broadcast, hot_keys, lookup_join
 from weirgate.operators.windows import number_within, window_batches, window_counts
 
@@ -101,3 +101,30 @@ def test_half_minute_windows(spark):
 def test_target_text():
     targets = [{"bigquery_stream": {"target_table": "a.b"}}, {"kafka": {"topic_name": "t"}}, {"rdbms": {"tablename": "x"}}, {"gcs": {"path": "p"}}]
     assert target_text(targets) == "{\"bigquery\": a.b},{\"kafka\": t},{\"rdbms\": x},{'gcs': {'path': 'p'}}"
+
+
+def test_late_rows_at_the_edge_of_an_increment(spark):
+    """Over random loads of a growing source each row comes once, ties with the bound, rows without a value and copies included."""
+    rng = random.Random(3)
+    rows = [(i % 90, rng.choice([None, 1, 2, 3, 3, 3]) if i < 150 else rng.choice([None, 3, 4, 4])) for i in range(240)]
+    schema, seen, previous, loaded = "id int, c int", None, None, []
+    for size in (0, 40, 40, 150, 170, 0, 240, 240):
+        source = spark.createDataFrame(rows[:size], schema).repartition(3)
+        bounds = Bounds(previous, column_maximum(source, "c", previous))
+        new, bounds = with_ties(source, "c", bounds, seen)
+        loaded += [tuple(r) for r in new.collect()]
+        seen, previous = bounds.edge, bounds.high
+    # Only what comes late with a value below the bound is out of reach of increments.
+    below, reach, high = Counter(), 0, None
+    for size in (40, 150, 170, 240):
+        for row in rows[reach:size]:
+            if row[1] is not None and high is not None and row[1] < high:
+                below[row] += 1
+        high, reach = max([r[1] for r in rows[:size] if r[1] is not None], default=high), size
+    assert Counter(loaded) == Counter(rows) - below
+
+
+def test_a_load_before_edges_were_kept(spark):
+    rows = spark.createDataFrame([(1, 5), (2, 5), (3, 6), (4, None)], "id int, c int")
+    new, bounds = with_ties(rows, "c", Bounds("5", "6"), None)
+    assert [r.id for r in new.collect()] == [3] and bounds.edge.count() == 2

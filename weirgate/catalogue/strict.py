@@ -155,6 +155,25 @@ def incremental_after_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i + 1, r.target_rows) for i, r in enumerate(results)], "load int, rows bigint")
 
 
+@query("SELECT o_orderkey, 1 AS times FROM orders")
+def incremental_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of a growing table whose rows tie with the bound, or have no value, before and after: each row comes once."""
+    path = scratch(spark, "incremental-ties")
+    day = F.when(F.col("o_orderkey") % 11 > 0, F.date_trunc("month", "o_orderdate"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", day.alias("day"))
+    last = orders.agg(F.max("day")).first()[0]
+    early = (F.col("day") < last) | (F.col("o_orderkey") % 2 == 0)
+    task = {
+        "job_name": "orders", "task_name": "monthly", "input_processor": "BigQueryProcessor",
+        "source_db": {"query": "SELECT * FROM weirgate_ties", "incremental_mode": {"column_name": "day", "column_datatype": "TIMESTAMP"}},
+        "targets": [{"bigquery": {"target_table": f"{path}/out"}}], "audit": {"required": True, "job_audit_table": f"{path}/audit"},
+    }
+    for rows in (orders.where(F.col("day") < F.lit(last)), orders.where(early), orders.where("false"), orders, orders):
+        rows.createOrReplaceTempView("weirgate_ties")
+        run_task(spark, task)
+    return read_table(spark, f"{path}/out").groupBy("o_orderkey").agg(F.count("*").cast("int").alias("times"))
+
+
 @query("""
     SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS market
     FROM customer

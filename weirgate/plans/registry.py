@@ -9,13 +9,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from weirgate.operators.incremental import Bounds, increment, previous_bound
+from weirgate.operators.incremental import EDGE, Bounds, increment, previous_bound, previous_edge
 from weirgate.operators.records import as_tagged, resolve_variables
 from weirgate.operators.windows import fixed_windows
 from weirgate.schema import declared_schema, read_schema_file
 from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
-from weirgate.sinks.tables import read_table, write_table
+from weirgate.sinks.tables import exists, read_table, table_name, write_table
 from weirgate.sinks.text import text_path, write_text
 from weirgate.sources import api, database, delimited, files, messages
 
@@ -126,9 +126,21 @@ def _query(task: Mapping[str, Any]) -> str:
     return resolve_variables(task["source_db"]["query"], task.get("variables", {}))
 
 
-def _audit_bound(spark: SparkSession, task: Mapping[str, Any]) -> str | None:
+def edge_table(task: Mapping[str, Any]) -> str:
+    """Where a task keeps what it saw at the edge of its loads: beside the audit table, unless it says otherwise."""
+    named = task["source_db"]["incremental_mode"].get("edge_table")
+    return named or str(task["audit"]["job_audit_table"]).rstrip("/") + "_edge"
+
+
+def _edges(spark: SparkSession, task: Mapping[str, Any]) -> DataFrame:
+    name = edge_table(task)
+    return read_table(spark, name) if exists(spark, table_name(name)) else spark.createDataFrame([], EDGE)
+
+
+def _increment(spark: SparkSession, task: Mapping[str, Any], rows: DataFrame) -> tuple[DataFrame, Bounds]:
     audit = read_table(spark, task["audit"]["job_audit_table"])
-    return previous_bound(audit, task["job_name"], task["task_name"])
+    column_name = task["source_db"]["incremental_mode"]["column_name"]
+    return increment(rows, column_name, audit, task["job_name"], task["task_name"], _edges(spark, task))
 
 
 @source("jdbc", "RdbmsProcessor")
@@ -136,9 +148,11 @@ def _jdbc(spark: SparkSession, task: dict) -> DataFrame | tuple[DataFrame, Bound
     db, props = task["source_db"], task["rdbms_props"]
     name = resolve_variables(f"{db.get('schema', '')}.{db['rdbms_table']}", task.get("variables", {}))
     if "incremental_mode" in db:
+        audit = read_table(spark, task["audit"]["job_audit_table"])
+        of_task = task["job_name"], task["task_name"]
         return database.jdbc_incremental_scan(
-            spark, props, _query(task), name, db["incremental_mode"]["column_name"], _audit_bound(spark, task),
-            parts=int(props.get("connections", 32)),
+            spark, props, _query(task), name, db["incremental_mode"]["column_name"], previous_bound(audit, *of_task),
+            parts=int(props.get("connections", 32)), seen=previous_edge(_edges(spark, task), audit, *of_task),
         )
     return database.jdbc_scan(spark, props, _query(task), name, partition_column=db.get("partition_column"),
                               parts=int(props.get("connections", 32)))
@@ -151,8 +165,7 @@ def _catalog_query(spark: SparkSession, task: dict) -> DataFrame | tuple[DataFra
                                task.get("variables"))
     if "incremental_mode" not in db:
         return rows
-    audit = read_table(spark, task["audit"]["job_audit_table"])
-    return increment(rows, db["incremental_mode"]["column_name"], audit, task["job_name"], task["task_name"])
+    return _increment(spark, task, rows)
 
 
 @source("snowflake", "SnowFlakeIOProcessor", "SnowflakeProcessor")
@@ -165,8 +178,7 @@ def _snowflake(spark: SparkSession, task: dict) -> DataFrame | tuple[DataFrame,
     rows = database.connector_scan(spark, "snowflake", options | {"query": _query(task)}, name)
     if "incremental_mode" not in db:
         return rows
-    audit = read_table(spark, task["audit"]["job_audit_table"])
-    return increment(rows, db["incremental_mode"]["column_name"], audit, task["job_name"], task["task_name"])
+    return _increment(spark, task, rows)
 
 
 @source("api", "ApiProcessor")
@@ -238,4 +250,4 @@ def _rdbms(df: DataFrame, target: Mapping[str, Any], task: Mapping[str, Any]) ->
     write_database(df, target, target.get("columns"))
 
 
-__all__ = ["SINKS", "SOURCES", "column_map", "flag", "sink", "source", "task_schema"]
+__all__ = ["SINKS", "SOURCES", "column_map", "edge_table", "flag", "sink", "source", "task_schema"]

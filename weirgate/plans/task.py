@@ -24,15 +24,16 @@ from weirgate.operators.audit import (
     job_audit_row,
     target_text,
 )
-from weirgate.operators.incremental import Bounds
+from weirgate.operators.incremental import Bounds, edge_rows
 from weirgate.operators.lookup import lookup_join
 from weirgate.operators.records import ERROR, SOURCE, column, error_records, message_ids, select_required, spread
-from weirgate.plans.registry import SINKS, SOURCES, column_map, flag, task_schema
+from weirgate.plans.registry import SINKS, SOURCES, column_map, edge_table, flag, task_schema
 from weirgate.schema import conform
 from weirgate.session import remove_path, scratch_path
 from weirgate.sinks.tables import APPEND, BATCH_COLUMN, has_rows, read_table, table_name, write_table
 from weirgate.sources.files import flatten_lines
 from weirgate.streaming.runner import DATABASE_INTERVAL, POLL, fan_out, start, stream_lines
+from weirgate.streaming.snapshots import PeriodicLookup
 
 log = logging.getLogger(__name__)
 
@@ -108,19 +109,23 @@ def _tagged(spark: SparkSession, task: dict, finish: bool = True) -> tuple[DataF
     return (_finished(spark, task, tagged) if finish else tagged), bounds
 
 
-def _finished(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame) -> DataFrame:
-    tagged = _enriched(spark, task, tagged)
+def _finished(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+    tagged = _enriched(spark, task, tagged, lookup)
     return select_required(tagged, task["required_columns"]) if task.get("required_columns") else tagged
 
 
-def _enriched(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame) -> DataFrame:
-    """Lay the rows of the task's lookup query over its records, if it has one."""
+def _lookup(spark: SparkSession, task: Mapping[str, Any]) -> DataFrame:
+    props = task["read_properties"]
+    return spark.sql(props["query"], args=props.get("args") or {})
+
+
+def _enriched(spark: SparkSession, task: Mapping[str, Any], tagged: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+    """Lay the rows of the task's lookup query, or of a version of it, over its records, if it has one."""
     pairs = (task.get("filter_properties") or {}).get("join_column")
     if not pairs:
         return tagged
-    props = task["read_properties"]
-    lookup = spark.sql(props["query"], args=props.get("args") or {})
-    return lookup_join(tagged, lookup, pairs, props.get("order_by"))
+    lookup = _lookup(spark, task) if lookup is None else lookup
+    return lookup_join(tagged, lookup, pairs, task["read_properties"].get("order_by"))
 
 
 def _target_schema(spark: SparkSession, task: Mapping[str, Any]) -> T.StructType | None:
@@ -176,6 +181,10 @@ def run_task(spark: SparkSession, task: dict[str, Any]) -> TaskResult:
         if per_file:
             files = file_audit_rows(file_counts(rows), job_id, task["job_name"], task["task_name"], task["targets"], _now())
             write_table(files, {"target_table": audit["file_audit_table"]}, True)
+        if audited and bounds is not None and bounds.edge is not None:
+            # A load that does not complete has no say in the next one, whatever it left here.
+            kept = edge_rows(bounds.edge, job_id, task["job_name"], task["task_name"])
+            write_table(kept, {"target_table": edge_table(task)}, True)
     except Exception as problem:
         write_audit(status=FAILED, end_ts=_now())
         log.error("task %s failed: %s", task["task_name"], problem)
@@ -225,7 +234,7 @@ def _file_stream(spark: SparkSession, task: dict) -> tuple[DataFrame, Callable[[
         elif task.get("layout") is None:
             # What one batch looks like says nothing about the next: without declared types all is text.
             rows = rows.withColumns({name: column(name).cast("string") for name in mapping["flat_table_mapping"]})
-        return _enriched(batch.sparkSession, task, rows)
+        return rows
 
     return lines, shape
 
@@ -238,18 +247,29 @@ STREAMS: dict[str, Callable[[SparkSession, dict], tuple[DataFrame, Callable | No
 
 def run_stream_task(spark: SparkSession, task: dict[str, Any], checkpoint: str,
                     available_now: bool = False) -> StreamingQuery:
-    """Start a task on an unbounded source. Streams are not audited."""
+    """Start a task on an unbounded source.
+
+    The lookup, if there is one, is read again for each micro-batch, or with ``refresh_seconds`` once in so many
+    seconds; what it was for a micro-batch is then kept beside the checkpoint. Audited tasks count every micro-batch.
+    """
     check_task(task)
     job_id = str(task.get("job_id") or uuid.uuid4())
-    shape = None
     if task["input_processor"] in STREAMS:
-        stream, shape = STREAMS[task["input_processor"]](spark, task)
+        stream, read = STREAMS[task["input_processor"]](spark, task)
     else:
-        # The lookup is read again for each micro-batch, so it may change while the stream runs.
         stream, _ = _tagged(spark, task, finish=False)
-
-        def shape(batch: DataFrame) -> DataFrame:
-            return _finished(batch.sparkSession, task, batch)
+        read = None
+    seconds = (task.get("read_properties") or {}).get("refresh_seconds")
+    lookup = None
+    if seconds is not None:
+        lookup = PeriodicLookup(lambda session: _lookup(session, task), f"{checkpoint.rstrip('/')}_lookup", float(seconds))
+
+    def shape(batch: DataFrame, batch_id: int) -> DataFrame:
+        session = batch.sparkSession
+        version = lookup.at(session, batch_id) if lookup is not None else None
+        if read is not None:
+            return _enriched(session, task, read(batch), version)
+        return _finished(session, task, batch, version)
 
     windowed = any("rdbms_window" in target for target in task["targets"])
     return start(stream, fan_out(task, job_id, shape, task.get("event_time"), SINKS), checkpoint,
