@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate.catalogue.base import millis, query, scratch, table, write_lines
+from weirgate.operators.audit import stream_totals
 from weirgate.operators.records import message_ids, split, spread
 from weirgate.operators.windows import fixed_windows
 from weirgate.plans import run_stream_task
@@ -14,6 +15,7 @@ from weirgate.sinks.tables import read_table, write_stream_batch
 from weirgate.sinks.text import write_archive, write_windowed_text
 from weirgate.sources import messages
 from weirgate.streaming import runner
+from weirgate.streaming.snapshots import PeriodicLookup
 
 EVENT_MAP = {
     "flat_table_mapping": {
@@ -121,6 +123,65 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{path}/out").select("event_id", "event_type", start)
 
 
+@query("""
+    SELECT event_id, event_type, strftime(time_bucket(INTERVAL 30 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(time_bucket(INTERVAL 30 SECOND, ts) + INTERVAL 30 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end
+    FROM events WHERE event_id % 11 <> 0
+""")
+def stream_windowing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A task whose messages are put into windows by its ``windowing_time``, in minutes."""
+    path = scratch(spark, "windowing-time")
+    schema = _message_stream(spark, sf_dir, f"{path}/in").schema
+    task = {
+        "job_name": "messages", "task_name": "windows", "input_processor": "PubsubProcessor", "input_subscription": "subscription",
+        "messages": {"format": "parquet", "schema": schema, "options": {"path": f"{path}/in"}}, "windowing_time": "0.5",
+        "layout": MESSAGE_LAYOUT, "targets": [{"bigquery_stream": {"target_table": f"{path}/out"}}],
+    }
+    run_stream_task(spark, task, f"{path}/checkpoint", available_now=True).awaitTermination()
+    ends = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")]
+    return read_table(spark, f"{path}/out").select("event_id", "event_type", *ends)
+
+
+@query("SELECT event_id, 1 AS times FROM events")
+def stream_merged_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of many small micro-batches whose folders are merged as they grow old; one of them is written once more."""
+    path = scratch(spark, "merged-batches")
+    events = table(spark, sf_dir, "events").select("event_id")
+    events.repartition(20).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    target = {"target_table": f"{path}/out", "merge_batches": 4}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_stream_batch(batch, target, batch_id)
+        if batch_id == 2:
+            write_stream_batch(batch, target, batch_id)
+
+    runner.start(stream, write, f"{path}/checkpoint", available_now=True).awaitTermination()
+    return read_table(spark, f"{path}/out").groupBy("event_id").agg(F.count("*").cast("int").alias("times"))
+
+
+@query("""
+    SELECT 'stream' AS job_name, 'events' AS task_name, count(*) AS messages, count(*) AS src_rec_count,
+           count(*) FILTER (event_id % 7 <> 0) AS tgt_rec_count, count(*) FILTER (event_id % 7 = 0) AS err_rec_count
+    FROM events
+""")
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stream that runs in two lots, from the audit rows of its micro-batches."""
+    path = scratch(spark, "stream-audit")
+    task = {
+        "job_name": "stream", "task_name": "events", "input_processor": "JsonFlattenStreamingProcessor",
+        "data_file": f"{path}/in", "column_name_map": EVENT_MAP, "topic_name": "live", "schema": EVENT_SCHEMA, "files_per_batch": 2,
+        "targets": [{"bigquery_stream": {"target_table": f"{path}/out"}}],
+        "audit": {"required": True, "job_audit_table": f"{path}/audit"},
+    }
+    lines = _event_lines(spark, sf_dir)
+    for lot in (0, 1):
+        write_lines(lines.where(F.col("event_id") % 2 == lot).select("value").coalesce(3), f"{path}/in")
+        run_stream_task(spark, task, f"{path}/checkpoint", available_now=True).awaitTermination()
+    totals = stream_totals(read_table(spark, f"{path}/audit_stream"))
+    return totals.select("job_name", "task_name", "messages", "src_rec_count", "tgt_rec_count", "err_rec_count")
+
+
 @query("SELECT event_id, CAST(NULL AS VARCHAR) AS comment FROM events WHERE event_id % 11 <> 0")
 def stream_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns the target does not know are dropped, missing ones are NULL; a batch written twice counts once."""
@@ -203,6 +264,33 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "messages")
 
 
+@query("""
+    SELECT event_id, user_id, c_name || CASE WHEN event_id % 3 = 2 THEN '/2' ELSE '/0' END AS c_name
+    FROM events LEFT JOIN customer ON user_id = c_custkey
+""")
+def lookup_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup changes with each of three lots, of which the second comes within the period of the first one."""
+    path = scratch(spark, "by-period")
+    events, customer = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    clock = {"now": 0.0}
+    lookup = PeriodicLookup(lambda s: s.read.parquet(f"{path}/lookup"), f"{path}/versions", 100, lambda: clock["now"])
+    enrich = runner.enrich_by_period(lookup, {"user_id": "c_custkey"}, ["c_custkey"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):  # a batch that runs again
+            write_stream_batch(enrich(batch, batch_id), {"target_table": f"{path}/out"}, batch_id)
+            clock["now"] += 0.0 if batch_id == 0 else 500.0
+
+    for lot, now in enumerate((0.0, 99.0, 2000.0)):
+        customer.withColumn("c_name", F.concat("c_name", F.lit(f"/{lot}"))).write.mode("overwrite").parquet(f"{path}/lookup")
+        clock["now"] = now
+        rows = events.where(F.col("event_id") % 3 == lot).select("event_id", "user_id")
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = runner.stream_table(spark, f"{path}/in", rows.schema)
+        runner.start(stream, write, f"{path}/checkpoint", available_now=True).awaitTermination()
+    return read_table(spark, f"{path}/out").select("event_id", "user_id", "c_name")
+
+
 @query("""
     SELECT event_id, user_id, CASE WHEN event_id % 2 = 0 THEN c_name ELSE upper(c_name) END AS c_name
     FROM events LEFT JOIN customer ON user_id = c_custkey

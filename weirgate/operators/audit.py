@@ -32,6 +32,12 @@ FILE_AUDIT = _table(
     src_rec_count=_COUNT, tgt_rec_count=_COUNT, err_rec_count=_COUNT, load_ts=_TIME,
 )
 
+#: One row for each micro-batch of a stream; ``messages`` came in and made ``src_rec_count`` records, good or bad.
+STREAM_AUDIT = _table(
+    job_id=_TEXT, job_name=_TEXT, task_name=_TEXT, batch=_COUNT, messages=_COUNT,
+    src_rec_count=_COUNT, tgt_rec_count=_COUNT, err_rec_count=_COUNT, load_ts=_TIME,
+)
+
 # Per kind of target, the name audits show for it and the property they show.
 _TARGET_LABELS = {
     "bigquery": ("bigquery", "target_table"),
@@ -112,3 +118,18 @@ def file_audit_rows(counts: DataFrame, job_id: str, job_name: str, task_name: st
         "source_name": F.when(column(SOURCE) == "CSVProcessor", "delimited_file").otherwise(column(SOURCE)),
     }
     return counts.select([given.get(f.name, column(f.name)).cast(f.dataType).alias(f.name) for f in FILE_AUDIT.fields])
+
+
+def stream_audit_row(counts: DataFrame, messages: int, task: Mapping[str, Any], job_id: str, batch: int) -> DataFrame:
+    """The row of the stream audit table for one micro-batch, from its three counts."""
+    given = {
+        "job_id": F.lit(job_id), "job_name": F.lit(task["job_name"]), "task_name": F.lit(task.get("task_name")),
+        "batch": F.lit(batch), "messages": F.lit(messages), "load_ts": F.current_timestamp(),
+    }
+    return counts.select([given.get(f.name, column(f.name)).cast(f.dataType).alias(f.name) for f in STREAM_AUDIT.fields])
+
+
+def stream_totals(audit: DataFrame) -> DataFrame:
+    """Counts of streams so far, per job and task, from the rows of their micro-batches."""
+    counts = ("messages", "src_rec_count", "tgt_rec_count", "err_rec_count")
+    return audit.groupBy("job_name", "task_name").agg(*(F.sum(c).alias(c) for c in counts), F.max("load_ts").alias("load_ts"))

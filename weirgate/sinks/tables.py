@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate.operators.records import base64_binary, column, drop_source_name
+from weirgate.sinks.batches import MERGED, children, folder_of, label_of, live, merge_settled
 
 APPEND, TRUNCATE, EMPTY = "WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY"
 BATCH_COLUMN = "stream_batch"
@@ -37,10 +38,13 @@ def read_table(spark: SparkSession, name: str, data_format: str = "parquet") ->
     if not is_path(name):
         return spark.table(name)
     reader = spark.read.format(data_format)
-    if _children(spark, name, f"{BATCH_COLUMN}=*") and _children(spark, name, "[!_.]*.*"):
-        # A batch task wrote into the folder before a stream did: files lie beside the partitions.
-        reader = reader.option("recursiveFileLookup", True)
-    return reader.load(name)
+    folders = [f.path for f in live(children(spark, name, f"{BATCH_COLUMN}=*"))]
+    if not folders:
+        return reader.load(name)
+    files = children(spark, name, "[!_.]*.*")
+    # A batch task may have written into the folder before a stream did: files lie beside the partitions.
+    reader = reader.option("recursiveFileLookup", True) if files else reader.option("basePath", name)
+    return reader.load([*folders, *files])
 
 
 def has_rows(spark: SparkSession, name: str, data_format: str = "parquet") -> bool:
@@ -73,7 +77,7 @@ def write_table(df: DataFrame, target: Mapping[str, Any], keep_source_name: Any
     rows = prepared(df, keep_source_name)
     if mode == "append" and in_batches(spark, name):
         # Streams write here too: these rows get a partition of their own beside theirs.
-        _write_partition(rows, name, data_format, uuid.uuid4().hex)
+        _write_partition(rows, name, data_format, f"task_{uuid.uuid4().hex}")
         return
     writer = rows.write.mode(mode).format(data_format)
     if is_path(name):
@@ -99,19 +103,16 @@ def in_batches(spark: SparkSession, name: str) -> bool:
         return False
     if not is_path(name):
         return BATCH_COLUMN in spark.table(name).columns
-    return bool(_children(spark, name, f"{BATCH_COLUMN}=*"))
+    return bool(children(spark, name, f"{BATCH_COLUMN}=*"))
 
 
-def _children(spark: SparkSession, name: str, pattern: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{name.rstrip('/')}/{pattern}")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [str(status.getPath()) for status in found or []]
+def _query_id(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def batch_label(spark: SparkSession, batch_id: int) -> str:
     """Name of a micro-batch that no other stream uses: the query's id, which its checkpoint keeps, and the number."""
-    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return f"{query}-{int(batch_id)}" if query else str(int(batch_id))
+    return label_of(_query_id(spark), int(batch_id))
 
 
 def _write_partition(rows: DataFrame, name: str, data_format: str, label: str) -> None:
@@ -125,11 +126,30 @@ def _write_partition(rows: DataFrame, name: str, data_format: str, label: str) -
     spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH_COLUMN} = '{label}') SELECT * FROM {{rows}}", rows=rows)
 
 
+def _write_to_folder(rows: DataFrame, name: str, data_format: str, batch_id: int, many: int) -> None:
+    """Write a micro-batch to its folder, unless it has been merged already; then merge what is settled."""
+    spark, query = rows.sparkSession, _query_id(rows.sparkSession)
+    mine = folder_of(f"{BATCH_COLUMN}={label_of(query, batch_id)}")
+    there = [f for f in map(folder_of, children(spark, name, f"{BATCH_COLUMN}=*")) if f.span > 1]
+    if any(f.covers(mine) for f in there):
+        return
+    _write_partition(rows, name, data_format, label_of(query, batch_id))
+
+    def read(paths: Sequence[str]) -> DataFrame:
+        found = spark.read.format(data_format).option("basePath", name).option("mergeSchema", True).load(list(paths))
+        return found.drop(BATCH_COLUMN)
+
+    def write(merged: DataFrame, path: str) -> None:
+        merged.write.mode("overwrite").format(data_format).save(path)
+
+    merge_settled(spark, name, BATCH_COLUMN, query, batch_id, many, read, write)
+
+
 def write_stream_batch(df: DataFrame, target: Mapping[str, Any], batch_id: int, keep_source_name: Any = False) -> None:
     """Write one micro-batch into its own partition of the target.
 
     A batch that runs again after a failure replaces what its first run left, so
-    the target holds every record once. Other streams, a fresh checkpoint and
+    the target holds every record once; in folders, settled batches are merged, ``merge_batches`` at a time. Other streams, a fresh checkpoint and
     batch tasks have partitions of their own. A catalog table that a batch task
     made has no partitions by batch; it is appended to, at least once.
     """
@@ -140,7 +160,7 @@ def write_stream_batch(df: DataFrame, target: Mapping[str, Any], batch_id: int,
     if target.get("schema") is not None:
         rows = fitted(rows, target["schema"])
     if is_path(name):
-        _write_partition(rows, name, data_format, label)
+        _write_to_folder(rows, name, data_format, int(batch_id), int(target.get("merge_batches", MERGED)))
     elif not exists(spark, name):
         rows.withColumn(BATCH_COLUMN, F.lit(label)).write.partitionBy(BATCH_COLUMN).format(data_format).saveAsTable(name)
     elif in_batches(spark, name):

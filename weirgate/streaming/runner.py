@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from weirgate.operators.audit import job_counts, stream_audit_row
 from weirgate.operators.lookup import lookup_join
 from weirgate.operators.records import MESSAGE_ID, SOURCE, split
 from weirgate.operators.windows import window_counts
@@ -17,6 +18,7 @@ from weirgate.sinks.database import write_database
 from weirgate.sinks.messages import write_messages
 from weirgate.sinks.tables import batch_label, write_stream_batch
 from weirgate.sinks.text import RECORDS_PER_FILE, text_path, write_archive, write_windowed_text
+from weirgate.streaming.snapshots import PeriodicLookup
 
 # How often a continuous source looks for files, and a windowed database target writes.
 POLL, DATABASE_INTERVAL = "500 milliseconds", "60 seconds"
@@ -77,20 +79,33 @@ def write_targets(batch: DataFrame, batch_id: int, targets: Sequence[Mapping[str
             raise ValueError(f"unknown target {kind!r}")
 
 
-def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame], DataFrame] | None = None,
+def stream_audit_table(task: Mapping[str, Any]) -> str | None:
+    """Where the counts of a task's micro-batches go, if it is audited.
+
+    A row for each query and micro-batch, in a folder of the micro-batch's own: one that runs again replaces its row.
+    """
+    audit = task.get("audit") or {}
+    if str(audit.get("required", False)).lower() != "true":
+        return None
+    return audit.get("stream_audit_table") or str(audit["job_audit_table"]).rstrip("/") + "_stream"
+
+
+def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame, int], DataFrame] | None = None,
             event_time: str | None = None, sinks: Mapping[str, Callable] | None = None) -> Callable[[DataFrame, int], None]:
     """A micro-batch writer for a task: shape, split, write to all targets and the error table.
 
     The micro-batch is kept while several writers read it, so ids and results
     are the same for all of them. With ``gcs_triaging_path`` the lines as they
-    came are archived there with their ids.
+    came are archived there with their ids. ``shape`` gets a micro-batch and its
+    number. An audited task counts each micro-batch, see ``stream_audit_table``.
     """
     error = task.get("error") or {}
+    audit = stream_audit_table(task)
     archive = task.get("gcs_triaging_path")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        tagged = batch if shape is None else shape(batch).persist()
+        tagged = batch if shape is None else shape(batch, batch_id).persist()
         try:
             if archive:
                 arrived = batch.withColumn("_arrived", F.current_timestamp())
@@ -101,6 +116,10 @@ def fan_out(task: Mapping[str, Any], job_id: str, shape: Callable[[DataFrame], D
             write_targets(parts.valid, batch_id, task["targets"], task, event_time, sinks)
             if error.get("error_table") and str(error.get("insert_error_rec", True)).lower() == "true":
                 write_stream_batch(parts.invalid, {"target_table": error["error_table"]}, batch_id, True)
+            if audit:
+                # Both frames are kept, so their counts read nothing again.
+                counts = stream_audit_row(job_counts(tagged), batch.count(), task, job_id, batch_id)
+                write_stream_batch(counts, {"target_table": audit}, batch_id, True)
         finally:
             tagged.unpersist()
             batch.unpersist()
@@ -118,10 +137,19 @@ def start_window_counts(messages: DataFrame, ts: str, path: str, checkpoint: str
 
 
 def enrich_batch(read_lookup: Callable[[SparkSession], DataFrame], on: Mapping[str, str],
-                 order_by: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+                 order_by: Sequence[str]) -> Callable[[DataFrame, int], DataFrame]:
     """Lookup join for micro-batches that reads the lookup again for each of them."""
 
-    def enrich(batch: DataFrame) -> DataFrame:
+    def enrich(batch: DataFrame, batch_id: int = 0) -> DataFrame:
         return lookup_join(batch, read_lookup(batch.sparkSession), on, order_by)
 
     return enrich
+
+
+def enrich_by_period(lookup: PeriodicLookup, on: Mapping[str, str], order_by: Sequence[str]) -> Callable[[DataFrame, int], DataFrame]:
+    """Lookup join for micro-batches with the version of the lookup that each of them has pinned."""
+
+    def enrich(batch: DataFrame, batch_id: int) -> DataFrame:
+        return lookup_join(batch, lookup.at(batch.sparkSession, batch_id), on, order_by)
+
+    return enrich
