@@ -75,6 +75,36 @@ def test_inclusion_follows_the_odds(spark):
     assert 2.3 < heavy / light < 4
 
 
+def slow_inclusion(sizes, weights, rest):
+    """Shares in proportion to weights, none above 1, that give ``rest`` words on average."""
+    certain = set()
+    while True:
+        scale = (rest - sum(sizes[i] for i in certain)) / sum(w * sizes[i] for i, w in weights.items() if i not in certain)
+        more = {i for i, w in weights.items() if i not in certain and w * scale >= 1}
+        if not more:
+            return {i: 1.0 if i in certain else w * scale for i, w in weights.items()}
+        certain |= more
+
+
+def test_frequencies_follow_unequal_inclusions(spark):
+    """Over many draws documents are taken as often as their inclusion says; certain ones always."""
+    sizes = {i: 5 + (i * 37) % 90 for i in range(1500)} | {1500 + i: 2000 for i in range(5)}
+    weights = {i: n**0.5 for i, n in sizes.items()}
+    docs = spark.createDataFrame([(i, "a", n) for i, n in sizes.items()], "doc_id long, source string, n long").repartition(4)
+    want = slow_inclusion(sizes, weights, 0.55 * sum(sizes.values()))
+    assert sum(p == 1 for p in want.values()) == 5
+    draws, taken = 8, {i: 0 for i in sizes}
+    for seed in range(draws):
+        for r in mixing.mix(docs, F.col("n"), total=0.55, weight=F.sqrt("n"), seed=seed).collect():
+            taken[r.doc_id] += r.copies
+    assert all(taken[i] == draws for i, p in want.items() if p == 1)
+    order = sorted((i for i, p in want.items() if p < 1), key=want.get)
+    for part in range(0, len(order), 300):
+        some = order[part : part + 300]
+        expected = sum(want[i] for i in some) * draws
+        assert abs(sum(taken[i] for i in some) - expected) < 4 * expected**0.5 / 2 + 0.02 * expected
+
+
 def test_a_document_with_a_fifth_of_a_source(spark):
     """Whatever is not taken does not fit in what is left, also if the document passed over is a very long one."""
     sizes = [100 + i % 200 for i in range(3999)] + [200_000]

@@ -97,12 +97,13 @@ def mix(
 ) -> DataFrame:
     """One row per document: its key, ``size``, ``source_size``, ``target`` of its source and ``copies``.
 
-    ``weight``, above 0, makes documents of a source more or less likely against each other. Documents with
+    ``weight``, above 0, makes documents of a source more or less likely against each other; those whose share reaches
+    1 are taken for certain, and the others' shares grow by what that leaves. Documents with
     no words count like others of size 0. Null sources are a source of their own; rows with equal keys, or null
     ones, are documents of their own. Empty tables give empty ones.
     """
     stages = Stages(docs.sparkSession, "mixing")
-    weight = F.lit(1.0) if weight is None else weight.cast("double")
+    weighed, weight = weight is not None, F.lit(1.0) if weight is None else weight.cast("double")
     rows = stages.put(
         docs.select(
             F.col(key).alias("doc"), F.col(source).alias("source"), size.cast("long").alias("size"),
@@ -130,9 +131,12 @@ def mix(
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
         .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
         .withColumn("bins", F.ceil(F.sqrt("source_docs")))
-        .select("of", "source_size", "target", "whole", "rest", "bins", "weighted")
+        .withColumn("scale", F.col("rest") / F.greatest(F.col("weighted"), F.lit(1.0)))
+        .select("of", "source_size", "target", "whole", "rest", "bins", "scale")
     )
-    inclusion = F.col("weight") * F.col("rest") / F.greatest(F.col("weighted"), F.lit(1.0))
+    if weighed:
+        targets = _scaled(stages, rows, targets)
+    inclusion = F.least(F.lit(1.0), F.col("weight") * F.col("scale"))
     usual = F.col("rest") / F.greatest(F.col("source_size"), F.lit(1))
     ranked = (
         rows.join(targets, F.col("source").eqNullSafe(F.col("of")))
@@ -159,6 +163,30 @@ def mix(
     return result
 
 
+def _scaled(stages: Stages, rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """Targets whose ``scale`` turns weights into inclusions that are at most 1 and give ``rest`` words on average.
+
+    Documents that reach 1 are certain, and what they leave is shared among the others, until no more reach it.
+    Rows go in as words by source and weight.
+    """
+    groups = stages.put(rows.groupBy("source", "weight").agg(F.sum("size").alias("words"), F.count("*").alias("n")))
+    before = -1
+    while True:
+        certain = F.col("weight") * F.col("scale") >= 1
+        met = groups.join(targets.select("of", "scale"), F.col("source").eqNullSafe(F.col("of"))).groupBy("of").agg(
+            F.sum(F.when(certain, F.col("words")).otherwise(0)).alias("sure"), F.sum(F.when(certain, F.col("n")).otherwise(0)).alias("n"),
+            F.sum(F.when(certain, 0.0).otherwise(F.col("words") * F.col("weight"))).alias("shared"),
+        )
+        met = stages.put(met.withColumnRenamed("of", "at_source"))
+        reached = met.agg(F.sum("n")).first()[0]
+        if not reached or reached == before:
+            return targets
+        scale = F.when(F.col("shared") > 0, (F.col("rest") - F.col("sure")) / F.col("shared")).otherwise(F.col("scale"))
+        joined = targets.join(met, F.col("of").eqNullSafe(F.col("at_source")))
+        targets = stages.put(joined.select("of", "source_size", "target", "whole", "rest", "bins", F.greatest("scale", scale).alias("scale")))
+        before = reached
+
+
 def _fit(stages: Stages, ranked: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """What is taken, if documents in order of rank are taken whenever they fit in what is left of ``rest``.
 

@@ -146,7 +146,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixed = mixing.mix(docs, word_count(F.col("text")))
+    words = word_count(F.col("text"))
+    mixed = mixing.mix(docs, words, weight=F.sqrt(F.greatest(words, F.lit(1))))
     return mixed.select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("size") * F.col("copies")).alias("taken"),
