@@ -1,8 +1,10 @@
 """Explode and flatten, on literals and against a plain recursive definition."""
 
 import json
+import random
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -50,19 +52,27 @@ def comparable(row):
     return frozenset((k, as_text(v)) for k, v in row.items() if v is not None)
 
 
-def test_two_lists_multiply(spark):
-    document = {
-        "tides": ["ebb", "flood", "slack"],
-        "boats": [{"hull": "oak", "afloat": True}, {"hull": "elm", "afloat": False}],
-    }
-    _, rows = spark_rows(spark, [document])
-    assert sorted(rows.columns) == ["boats_afloat", "boats_hull", "n", "tides"]
-    assert rows.count() == 6
-
-
-def test_nested_object(spark):
-    _, rows = spark_rows(spark, [{"id": 1, "berth": {"quay": "a", "post": "b"}, "tide": 9}])
-    assert rows.select("id", "berth_quay", "berth_post", "tide").collect() == [(1, "a", "b", 9)]
+def some_value(rng, depth):
+    """A random value: objects and lists down to a depth, and scalars, the falsy ones among them."""
+    kind = rng.randrange(6 if depth else 3)
+    if kind < 3:
+        return rng.choice([None, 0, rng.randint(1, 99), "", f"t{rng.randint(0, 9)}"])
+    if kind == 3:
+        return [some_value(rng, 0) for _ in range(rng.randint(0, 4))]
+    if kind == 4:
+        return [{f"m{k}": some_value(rng, depth - 1) for k in range(rng.randint(1, 3))} for _ in range(rng.randint(1, 3))]
+    return {f"k{k}": some_value(rng, depth - 1) for k in range(rng.randint(1, 3))}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_documents_against_the_rule(spark, seed):
+    """Lists side by side multiply, those inside each other add up, objects join their names."""
+    rng = random.Random(seed)
+    # Each place has one kind of value in all documents, so that no column is of mixed types.
+    documents = [{f"d{n}_{key}": some_value(rng, 2) for key in range(rng.randint(1, 3))} for n in range(12)]
+    _, rows = spark_rows(spark, documents)
+    found = Counter((r["n"], comparable({k: v for k, v in r.asDict().items() if k != "n"})) for r in rows.collect())
+    assert found == Counter((n, comparable(row)) for n, document in enumerate(documents) for row in flat_rows(document))
 
 
 def test_falsy_lists(spark):

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import types as T
@@ -17,11 +18,17 @@ def write(folder, name, text):
     return path
 
 
-def test_short_row_lacks_the_last_field(spark, tmp_path):
-    write(tmp_path, "e.csv", "buoy,depth,harbour\nnone,12,9\n31,40,2\n55,17\n")
+@pytest.mark.parametrize("width", [1, 2, 5])
+def test_lines_of_any_length(spark, tmp_path, width):
+    """Lines with fewer fields than names lack the last ones, those with more give numbered columns."""
+    rng = random.Random(width)
+    names = [f"n{i}" for i in range(width)]
+    lines = [[f"v{k}x{i}" for i in range(rng.randint(1, width + 2))] for k in range(50)]
+    write(tmp_path, "ragged.csv", "\n".join(",".join(line) for line in [names, *lines]) + "\n")
     rows = split(delimited.delimited_scan(spark, str(tmp_path))).valid
-    assert sorted(r[:3] for r in rows.collect()) == [("31", "40", "2"), ("55", "17", None), ("none", "12", "9")]
-    assert all(r.source_name.endswith("e.csv") for r in rows.collect())
+    columns = [*names, *(f"column_{i + 1}" for i in range(width, max(map(len, lines))))]
+    assert sorted(map(tuple, rows.select(columns).collect()), key=str) == sorted((tuple(line + [None] * (len(columns) - len(line))) for line in lines), key=str)
+    assert {os.path.basename(r.source_name) for r in rows.select("source_name").collect()} == {"ragged.csv"}
 
 
 def test_quotes_escapes_markers_and_extra_fields(spark, tmp_path):
@@ -89,10 +96,16 @@ def test_text_that_is_not_utf8(spark, tmp_path):
     assert parts.invalid.first().error_desc == "not UTF-8 text"
 
 
-def test_json_document_with_root(spark, tmp_path):
-    write(tmp_path, "a.json", json.dumps({"boats": [{"hull": "oak", "crew": "4"}, {"hull": "elm", "crew": "11"}]}, indent=2))
-    rows = split(files.json_scan(spark, str(tmp_path), root="boats")).valid
-    assert {(r.hull, r.crew) for r in rows.collect()} == {("oak", "4"), ("elm", "11")}
+@pytest.mark.parametrize("indent", [None, 3])
+def test_records_under_a_key(spark, tmp_path, indent):
+    """Every record of the list under the key, whatever stands beside it."""
+    rng = random.Random(7)
+    records = [{"no": k, "label": f"l{rng.randint(0, 99)}", "share": rng.random()} for k in range(40)]
+    for part in range(4):
+        document = {"before": [part], "found": records[part * 10 : part * 10 + 10], "behind": {"found": [{"no": -1}]}}
+        write(tmp_path, f"{part}.json", json.dumps(document, indent=indent))
+    rows = split(files.json_scan(spark, str(tmp_path), root="found")).valid
+    assert sorted((r.no, r.label, r.share) for r in rows.collect()) == [(r["no"], r["label"], r["share"]) for r in records]
 
 
 def test_json_elements_that_are_no_objects(spark, tmp_path):
@@ -117,22 +130,33 @@ def test_nested_values_stay_nested(spark, tmp_path):
     assert rows.select("a.b.c", "l.x").where("c = 1").collect() == [(1, [1.5])]
 
 
-def test_flatten_batch_file(spark, tmp_path):
-    write(tmp_path, "a.json", '{"id":1,"berth":{"quay":"north","post":"b7"},"tide":3}\n')
-    mapping = {"flat_table_mapping": {k: k for k in ("id", "berth_quay", "berth_post", "tide")}}
-    rows = split(files.flatten_json_scan(spark, str(tmp_path), mapping, staging=(str(tmp_path), "/orig"))).valid
-    row = rows.first()
-    assert row[:4] == (1, "north", "b7", 3) and "orig/a.json" in row.source_name and row.FileName == row.source_name
-
-
-def test_xml_document(spark):
-    lock = '<lock side="{}"><gate>{}</gate><rise>{}</rise></lock>'
-    text = "<canal>" + lock.format("west", "g1", "2.40") + lock.format("east", "g2", "0.95") + "</canal>"
-    schema = T._parse_datatype_string("lock array<struct<`@side`:string,gate:string,rise:string>>")
-    rows = files.xml_rows(spark.createDataFrame([(text,), ("not xml",)], "value string"), schema)
-    parts = split(rows)
-    assert parts.valid.first().lock == [("west", "g1", "2.40"), ("east", "g2", "0.95")]
-    assert [(r.error_type, r.error_record) for r in parts.invalid.collect()] == [("Invalid Xml", "not xml")]
+def test_flattened_file_against_the_rule(spark, tmp_path):
+    """Random nested objects come with their joined names, and with the rewritten name of their file."""
+    rng = random.Random(11)
+    shape = {f"a{i}": {f"b{j}": {f"c{k}": 0 for k in range(rng.randint(1, 2))} for j in range(rng.randint(1, 3))} for i in range(3)}
+    documents = [{a: {b: {c: rng.randint(0, 999) for c in inner} for b, inner in outer.items()} for a, outer in shape.items()} for _ in range(20)]
+    names = [f"{a}_{b}_{c}" for a, outer in shape.items() for b, inner in outer.items() for c in inner]
+    write(tmp_path, "lines.json", "\n".join(map(json.dumps, documents)))
+    mapping = {"flat_table_mapping": {name.upper(): name for name in names}}
+    rows = split(files.flatten_json_scan(spark, str(tmp_path), mapping, staging=(str(tmp_path), "/kept"))).valid.collect()
+    want = [tuple(d[a][b][c] for a, b, c in (n.split("_") for n in names)) for d in documents]
+    assert sorted(tuple(r[n.upper()] for n in names) for r in rows) == sorted(want)
+    assert all(r.source_name == r.FileName and "kept/lines.json" in r.source_name for r in rows)
+
+
+def test_xml_elements_with_attributes(spark):
+    """Random numbers of elements come as a list of records, attributes and values as text."""
+    rng = random.Random(13)
+    texts, want = [], []
+    for _ in range(15):
+        items = [(f"k{rng.randint(0, 9)}", f"{rng.random():.3f}", f"w {rng.randint(0, 9)}") for _ in range(rng.randint(1, 5))]
+        texts.append("<all>" + "".join(f'<one key="{k}"><num>{n}</num><word>{w}</word></one>' for k, n, w in items) + "</all>")
+        want.append(items)
+    bad = ["no markup at all", "<all><one></all>"]
+    schema = T._parse_datatype_string("one array<struct<`@key`:string,num:string,word:string>>")
+    parts = split(files.xml_rows(spark.createDataFrame([(t,) for t in texts + bad], "value string"), schema))
+    assert sorted([tuple(e) for e in r.one] for r in parts.valid.collect()) == sorted(want)
+    assert sorted((r.error_type, r.error_record) for r in parts.invalid.collect()) == sorted(("Invalid Xml", t) for t in bad)
 
 
 def test_file_lines(spark, tmp_path):
@@ -140,12 +164,17 @@ def test_file_lines(spark, tmp_path):
     assert {(os.path.basename(r.source_name), r.value) for r in files.line_scan(spark, path).collect()} == {("a.txt", "r1"), ("a.txt", "r2")}
 
 
-def test_messages(spark):
-    rows = spark.createDataFrame([(bytearray(b"id"), bytearray(b'{"wind":"nne","knots":"14"}')), (None, bytearray(b"{'wind': 1}"))],
-                                 "key binary, value binary")
-    parts = split(messages.json_messages(rows, "topic"))
-    assert parts.valid.select("wind", "knots").collect() == [("nne", "14")]
-    assert [(r.error_type, r.source_name) for r in parts.invalid.collect()] == [("Invalid Json", "topic")]
+def test_messages_good_and_bad(spark):
+    """Messages that are JSON objects become records, all others error records with their text."""
+    rng = random.Random(17)
+    good = [{"no": k, "text": "".join(rng.choice('ab"é,') for _ in range(5))} for k in range(30)]
+    bad = [json.dumps(m)[rng.randint(1, 4) :] for m in good[:10]]
+    texts = [json.dumps(m) for m in good] + bad
+    rng.shuffle(texts)
+    rows = spark.createDataFrame([(None if rng.random() < 0.5 else bytearray(b"k"), bytearray(t.encode())) for t in texts], "key binary, value binary")
+    parts = split(messages.json_messages(rows, "subject"))
+    assert sorted((r.no, r.text) for r in parts.valid.collect()) == [(m["no"], m["text"]) for m in good]
+    assert sorted((r.error_type, r.source_name, r.error_record) for r in parts.invalid.collect()) == sorted(("Invalid Json", "subject", t) for t in bad)
 
 
 def test_kafka_options():
