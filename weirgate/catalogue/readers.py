@@ -120,7 +120,7 @@ def csv_quoted_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     opened = F.when(F.col("o_orderkey") % 3 == 0, '"').otherwise("")
     line = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), opened, "o_orderpriority", lines, F.lit(","), F.to_date("o_orderdate").cast("string"))
     path = write_lines(orders.select(line).coalesce(1), scratch(spark, "quoted-blocks"), ["o_orderkey,note,day"])
-    rows = split(delimited.delimited_scan(_in_small_blocks(spark, 1 << 14), path, multi_line=True)).valid
+    rows = split(delimited.delimited_scan(_in_small_blocks(spark, 1 << 15), path, multi_line=True)).valid
     return rows.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "note", F.col("day").cast("date").alias("day"))
 
 
@@ -144,7 +144,7 @@ def json_large_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements = events.select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value")).coalesce(1)
     first, last = '{"about": {"list": [1, "],"]}, "rows": [null', '], "more": {}}'
     path = write_lines(elements, scratch(spark, "json-large"), [first], [last])
-    rows = split(files.json_scan(_in_small_blocks(spark, 1 << 14), path, root="rows")).valid
+    rows = split(files.json_scan(_in_small_blocks(spark, 1 << 15), path, root="rows")).valid
     return rows.select("event_id", "event_type", "props", "value")
 
 

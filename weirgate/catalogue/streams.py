@@ -72,6 +72,25 @@ def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{path}/errors").groupBy("error_type", F.lit("events").alias("kind")).agg(F.count("*").alias("errors"))
 
 
+@query("""
+    SELECT 'Invalid Record' AS error_type, 'stream' AS job_name,
+           '{"event_id":' || event_id || ',"event_type":"' || event_type || '","detail":{"millis":' || epoch_ms(ts) || '},"topic":"KAFKA_TOPIC_NAME"'
+           AS error_record
+    FROM events WHERE event_id % 7 = 0
+""")
+def stream_error_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records themselves that a stream could not use."""
+    path = scratch(spark, "stream-error-records")
+    write_lines(_event_lines(spark, sf_dir).select("value"), f"{path}/in")
+    task = {
+        "job_name": "stream", "task_name": "events", "input_processor": "JsonFlattenStreamingProcessor",
+        "data_file": f"{path}/in", "column_name_map": EVENT_MAP, "topic_name": "live", "schema": EVENT_SCHEMA,
+        "targets": [{"bigquery_stream": {"target_table": f"{path}/out"}}], "error": {"error_table": f"{path}/errors"},
+    }
+    run_stream_task(spark, task, f"{path}/checkpoint", available_now=True).awaitTermination()
+    return read_table(spark, f"{path}/errors").select("error_type", "job_name", "error_record")
+
+
 @query("""
     SELECT event_id AS id, event_id % 7 = 0 AS rejected FROM events
 """)

@@ -227,16 +227,13 @@ def failed_runs_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT n_name AS job_name, CAST(n_regionkey AS VARCHAR) AS region FROM nation
-    WHERE n_name = (SELECT min(n_name) FROM nation WHERE n_name LIKE 'NATION_2%')
+    SELECT 'JOB_' || o_orderkey AS job_name, o_orderpriority AS region FROM orders
+    WHERE 'JOB_' || o_orderkey = (SELECT min('JOB_' || o_orderkey) FROM orders WHERE o_orderkey::VARCHAR LIKE '2%')
 """)
 def job_properties_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first of the rows whose name matches."""
-    rows = table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("job_name"), F.col("n_regionkey").cast("string").alias("region"), F.lit(None).cast("string").alias("additional_input")
+    """The first of the rows whose name matches, of a configuration table that grows with the orders."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("JOB_"), F.col("o_orderkey").cast("string")).alias("job_name"), F.col("o_orderpriority").alias("region"),
+        F.lit(None).cast("string").alias("additional_input"),
     )
-    found = config.job_properties(rows, "NATION_2%", "job_name")
-    return spark.createDataFrame([(found["job_name"], found["region"])], "job_name string, region string")
-
-
-
+    return config.first_job(rows, "JOB_2%", "job_name").select("job_name", "region")

@@ -36,10 +36,15 @@ def task_properties(table: DataFrame, pattern: str) -> list[dict[str, Any]]:
     return [_as_dict(r.asDict()) for r in matching_config(table, "task_id", pattern).collect()]
 
 
+def first_job(table: DataFrame, pattern: str, order_by: str | None = None) -> DataFrame:
+    """The first job whose ``job_name`` is like the pattern, as a frame of at most one row."""
+    rows = matching_config(table, "job_name", pattern)
+    return (rows if order_by is None else rows.orderBy(order_by)).limit(1)
+
+
 def job_properties(table: DataFrame, pattern: str, order_by: str | None = None) -> dict[str, Any]:
     """The first job whose ``job_name`` is like the pattern."""
-    rows = matching_config(table, "job_name", pattern)
-    row = (rows if order_by is None else rows.orderBy(order_by)).limit(1).first()
+    row = first_job(table, pattern, order_by).first()
     if row is None:
         raise LookupError(f"no job like {pattern!r}")
     return _as_dict(row.asDict())
