@@ -79,6 +79,12 @@ def test_odd_vectors(spark):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_recall_is_unknown_without_links(spark):
+    rows = [(i, [float(i == k) for k in range(12)], 0) for i in range(12)]
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r.recall for r in found] == [None] * 12 and {r.n_links for r in found} == {0}
+
+
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_pruning_keeps_the_nearest(n):
     x = np.random.default_rng(n).normal(size=(n + 1, 4))

@@ -263,7 +263,7 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
     """``(key, n_links, component, recall)`` for every row.
 
     ``n_links`` counts the other rows whose cosine is at least ``COSINE``, ``component`` is the smallest key that can be
-    reached by links, ``recall`` the share of the audited links that the search found. Rows whose vector is null,
+    reached by links, ``recall`` the share of the audited links that the search found, null if there were none. Rows whose vector is null,
     empty, zero, or holds null or non-finite components have no links; vectors of different lengths none with
     each other. Repeated rows link like others. Null keys count as links and are never a component's name. An
     empty table gives an empty one.
@@ -307,7 +307,7 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
     result = (
         valid.join(named, "vector").select("id", "n_links", "component")
         .unionByName(rows.where("vector IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component")))
-        .select(F.col("id").alias(key), "n_links", "component", F.lit(recall).alias("recall"))
+        .select(F.col("id").alias(key), "n_links", "component", F.lit(recall if total else None).cast("double").alias("recall"))
     )
     stages.drop(rows, named)
     return result
