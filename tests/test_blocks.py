@@ -184,3 +184,36 @@ def test_no_task_reads_a_large_document_whole(small_blocks, tmp_path):
     rows = split(files.json_scan(small_blocks(4096), str(tmp_path), layout=T._parse_datatype_string("id bigint"))).valid
     assert rows.rdd.getNumPartitions() >= 8
     assert rows.selectExpr("count(*)", "sum(id)").first() == (2000, 1999000)
+
+
+def test_blocks_may_be_smaller_than_the_splits_of_the_session(spark, tmp_path):
+    rows = [[str(i), f"a\nb {i}" if i % 3 else f"c {i}"] for i in range(5000)]
+    write_csv(tmp_path / "a.csv", [["id", "x"], *rows], random.Random(7))
+    found = split(delimited.delimited_scan(spark, str(tmp_path), multi_line=True, markers=(), block_bytes=100))
+    assert found.invalid.count() == 0
+    assert sorted((r.id, r.x) for r in found.valid.select("id", "x").collect()) == sorted(map(tuple, rows))
+    # Many blocks make no more tasks than there is work for; what is made of them is not cut like the file.
+    assert (tmp_path / "a.csv").stat().st_size > 500 * 100
+    assert 8 < found.valid.rdd.getNumPartitions() < 100
+    assert found.valid.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") != "100b"
+
+
+def test_facts_of_blocks_are_one_file_for_many_blocks(spark, tmp_path, monkeypatch):
+    kept, keep = [], delimited.keep
+    monkeypatch.setattr(delimited, "keep", lambda *given: kept.append(keep(*given)) or kept[-1])
+    write_csv(tmp_path / "a.csv", [["id", "x"], *([str(i), "a\nb"] for i in range(3000))], random.Random(8))
+    delimited.delimited_scan(spark, str(tmp_path), multi_line=True, block_bytes=200)
+    assert len(kept) == 1 and kept[0].count() > 100 and len(kept[0].inputFiles()) <= 8
+
+
+@pytest.mark.parametrize("blank", ["", " "])
+def test_first_lines_of_a_large_file(spark, tmp_path, monkeypatch, blank):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text(f"about\n{blank}\n{blank}\nid,x\n" + "1,2\n" * (60_000 if name == "a" else 3))
+    monkeypatch.setattr(delimited, "_SMALL_FILE", 1000)
+    heads = delimited.file_heads(spark, str(tmp_path), 2)
+    assert [r.lines for r in heads.orderBy("path").collect()] == [["about", blank, None, "id,x"], ["about", blank, blank, "id,x"]]
+    read = heads.select("path")._jdf.queryExecution().executedPlan().toString()
+    assert "LocalLimit" in read
+    rows = split(delimited.delimited_scan(spark, str(tmp_path), skip_rows=1, extra_columns=0)).valid
+    assert rows.count() == 60_003 and rows.columns[:2] == ["id", "x"]

@@ -11,7 +11,6 @@ from weirgate.operators.audit import count_per_source
 from weirgate.operators.records import ERROR, SOURCE, split, spread
 from weirgate.operators.windows import number_within
 from weirgate.schema import conform, declared_schema
-from weirgate.session import configure
 from weirgate.sources import api, config, database, delimited, files, messages
 
 def _customer_line() -> Column:
@@ -98,12 +97,8 @@ def csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "note", F.col("p_size").cast("int").alias("p_size"))
 
 
-def _in_small_blocks(spark: SparkSession, size: int) -> SparkSession:
-    """A session that cuts files into blocks of about ``size`` bytes, so that a large file has many."""
-    small = configure(spark.newSession())
-    small.conf.set("spark.sql.files.maxPartitionBytes", str(size))
-    small.conf.set("spark.sql.files.openCostInBytes", "1")
-    return small
+#: Bytes of the blocks of a large file, few, so that it has many.
+BLOCK = 1 << 15
 
 
 @query("""
@@ -120,7 +115,7 @@ def csv_quoted_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     opened = F.when(F.col("o_orderkey") % 3 == 0, '"').otherwise("")
     line = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), opened, "o_orderpriority", lines, F.lit(","), F.to_date("o_orderdate").cast("string"))
     path = write_lines(orders.select(line).coalesce(1), scratch(spark, "quoted-blocks"), ["o_orderkey,note,day"])
-    rows = split(delimited.delimited_scan(_in_small_blocks(spark, 1 << 15), path, multi_line=True)).valid
+    rows = split(delimited.delimited_scan(spark, path, multi_line=True, block_bytes=BLOCK)).valid
     return rows.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "note", F.col("day").cast("date").alias("day"))
 
 
@@ -144,7 +139,7 @@ def json_large_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements = events.select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value")).coalesce(1)
     first, last = '{"about": {"list": [1, "],"]}, "rows": [null', '], "more": {}}'
     path = write_lines(elements, scratch(spark, "json-large"), [first], [last])
-    rows = split(files.json_scan(_in_small_blocks(spark, 1 << 15), path, root="rows")).valid
+    rows = split(files.json_scan(spark, path, root="rows", block_bytes=BLOCK)).valid
     return rows.select("event_id", "event_type", "props", "value")
 
 

@@ -14,17 +14,36 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weirgate.operators.records import SOURCE, column
-from weirgate.session import remove_at_exit, scratch_path
+from weirgate.session import remove_at_exit, scratch_path, session_like
 
 START, VALUE = "block_start", "value"
 #: Facts up to so many bytes are sent to every task; beyond, pieces are brought to them.
 SENT_BYTES = 32 << 20
+#: Of blocks smaller than this, a task takes as many as come to it, once there are some tasks for every core.
+TASK_BYTES, TASKS_PER_CORE = 8 << 20, 4
 #: Roles of fragments, in their order within a block: the end of a record, a middle piece, its beginning.
 LAST, MIDDLE, FIRST = 0, 1, 2
 
 FRAGMENT = f"{SOURCE} string, {START} bigint, role int, {VALUE} string"
 
 
+def block_session(spark: SparkSession, block_bytes: int | None) -> SparkSession:
+    """A session that reads files in blocks of ``block_bytes``; the session itself if that is None."""
+    if block_bytes is None:
+        return spark
+    size = str(block_bytes)
+    return session_like(spark, {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": size})
+
+
+def _together(pieces: DataFrame) -> DataFrame:
+    """Pieces of small blocks in fewer tasks, each with neighbouring blocks; the cost of a task would exceed that of a block."""
+    spark = pieces.sparkSession
+    splits = pieces._jdf.queryExecution().toRdd().getNumPartitions()
+    blocks = splits * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-blocks // TASK_BYTES))
+    return pieces.coalesce(tasks) if tasks < splits else pieces
+
+
 def block_pieces(spark: SparkSession, path: str | Sequence[str], separator: str | None = None, above: int = -1) -> DataFrame:
     """(source_name, block_start, value) for the pieces of files, those of a block in order in one task.
 
@@ -36,7 +55,7 @@ def block_pieces(spark: SparkSession, path: str | Sequence[str], separator: str
     if above >= 0:
         pieces = pieces.where(F.col("_metadata.file_size") > above)
         meta.append(F.col("_metadata.file_size").alias("file_size"))
-    return pieces.select(*meta[:2], VALUE, *meta[2:])
+    return _together(pieces.select(*meta[:2], VALUE, *meta[2:]))
 
 
 def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], bool, pa.RecordBatch]]:
@@ -62,12 +81,13 @@ def _mixed(batch: pa.RecordBatch) -> bool:
     return n > 0 and any(batch.column(i)[0] != batch.column(i)[n - 1] for i in (0, 1))
 
 
-def keep(blocks: DataFrame) -> DataFrame:
-    """A small table of facts, written once, so that all who read it see the same."""
-    path = scratch_path(blocks.sparkSession, "blocks")
+def keep(blocks: DataFrame, spark: SparkSession | None = None) -> DataFrame:
+    """A small table of facts, written once, so that all who read it see the same; it belongs to ``spark`` if given."""
+    spark = spark or blocks.sparkSession
+    path = scratch_path(spark, "blocks")
     blocks.write.parquet(path)
-    remove_at_exit(blocks.sparkSession, path)
-    return blocks.sparkSession.read.schema(blocks.schema).parquet(path)
+    remove_at_exit(spark, path)
+    return spark.read.schema(blocks.schema).parquet(path)
 
 
 def before(value: Column) -> Column:
@@ -94,13 +114,15 @@ def with_state(blocks: DataFrame, name: str) -> DataFrame:
 def attach(pieces: DataFrame, blocks: DataFrame, keys: Sequence[str] = (SOURCE, START)) -> DataFrame:
     """Pieces with the facts of their blocks, or of their files, those of a block still in order in one task.
 
-    Facts go to the pieces if their measured size is small, which it is up to some hundred thousand blocks.
+    Facts go to the pieces if their measured size is small, which it is up to some hundred thousand blocks. The
+    result belongs to the session of the facts.
     """
+    names = [*pieces.columns, *(c for c in blocks.columns if c not in keys)]
     size = blocks.agg(F.sum(F.octet_length(SOURCE) + 64)).first()[0] or 0
     if size <= SENT_BYTES:
-        return pieces.join(F.broadcast(blocks), list(keys), "left")
-    placed = pieces.withColumn("_at", F.monotonically_increasing_id()).join(blocks.hint("merge"), list(keys), "left")
-    return placed.sortWithinPartitions(*keys, "_at").drop("_at")
+        return F.broadcast(blocks).join(pieces, list(keys), "right").select(*names)
+    placed = blocks.hint("merge").join(pieces.withColumn("_at", F.monotonically_increasing_id()), list(keys), "right")
+    return placed.sortWithinPartitions(*keys, "_at").select(*names)
 
 
 def joined(fragments: DataFrame, separator: str) -> DataFrame:

@@ -29,6 +29,7 @@ from weirgate.operators.records import (
     single_pass,
     typed_nulls,
 )
+from weirgate.session import session_like
 from weirgate.sources.blocks import (
     FIRST,
     FRAGMENT,
@@ -39,6 +40,7 @@ from weirgate.sources.blocks import (
     attach,
     before,
     block_pieces,
+    block_session,
     joined,
     keep,
     runs_of,
@@ -52,6 +54,10 @@ NULL_MARKERS = ("-1", "Null")
 _QUOTE, _DELIMITER, _ESCAPE, _END, _NONE = "﷐", "﷑", "﷒", "﷓", "﷔"
 
 _ONE_FILE_PER_TASK = 1 << 40
+#: Up to so many bytes a file is read whole for its first lines, so many records at a time.
+_SMALL_FILE, _HEAD_RECORDS = 16 << 20, 1000
+#: What Python's ``strip`` leaves something of.
+_NOT_BLANK = r"(?U)[^\s\x1c-\x1f]"
 
 
 def _complete(lines: list[str], count: int) -> bool:
@@ -60,15 +66,16 @@ def _complete(lines: list[str], count: int) -> bool:
 
 
 def _first_lines(count: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of lines with their numbers in their file; blank ones that were left out before are NULL."""
     path, lines = None, []
     for batch in batches:
-        for file, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for file, number, line in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if file != path and path is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([lines])], names=["path", "lines"])
                 lines = []
             path = file
             if not _complete(lines, count):
-                lines.append(line)
+                lines += [None] * (number - len(lines)) + [line]
         if _complete(lines, count):
             break
     if path is not None:
@@ -78,19 +85,23 @@ def _first_lines(count: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 def file_heads(spark: SparkSession, path: str | Sequence[str], count: int) -> DataFrame:
     """The first ``count`` lines of each file, and more while the last is blank, as (path, lines).
 
-    One task per file, which stops reading once it has its lines; so the cost
-    follows the number of files, not their size.
+    One task per file, so the cost follows the number of files. Small ones are read to their end, of large ones no
+    more than those lines, blank ones behind the first ``count`` as NULL: a limit ends a scan, while a Python function
+    that is done does not.
     """
-    heads = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key) and heads.conf.get(key, None) != value:
-            heads.conf.set(key, value)
-    heads.conf.set("spark.sql.files.maxPartitionBytes", str(_ONE_FILE_PER_TASK))
-    heads.conf.set("spark.sql.files.openCostInBytes", str(_ONE_FILE_PER_TASK))
-    heads.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max(count, 1)))
-    lines = heads.read.text(path).where(F.col("_metadata.file_block_start") == 0)
-    lines = lines.select(F.col("_metadata.file_path").alias("path"), "value")
-    return lines.mapInArrow(partial(_first_lines, count), "path string, lines array<string>")
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(max(count, _HEAD_RECORDS))}
+    heads = session_like(block_session(spark, _ONE_FILE_PER_TASK), settings)
+    size, name = F.col("_metadata.file_size"), F.col("_metadata.file_path").alias("path")
+
+    def first(lines: DataFrame) -> DataFrame:
+        number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("number")
+        return lines.where(F.col("_metadata.file_block_start") == 0).select(name, number, "value")
+
+    large = heads.read.format("binaryFile").load(path).where(size > _SMALL_FILE).select(name).collect()
+    found = [first(heads.read.text(path).where(size <= _SMALL_FILE))]
+    wanted = (F.col("number") < count) | F.col("value").rlike(_NOT_BLANK)
+    found += [first(heads.read.text(as_path(r.path))).where(wanted).limit(count + 1) for r in large]
+    return reduce(DataFrame.unionAll, found).mapInArrow(partial(_first_lines, count), "path string, lines array<string>")
 
 
 def _headers(spark: SparkSession, path: str | Sequence[str], skip_rows: int) -> list[Row]:
@@ -104,7 +115,7 @@ def _headers(spark: SparkSession, path: str | Sequence[str], skip_rows: int) ->
     rest = F.filter(F.slice("lines", skip_rows + 1, F.greatest(F.size("lines"), F.lit(1))), lambda line: F.trim(line) != "")
     conf = spark._jsparkSession.sessionState().conf()
     smallest = min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes())
-    heads = heads.select("path", F.get(rest, F.lit(0)).alias("header"), F.size("lines").alias("leading"), (size >= smallest).alias("far"))
+    heads = heads.select("path", F.get(rest, F.lit(0)).alias("header"), F.size("lines").alias("leading"), F.coalesce(size >= smallest, F.lit(True)).alias("far"))
     return heads.collect()
 
 
@@ -166,7 +177,7 @@ def _drop_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield rows.slice(cut).select([0, 1, 2])
 
 
-def _after_leading(lines: DataFrame, skip: int, header: bool, far: Sequence[Row]) -> DataFrame:
+def _after_leading(lines: DataFrame, skip: int, header: bool, far: Sequence[Row], spark: SparkSession | None = None) -> DataFrame:
     """Lines ``(source_name, block_start, value)`` without the leading ones of their files.
 
     Usually those lie in the first block of a file. Where they may not, lines are counted block by block, and
@@ -181,7 +192,7 @@ def _after_leading(lines: DataFrame, skip: int, header: bool, far: Sequence[Row]
     passed = counts.withColumn("passed", before(F.col("lines"))).join(spans, SOURCE, "left")
     others = F.lit(skip) if not header else F.lit(None)
     left = F.greatest(F.coalesce("leading", others) - F.col("passed"), F.lit(0)).cast("long")
-    return attach(lines, keep(passed.select(SOURCE, START, left.alias("left")))).mapInArrow(_drop_counted, shape)
+    return attach(lines, keep(passed.select(SOURCE, START, left.alias("left")), spark)).mapInArrow(_drop_counted, shape)
 
 
 class Quotes:
@@ -267,7 +278,8 @@ def _records(delimiter: str, fragments: bool, batches: Iterator[pa.RecordBatch])
     yield from rest()
 
 
-def quoted_records(read: Callable[[str | Sequence[str]], DataFrame], path: str | Sequence[str], delimiter: str = ",") -> DataFrame:
+def quoted_records(read: Callable[[str | Sequence[str]], DataFrame], path: str | Sequence[str], delimiter: str = ",",
+                   spark: SparkSession | None = None) -> DataFrame:
     """(source_name, value): records of the lines ``(source_name, block_start, value)`` of files, with the line breaks inside quotes.
 
     Tasks first find how quotes leave each block, then cut their blocks into records knowing how they begin. Only
@@ -277,7 +289,7 @@ def quoted_records(read: Callable[[str | Sequence[str]], DataFrame], path: str |
     lines = read(path)
     ends = lines.mapInArrow(partial(_quote_states, delimiter), f"{SOURCE} string, {START} bigint, outside boolean, inside boolean")
     end = F.when(F.col("begins"), F.col("inside")).otherwise(F.col("outside"))
-    blocks = keep(with_state(keep(ends), "begins").select(SOURCE, START, "begins", end.alias("ends")))
+    blocks = keep(with_state(ends, "begins").select(SOURCE, START, "begins", end.alias("ends")), spark)
     begins = blocks.select(SOURCE, START, "begins")
     records = attach(lines, begins).mapInArrow(partial(_records, delimiter, False), FRAGMENT).select(SOURCE, VALUE)
     crossed = [as_path(r[0]) for r in blocks.where("begins OR ends").select(SOURCE).distinct().collect()]  # at most a row per file
@@ -365,6 +377,7 @@ def delimited_scan(
     skip_rows: int = 0,
     extra_columns: int | None = None,
     multi_line: bool = False,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of delimited files as strings, named by each file's own header.
 
@@ -375,22 +388,24 @@ def delimited_scan(
     group is an ordinary splittable scan. Values with line breaks need
     ``multi_line``, which knows doubled quotes but no escape character and takes no
     extra columns unless told; without it, lines whose quotes do not close are bad records.
+    Such files are read in blocks of ``block_bytes``, or as the session splits files.
     """
+    blocks = block_session(spark, block_bytes if multi_line else None)
     if multi_line:
         escape, extra_columns = None, extra_columns or 0
 
     def read(files: str | Sequence[str], skip: int, header: bool, far: Sequence[Row]) -> DataFrame:
         if not multi_line:
             return lines_after(spark, files, skip, header, far)
-        return quoted_records(lambda some: _after_leading(block_pieces(spark, some, "\n"), skip, header, far), files, delimiter)
+        return quoted_records(lambda some: _after_leading(block_pieces(blocks, some, "\n"), skip, header, far, spark), files, delimiter, spark)
 
     if not header:
         if schema is None:
             raise ValueError("files without a header need a schema")
-        far = [r for r in _headers(spark, path, skip_rows) if r.far] if skip_rows else []
+        far = [r for r in _headers(blocks, path, skip_rows) if r.far] if skip_rows else []
         return _named_rows(read(path, skip_rows, False, far), schema.names, extra_columns, delimiter, escape, markers)
     groups: dict[tuple[str, ...], list[Row]] = defaultdict(list)
-    for row in _headers(spark, path, skip_rows):
+    for row in _headers(blocks, path, skip_rows):
         if row.header is not None:
             reader = csv.reader([row.header], delimiter=delimiter, escapechar=escape)
             groups[tuple(next(reader))].append(row)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weirgate.operators.records import SOURCE, column
-from weirgate.sources.blocks import FIRST, LAST, MIDDLE, START, VALUE, attach, before, block_pieces, keep, runs_of
+from weirgate.sources.blocks import FIRST, LAST, MIDDLE, START, VALUE, attach, before, block_pieces, block_session, keep, runs_of
 
 PIECE = f"{SOURCE} string, {START} bigint, at bigint, level int, role int, {VALUE} string"
 _STRING = r'"(?:[^"\\]++|\\.)*+"'
@@ -127,10 +127,10 @@ def _cut(deepest: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     yield from rest()
 
 
-def _blocks(lines: DataFrame, closing: str) -> DataFrame:
+def _blocks(spark: SparkSession, lines: DataFrame, closing: str) -> DataFrame:
     """How each block begins, whether it is the last of its file, and whether quotes and nesting close there, with ``closing``."""
     shape = f"{SOURCE} string, {START} bigint, turns boolean, outside bigint, inside bigint, bytes bigint, file_size bigint, tail string"
-    found = keep(lines.mapInArrow(_facts, shape))
+    found = lines.mapInArrow(_facts, shape)
     found = found.withColumn("begins_inside", before(F.col("turns").cast("int")) % 2 == 1)
     found = found.withColumn("gained", F.when(F.col("begins_inside"), F.col("inside")).otherwise(F.col("outside")))
     found = found.withColumn("depth", before(F.col("gained")))
@@ -141,7 +141,7 @@ def _blocks(lines: DataFrame, closing: str) -> DataFrame:
     more = ~(F.sum("bytes").over(file) - F.col("file_size")).isin(0, -3)
     tail = F.max(F.when(F.col("tail") != "", F.struct(START, "tail"))).over(file)
     found = found.withColumn("closed", F.max(F.when(F.col("final"), closes)).over(file) & more & (tail["tail"] == closing))
-    return keep(found.select(SOURCE, START, "begins_inside", "depth", "final", "closed"))
+    return keep(found.select(SOURCE, START, "begins_inside", "depth", "final", "closed"), spark)
 
 
 def _pieces(lines: DataFrame, blocks: DataFrame, deepest: int) -> DataFrame:
@@ -246,7 +246,8 @@ def _wrapped(root: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[SOURCE, VALUE])
 
 
-def list_elements(spark: SparkSession, path: str | Sequence[str], root: str | None, above: int) -> tuple[DataFrame, list[str]]:
+def list_elements(spark: SparkSession, path: str | Sequence[str], root: str | None, above: int,
+                  block_bytes: int | None = None) -> tuple[DataFrame, list[str]]:
     """(source_name, value) for the JSON files above a size, and the files among them that hold no list to cut.
 
     Each element of a document's list, or of that under ``root``, comes as a document with a list of one. A document
@@ -254,8 +255,8 @@ def list_elements(spark: SparkSession, path: str | Sequence[str], root: str | No
     piece that is wrong, with the comma beside it, or the last one of a list that does not end as it should. Other members
     of a document are only looked at for their keys and nesting.
     """
-    lines = block_pieces(spark, path, ",", above)
-    blocks = _blocks(lines, "]" if root is None else "}")
+    lines = block_pieces(block_session(spark, block_bytes), path, ",", above)
+    blocks = _blocks(spark, lines, "]" if root is None else "}")
     pieces = _pieces(lines, blocks, 1 if root is None else 2)
     lists = _lists(pieces, root)
     files = blocks.groupBy(column(SOURCE)).agg(F.first("closed").alias("closed"))
