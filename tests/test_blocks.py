@@ -217,3 +217,17 @@ def test_first_lines_of_a_large_file(spark, tmp_path, monkeypatch, blank):
     assert "LocalLimit" in read
     rows = split(delimited.delimited_scan(spark, str(tmp_path), skip_rows=1, extra_columns=0)).valid
     assert rows.count() == 60_003 and rows.columns[:2] == ["id", "x"]
+
+
+def test_elements_of_blocks_smaller_than_the_splits_of_the_session(spark, tmp_path, monkeypatch):
+    from weirgate.sources import elements
+
+    made, keep = [], elements.keep
+    monkeypatch.setattr(elements, "keep", lambda *given: made.append(keep(*given)) or made[-1])
+    rows = [{"id": i, "x": f"],{i}" if i % 3 else "\"[" * (i % 50)} for i in range(3000)]
+    (tmp_path / "a.json").write_text(json.dumps({"more": [1], "rows": rows}))
+    found = split(files.json_scan(spark, str(tmp_path), root="rows", block_bytes=300))
+    assert found.invalid.count() == 0
+    assert sorted((r.id, r.x) for r in found.valid.select("id", "x").collect()) == [(r["id"], r["x"]) for r in rows]
+    facts = next(m for m in made if "begins_inside" in m.columns)
+    assert facts.count() > 200 and all(len(m.inputFiles()) <= 40 for m in made)
