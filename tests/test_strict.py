@@ -177,3 +177,17 @@ def test_catalog_table_of_streams_takes_batches(spark):
 def test_package_is_sent_to_workers(spark):
     ship(spark)
     assert any("weirgate" in f for f in spark.sparkContext.listFiles)
+
+
+def test_lists_that_a_layout_does_not_know_are_found_without_a_map_for_every_document(spark):
+    from weirgate.operators import documents
+    from weirgate.operators.layout import Layout
+
+    layout = Layout.of(T.StructType([T.StructField("id", T.LongType())]))
+    wrong = documents.misfit(F.col("v"), layout, flat=True)
+    assert "CASE WHEN contains(schema_of_variant(v), 'ARRAY<') THEN" in str(wrong)
+    texts = ['{"id":1}', '{"id":1,"a":[1]}', '{"id":1,"a":{"b":[]}}', '{"id":1,"ARRAY<":2}', '{"id":1,"a":"ARRAY<"}', "null", '{"id":[1]}', None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, t string").select("n", F.parse_json("t").alias("v"))
+    found = {r.n: r.wrong for r in rows.select("n", wrong.alias("wrong")).collect()}
+    # A key that reads like a list's type is still told from one.
+    assert [found[n] for n in range(8)] == [False, True, True, False, False, False, True, False]
